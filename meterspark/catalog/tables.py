@@ -130,12 +130,10 @@ observed AS (
 
 def stored_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State of an earlier run: two segments' chunks, some complete, some out of retries."""
-    cal = chunks.chunk_calendar(
-        supplies(spark, sf_dir).filter(F.col("distributorCode").isin("BUILDING", "MACHINERY")), AS_OF)
-    facts = supplies(spark, sf_dir).select("cups", "balance", "nation")
+    stored = supplies(spark, sf_dir).filter(F.col("distributorCode").isin("BUILDING", "MACHINERY"))
     values = F.when(F.col("balance") > 5000, F.col("total")).otherwise(
         F.floor(F.abs("balance") / 100))
-    return (cal.join(facts, "cups")
+    return (chunks.chunk_calendar(stored, AS_OF, keep=("balance", "nation"))
             .select("cups", "data_type", "chunk_key", "date_ini", "date_end",
                     values.cast("long").alias("values"), "total",
                     F.floor(F.col("nation") / 4).cast("int").alias("retries"),
@@ -151,8 +149,12 @@ stored AS (
   WHERE "distributorCode" IN ('BUILDING', 'MACHINERY'))"""
 
 
+def calendar_by_meter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.chunk_calendar(chunks.by_meter(supplies(spark, sf_dir)), AS_OF)
+
+
 def state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunks.chunk_state_init(calendar(spark, sf_dir), stored_state(spark, sf_dir))
+    return chunks.tracked_state(calendar_by_meter(spark, sf_dir), stored_state(spark, sf_dir))
 
 
 STATE = STORED_STATE + """,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, time
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, functions as F
 
@@ -34,6 +35,16 @@ def local_date(epoch: Column, zone: str = ZONE) -> Column:
     return F.to_date(F.from_utc_timestamp(F.timestamp_seconds(epoch), zone))
 
 
+def expected_count(first: date, last: date, step_seconds: int | None, zone: str = ZONE) -> int:
+    """`expected_elements` of a chunk known beforehand, from its first to its last day."""
+    if step_seconds is None:
+        return (last.year - first.year) * 12 + last.month - first.month + 1
+    tz = ZoneInfo(zone)
+    span = (datetime.combine(last, time(23, 59, 59), tz).timestamp()
+            - datetime.combine(first, time(), tz).timestamp())
+    return int(span // step_seconds) + 1
+
+
 def expected_elements(ini: Column, end: Column, step_seconds: Column) -> Column:
     """Readings a complete chunk has; days of 23 and 25 hours count as such.
 

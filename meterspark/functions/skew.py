@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 
 def salted_join(big: DataFrame, dim: DataFrame, on: list[str], spread_by: list[str],
@@ -58,11 +58,12 @@ def numbered(df: DataFrame, keys: list[str], seq: str, into: str = "rn",
             .drop("_block", "_pos", "_before"))
 
 
-def last_by(df: DataFrame, keys: list[str], order: list[str | Column],
-            first: bool = False) -> DataFrame:
-    """One row per key: the last (or first) in `order`; combined before the shuffle."""
-    rest = [c for c in df.columns if c not in keys]
-    pick = F.min_by if first else F.max_by
-    return (df.groupBy(*keys)
-            .agg(pick(F.struct(*rest), F.struct(*order)).alias("_row"))
-            .select(*keys, "_row.*"))
+def last_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row per key: the last in `order`.
+
+    Spark limits each task to one row per key before the shuffle (the window group limit), so a
+    key that occurs very often sends one row per task.
+    """
+    newest_first = W.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    return (df.withColumn("_rn", F.row_number().over(newest_first))
+            .filter(F.col("_rn") == 1).drop("_rn"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -27,31 +27,50 @@ def history_end(valid_to: Column, as_of: date, strict_valid_to: bool = False) ->
     return clock.end_of_day(F.when(ended <= month_end, ended).otherwise(month_end))
 
 
+def calendar_blocks(as_of: date, series: tuple[SeriesType, ...] = SERIES) -> Column:
+    """Every chunk of the tracked history, 52 for all series, as one constant array."""
+    stop = clock.shift_month(as_of.replace(day=1), 1)
+    blocks = []
+    for s in series:
+        start = clock.window_start(as_of)
+        while start < stop:
+            after = clock.shift_month(start, s.months)
+            end = after - timedelta(days=1)
+            blocks.append(
+                f"named_struct('data_type', '{s.name}', 'chunk_key', '{start}~{end}', "
+                f"'date_ini', timestamp_ntz'{start} 00:00:00', "
+                f"'date_end', timestamp_ntz'{end} 23:59:59', "
+                f"'total', {clock.expected_count(start, end, s.step_seconds)}L)")
+            start = after
+    return F.expr(f"array({', '.join(blocks)})")
+
+
 def chunk_calendar(supplies: DataFrame, as_of: date, strict_valid_to: bool = False,
-                   series: tuple[SeriesType, ...] = SERIES) -> DataFrame:
-    """The chunks each supply (`cups`, `validDateTo`) should have. No shuffle.
+                   series: tuple[SeriesType, ...] = SERIES,
+                   keep: tuple[str, ...] = ()) -> DataFrame:
+    """The chunks each supply (`cups`, `validDateTo`) should have. No shuffle. `keep` carries
+    columns of the supply along.
 
-    A supply's rows come from a sequence of chunk starts per series, at most 52 in all.
+    Supplies partitioned by `cups` give a calendar partitioned by `cups`, so that what follows
+    can join on it without moving the calendar's many rows (see `by_meter`).
     """
-    first = F.lit(clock.window_start(as_of))
-    kinds = F.array(*[F.struct(
-        F.lit(s.name).alias("data_type"), F.lit(s.months).alias("months"),
-        F.lit(s.step_seconds).cast("int").alias("step")) for s in series])
-    last = F.to_date("history_end")
-    starts = F.when(last >= first, F.sequence(
-        first, last, F.make_ym_interval(F.lit(0), F.col("kind.months"))))
+    end = history_end(F.col("validDateTo"), as_of, strict_valid_to)
     return (supplies
-            .select("cups", history_end(F.col("validDateTo"), as_of, strict_valid_to)
-                    .alias("history_end"), F.explode(kinds).alias("kind"))
-            .select("cups", "kind", F.explode(starts).alias("ini"))
-            .withColumn("fin", F.last_day(F.add_months("ini", F.col("kind.months") - 1)))
-            .select("cups", "kind.data_type",
-                    clock.chunk_name(F.col("ini"), F.col("fin")).alias("chunk_key"),
-                    F.col("ini").cast("timestamp_ntz").alias("date_ini"),
-                    clock.end_of_day(F.col("fin")).alias("date_end"), "kind.step")
-            .withColumn("total", clock.expected_elements(
-                F.col("date_ini"), F.col("date_end"), F.col("step")))
-            .drop("step"))
+            .select("cups", *keep, end.alias("history_end"),
+                    F.explode(calendar_blocks(as_of, series)).alias("c"))
+            .filter(F.col("c.date_ini") < F.col("history_end"))
+            .select("cups", *keep, "c.*"))
+
+
+def by_meter(df: DataFrame) -> DataFrame:
+    """Partition by meter. Chunk tables hold at most 52 rows per meter, so this is even, and all
+    joins between them, on the chunk or on the meter, then share one shuffle per table.
+
+    The number of partitions is the session's, given outright: adaptive execution would size
+    them by the supplies moved, which turn into 52 times as many chunks afterwards.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, "cups")
 
 
 def chunk_observed(readings: DataFrame, as_of: date,
@@ -59,32 +78,32 @@ def chunk_observed(readings: DataFrame, as_of: date,
     """Readings seen per chunk, with the first and last instant.
 
     A reading's chunk follows from its local month, so there is no range join; readings before
-    the tracked history are left out. Counts combine before the shuffle.
+    the tracked history are left out. Counts combine before the shuffle, so that a meter with a
+    large share of all readings brings a few rows per task. Names are made per chunk, not per
+    reading.
     """
     first = F.lit(clock.window_start(as_of))
-    long_blocks = {s.name: s.months for s in series if s.months > 1}
-    data_type = F.concat_ws("_", "prop", "freq")
-    month = F.trunc(clock.local_date(F.col("timestamp")), "month")
-    block = F.lit(1)
-    for name, months in long_blocks.items():
-        block = F.when(F.col("data_type") == name, F.lit(months)).otherwise(block)
-    seen = (readings
-            .select("cups", data_type.alias("data_type"), month.alias("month"), "timestamp")
-            .filter(F.col("data_type").isin([s.name for s in series])
-                    & (F.col("month") >= first))
-            .groupBy("cups", "data_type", "month")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("lo"),
-                 F.max("timestamp").alias("hi")))
-    since = F.months_between(F.col("month"), first).cast("int")
-    ini = F.when(block == 1, F.col("month")).otherwise(
-        F.add_months(first, (since - since % block).cast("int")))
-    end = F.last_day(F.add_months(F.col("ini"), block - 1))
-    return (seen.withColumn("ini", ini)
-            .select("cups", "data_type", clock.chunk_name(F.col("ini"), end).alias("chunk_key"),
-                    "n", "lo", "hi")
-            .groupBy(*CHUNK_KEY)
-            .agg(F.sum("n").alias("observed"), F.min("lo").alias("first_ts"),
-                 F.max("hi").alias("last_ts")))
+    months, tracked = F.lit(1), F.lit(False)
+    for s in series:
+        of_series = (F.col("prop") == s.prop) & (F.col("freq") == s.freq)
+        tracked = tracked | of_series
+        if s.months > 1:
+            months = F.when(of_series, F.lit(s.months)).otherwise(months)
+    since = F.months_between("month", first).cast("int")
+    ini = F.when(months == 1, F.col("month")).otherwise(
+        F.add_months(first, since - since % months))
+    return (readings
+            .filter(tracked)
+            .select("cups", "prop", "freq", "timestamp",
+                    F.trunc(clock.local_date(F.col("timestamp")), "month").alias("month"))
+            .filter(F.col("month") >= first)
+            .groupBy("cups", "prop", "freq", ini.alias("ini"))
+            .agg(F.count(F.lit(1)).alias("observed"), F.min("timestamp").alias("first_ts"),
+                 F.max("timestamp").alias("last_ts"))
+            .select("cups", F.concat_ws("_", "prop", "freq").alias("data_type"),
+                    clock.chunk_name(F.col("ini"), F.last_day(F.add_months("ini", months - 1)))
+                    .alias("chunk_key"),
+                    "observed", "first_ts", "last_ts"))
 
 
 def chunk_coverage(calendar: DataFrame, observed: DataFrame) -> DataFrame:
@@ -95,16 +114,31 @@ def chunk_coverage(calendar: DataFrame, observed: DataFrame) -> DataFrame:
             .withColumn("complete", F.col("observed") >= F.col("total")))
 
 
-def chunk_state_init(calendar: DataFrame, state: DataFrame) -> DataFrame:
-    """All chunks on record plus the calendar's chunks not yet known, as new."""
-    fresh = calendar.select(
+def _as_new(calendar: DataFrame) -> DataFrame:
+    """Chunks of the calendar in their first state."""
+    return calendar.select(
         *CHUNK_KEY, "date_ini", "date_end", F.lit(0).cast("long").alias("values"), "total",
         F.lit(RETRIES).alias("retries"), F.lit(None).cast("timestamp").alias("date_min"),
         F.lit(None).cast("timestamp").alias("date_max"))
-    cols = [f.name for f in CHUNK_STATE if f.name not in CHUNK_KEY]
-    known = state.select(*CHUNK_KEY, F.struct(*cols).alias("known"))
-    new = fresh.select(*CHUNK_KEY, F.struct(*cols).alias("new"))
-    return (known.join(new, CHUNK_KEY, "full")
+
+
+def _packed(state: DataFrame, name: str) -> DataFrame:
+    return state.select(*CHUNK_KEY, F.struct(
+        *[f.name for f in CHUNK_STATE if f.name not in CHUNK_KEY]).alias(name))
+
+
+def chunk_state_init(calendar: DataFrame, state: DataFrame) -> DataFrame:
+    """All chunks on record, also those older than the calendar, plus the calendar's chunks not
+    yet known, as new."""
+    return (_packed(state, "known").join(_packed(_as_new(calendar), "new"), CHUNK_KEY, "full")
+            .select(*CHUNK_KEY, F.coalesce("known", "new").alias("row"))
+            .select(*CHUNK_KEY, "row.*"))
+
+
+def tracked_state(calendar: DataFrame, state: DataFrame) -> DataFrame:
+    """The calendar's chunks with their state; all that a run needs. Unlike the full table, it
+    stays partitioned as the calendar is."""
+    return (_packed(_as_new(calendar), "new").join(_packed(state, "known"), CHUNK_KEY, "left")
             .select(*CHUNK_KEY, F.coalesce("known", "new").alias("row"))
             .select(*CHUNK_KEY, "row.*"))
 

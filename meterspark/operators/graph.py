@@ -21,17 +21,21 @@ def expand(name: str) -> str:
     return V.PREFIXES[prefix] + local if prefix in V.PREFIXES else name
 
 
-def filled(template: str) -> Column:
-    """A template with `$(field)` replaced; null as soon as one field is."""
-    parts = [F.col(part).cast("string") if i % 2 else F.lit(part)
+def quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def filled(template: str) -> str:
+    """SQL of a template with `$(field)` replaced; null as soon as one field is."""
+    parts = [f"cast(`{part}` as string)" if i % 2 else quoted(part)
              for i, part in enumerate(re.split(r"\$\((\w+)\)", template)) if part]
-    return F.concat(*parts)
+    return f"concat({', '.join(parts)})"
 
 
-def _object(template: str) -> tuple[str, Column]:
-    """Kind and value of a rule's object."""
+def _object(template: str) -> tuple[str, str]:
+    """Kind and SQL of a rule's object."""
     if template.startswith('"'):
-        return "literal", F.lit(template.strip('"'))
+        return "literal", quoted(template.strip('"'))
     if template.startswith("<"):
         return "iri", filled(template.strip("<>"))
     if template.partition(":")[0] in V.PREFIXES:
@@ -48,17 +52,13 @@ def apply_rules(records: DataFrame, rules: tuple, keep: tuple[str, ...] = ()) ->
     for subject, properties in rules:
         for predicate, obj, datatype in properties:
             kind, value = _object(obj)
-            triples.append(F.struct(
-                filled(expand(subject)).alias("subject"),
-                (F.lit(RDF_TYPE) if predicate == "a" else filled(expand(predicate)))
-                .alias("predicate"),
-                value.alias("object"),
-                F.lit(expand(datatype) if datatype else None).cast("string").alias("datatype"),
-                F.lit(kind).alias("object_kind")))
-    return (records.select(*keep, F.explode(F.array(*triples)).alias("t"))
-            .select(*keep, "t.*")
-            .filter(F.col("subject").isNotNull() & F.col("predicate").isNotNull()
-                    & F.col("object").isNotNull()))
+            verb = quoted(RDF_TYPE) if predicate == "a" else filled(expand(predicate))
+            of_type = quoted(expand(datatype)) if datatype else "cast(null as string)"
+            triples.append(f"named_struct('subject', {filled(expand(subject))}, "
+                           f"'predicate', {verb}, 'object', {value}, 'datatype', {of_type}, "
+                           f"'object_kind', '{kind}')")
+    return (records.selectExpr(*keep, f"inline(array({', '.join(triples)}))")
+            .filter("subject is not null and predicate is not null and object is not null"))
 
 
 def supply_triples(supplies: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

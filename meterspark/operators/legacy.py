@@ -38,7 +38,7 @@ def union_tables(tables: list[DataFrame]) -> DataFrame:
 
 
 def merge_tables_lww(tables: list[DataFrame], keys: list[str],
-                     order: list[str | Column]) -> DataFrame:
+                     order: list[str]) -> DataFrame:
     """One row per key over all tables: later tables win, then the larger `order`.
 
     A key written many times is reduced to one row in each task before the shuffle.

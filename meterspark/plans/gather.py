@@ -30,8 +30,9 @@ def plan_requests(subscriptions: DataFrame, supplies: DataFrame, state: DataFram
     """
     routed = routing.route_supplies(routing.login_sources(subscriptions), supplies)
     owned = supplies.groupBy("cups").agg(F.max_by("validDateTo", "seq").alias("validDateTo"))
-    full = chunks.chunk_state_init(chunks.chunk_calendar(owned, as_of), state)
-    return Requests(routed, full, chunks.request_plan(full, routed, as_of))
+    calendar = chunks.chunk_calendar(chunks.by_meter(owned), as_of)
+    tracked = chunks.tracked_state(calendar, state)
+    return Requests(routed, tracked, chunks.request_plan(tracked, routed, as_of))
 
 
 @dataclass(frozen=True)
@@ -48,7 +49,8 @@ def deliver(requests: Requests, delivered: DataFrame, contracts: DataFrame,
             order: tuple[str, ...] = ("seq",)) -> Delivery:
     """Update the chunk state from delivered readings and publish readings and supplies.
 
-    Each source gets the readings of the supplies routed to it.
+    Each source gets the readings of the supplies routed to it. The state returned is that of the
+    tracked chunks; `chunk_state_upsert` puts it into the stored table.
     """
     state = chunks.retry_state(requests.state, chunks.chunk_observed(delivered, as_of), as_of)
     unique = R.latest_readings(delivered, list(order))
