@@ -8,16 +8,9 @@ from operator import and_
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 
-def salted_join(big: DataFrame, dim: DataFrame, on: list[str], spread_by: list[str],
-                how: str = "left", hot_rows: int = 1_000_000) -> DataFrame:
-    """Join `big` to `dim` on `on`, splitting keys that hold over `hot_rows` rows of `big`.
-
-    Rows of a hot key are spread by a hash of `spread_by` over enough salts that each holds
-    about `hot_rows` rows; only that key's rows of `dim` are repeated, once per salt. The hash
-    depends on the row alone, so a recomputed task places its rows as before. The broadcast
-    list of hot keys has at most rows(big) / hot_rows entries. Null keys spread like any other.
-    `how` is one of inner, left, left_semi, left_anti.
-    """
+def salted(big: DataFrame, dim: DataFrame, on: list[str], spread_by: list[str],
+           hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join with a column `_salt`; see `salted_join`."""
     hot = (big.groupBy(*[F.col(c).alias(f"_hot_{c}") for c in on]).count()
            .filter(F.col("count") > hot_rows)
            .select(*[f"_hot_{c}" for c in on],
@@ -33,6 +26,20 @@ def salted_join(big: DataFrame, dim: DataFrame, on: list[str], spread_by: list[s
         "_salt", F.pmod(F.xxhash64(*spread_by), F.col("_salts")).cast("int")).drop("_salts")
     right = with_salts(dim).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
+    return left, right
+
+
+def salted_join(big: DataFrame, dim: DataFrame, on: list[str], spread_by: list[str],
+                how: str = "left", hot_rows: int = 1_000_000) -> DataFrame:
+    """Join `big` to `dim` on `on`, splitting keys that hold over `hot_rows` rows of `big`.
+
+    Rows of a hot key are spread by a hash of `spread_by` over enough salts that each holds
+    about `hot_rows` rows; only that key's rows of `dim` are repeated, once per salt. The hash
+    depends on the row alone, so a recomputed task places its rows as before. The broadcast
+    list of hot keys has at most rows(big) / hot_rows entries. Null keys spread like any other.
+    `how` is one of inner, left, left_semi, left_anti.
+    """
+    left, right = salted(big, dim, on, spread_by, hot_rows)
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
