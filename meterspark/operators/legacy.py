@@ -26,7 +26,7 @@ def write_tsv(rows: DataFrame, path: str) -> None:
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read back the exchange files; the null marker becomes null."""
+    """Read back the exchange files; the null marker and empty text become null."""
     return (spark.read.schema(schema).option("sep", "\t").option("nullValue", TSV_NULL)
             .option("emptyValue", "").option("quote", "").csv(path))
 
