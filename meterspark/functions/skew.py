@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 
 def salted(big: DataFrame, dim: DataFrame, on: list[str], spread_by: list[str],
-           hot_rows: int) -> tuple[DataFrame, DataFrame]:
+           hot_rows: int, counted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Both sides of a join with a column `_salt`; see `salted_join`."""
-    hot = (big.groupBy(*[F.col(c).alias(f"_hot_{c}") for c in on]).count()
+    hot = ((big if counted is None else counted).groupBy(*[F.col(c).alias(f"_hot_{c}") for c in on]).count()
            .filter(F.col("count") > hot_rows)
            .select(*[f"_hot_{c}" for c in on],
                    F.ceil(F.col("count") / hot_rows).cast("int").alias("_salts")))
@@ -30,7 +30,8 @@ def salted(big: DataFrame, dim: DataFrame, on: list[str], spread_by: list[str],
 
 
 def salted_join(big: DataFrame, dim: DataFrame, on: list[str], spread_by: list[str],
-                how: str = "left", hot_rows: int = 1_000_000) -> DataFrame:
+                how: str = "left", hot_rows: int = 1_000_000,
+                counted: DataFrame | None = None) -> DataFrame:
     """Join `big` to `dim` on `on`, splitting keys that hold over `hot_rows` rows of `big`.
 
     Rows of a hot key are spread by a hash of `spread_by` over enough salts that each holds
@@ -38,8 +39,12 @@ def salted_join(big: DataFrame, dim: DataFrame, on: list[str], spread_by: list[s
     depends on the row alone, so a recomputed task places its rows as before. The broadcast
     list of hot keys has at most rows(big) / hot_rows entries. Null keys spread like any other.
     `how` is one of inner, left, left_semi, left_anti.
+
+    Finding hot keys takes one more pass over the key columns of `big`. Where `big` is the outcome
+    of costly steps, hand in as `counted` a frame with about the same keys that is cheap to read;
+    counts decide on balance alone, never on the result.
     """
-    left, right = salted(big, dim, on, spread_by, hot_rows)
+    left, right = salted(big, dim, on, spread_by, hot_rows, counted)
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
@@ -50,7 +55,7 @@ def numbered(df: DataFrame, keys: list[str], seq: str, into: str = "rn",
     `seq` is an integer, unique within a key and reasonably dense (a snapshot position). Rows are
     sorted inside blocks of `seq`, each of at most `block_rows` rows, and every block starts
     counting where the blocks before it ended; just the block counts meet per key. Keys are not
-    null.
+    null. `df` is read twice, so a costly one is better stored first.
     """
     blocked = df.withColumn("_block", F.floor(F.col(seq) / block_rows))
     starts = (blocked.groupBy(*keys, "_block").count()

@@ -141,12 +141,14 @@ def graph_path_org(edges: DataFrame, generic: DataFrame) -> DataFrame:
 
 
 def merge_source_edges(devices: DataFrame, sources: DataFrame, edges: DataFrame) -> DataFrame:
-    """All edges plus one from each device to the source its owner logs in as; repeatable."""
+    """All edges plus one from each device to the source its owner logs in as, where there is
+    none yet. Edges of other types are not moved."""
     logins = sources.select(F.col("username").alias("nif"), F.col("uri").alias("dst")).distinct()
     owned = devices.filter(F.col("nif").isNotNull()).select(F.col("uri").alias("src"), "nif")
     made = (salted_join(owned, logins, ["nif"], ["src"], how="inner")
-            .select("src", F.lit(V.IMPORTED_FROM).alias("type"), "dst"))
-    return edges.select(*EDGE).unionByName(made).distinct()
+            .select("src", F.lit(V.IMPORTED_FROM).alias("type"), "dst").distinct())
+    known = edges.filter(F.col("type") == V.IMPORTED_FROM).select(*EDGE)
+    return edges.select(*EDGE).unionByName(made.join(known, EDGE, "left_anti"))
 
 
 def forget_linked_nif(devices: DataFrame, sources: DataFrame) -> DataFrame:
@@ -166,7 +168,8 @@ def rename_source(devices: DataFrame) -> DataFrame:
 
 
 def mark_location_edges(edges: DataFrame, devices: DataFrame) -> DataFrame:
-    """Mark province and city edges of the provider's device locations that have both."""
+    """Mark province and city edges of the provider's device locations that have both. Only
+    edges of those two types are joined; every edge has a type."""
     ours = devices.filter(F.col("source") == V.PROVIDER).select(F.col("uri").alias("src"))
     places = (edges.filter(F.col("type") == V.HAS_LOCATION)
               .join(ours, "src", "left_semi").select(F.col("dst").alias("src")).distinct())
@@ -176,11 +179,12 @@ def mark_location_edges(edges: DataFrame, devices: DataFrame) -> DataFrame:
                      F.bool_or(F.col("type") == V.HAS_CITY).alias("c"))
                 .filter("p and c").select("src"))
     marked = complete.join(places, "src", "left_semi").withColumn("_marked", F.lit(True))
-    hit = is_place & F.col("_marked").isNotNull()
-    return (salted_join(edges, marked, ["src"], ["dst"])
+    hit = F.col("_marked").isNotNull()
+    return (salted_join(edges.filter(is_place), marked, ["src"], ["dst"])
             .withColumn("selected", F.when(hit, True).otherwise(F.col("selected")))
             .withColumn("source", F.when(hit, V.LOCATION_SOURCE).otherwise(F.col("source")))
-            .drop("_marked"))
+            .drop("_marked")
+            .unionByName(edges.filter(~is_place)))
 
 
 # -- enrolment -------------------------------------------------------------------------------
@@ -267,9 +271,10 @@ def ended_links(edges: DataFrame, owners: DataFrame, logins: DataFrame) -> DataF
 
 
 def resolve_ownership(edges: DataFrame, ended: DataFrame) -> DataFrame:
-    """Edges without the import links that ended."""
-    gone = ended.select("src", F.lit(V.IMPORTED_FROM).alias("type"), "dst")
-    return edges.join(gone, EDGE, "left_anti")
+    """Edges without the import links that ended. Only import links are joined."""
+    is_link = F.col("type") == V.IMPORTED_FROM
+    left = edges.filter(is_link).join(ended.select("src", "dst"), ["src", "dst"], "left_anti")
+    return edges.filter(~is_link).unionByName(left)
 
 
 def resolve_enddates(nodes: DataFrame, ended: DataFrame, edges: DataFrame) -> DataFrame:

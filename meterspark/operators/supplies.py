@@ -42,7 +42,8 @@ def supply_contract_merge(supplies: DataFrame, contracts: DataFrame,
     return joined.select(*own, *[F.col(f"k.{c}") for c in extra])
 
 
-def building_lookup(supplies: DataFrame, by_supply: DataFrame, by_nif: DataFrame) -> DataFrame:
+def building_lookup(supplies: DataFrame, by_supply: DataFrame, by_nif: DataFrame,
+                    counted: DataFrame | None = None) -> DataFrame:
     """The building (`ens`) of each supply: by the first 20 characters of its id, else by owner.
 
     Both lookups are `(key, ens, seq)`; a key given twice keeps the last. Owners with a large
@@ -53,7 +54,7 @@ def building_lookup(supplies: DataFrame, by_supply: DataFrame, by_nif: DataFrame
     of_nif = last_by(by_nif, ["key"], ["seq"]).select(
         F.col("key").alias("nif"), F.col("ens").alias("ens_nif"))
     named = supplies.withColumn("supply_name", F.substring("cups", 1, SUPPLY_NAME_LENGTH))
-    return (salted_join(named, of_nif, ["nif"], ["cups"])
+    return (salted_join(named, of_nif, ["nif"], ["cups"], counted=counted)
             .join(of_supply, "supply_name", "left")
             .withColumn("ens", F.coalesce("ens_supply", "ens_nif"))
             .drop("ens_supply", "ens_nif"))
@@ -91,10 +92,11 @@ def fuzzy_place_match(names: DataFrame, gazetteer: DataFrame, column: str,
     return exact.unionByName(best)
 
 
-def replace_place(supplies: DataFrame, matches: DataFrame, column: str) -> DataFrame:
+def replace_place(supplies: DataFrame, matches: DataFrame, column: str,
+                  counted: DataFrame | None = None) -> DataFrame:
     """Put the matched id in place of the name; a big city's supplies are split over tasks."""
     found = matches.select(F.col("probe").alias(column), F.col("geo_id").alias("_geo"))
-    return (salted_join(supplies, found, [column], ["cups"])
+    return (salted_join(supplies, found, [column], ["cups"], counted=counted)
             .withColumn(column, F.col("_geo")).drop("_geo"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -17,14 +18,17 @@ class Settled:
 
 
 def end_run(devices: DataFrame, upods: DataFrame, edges: DataFrame,
-            logins: DataFrame) -> Settled:
+            logins: DataFrame,
+            keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> Settled:
     """Settle a run. Doing so twice gives the same tables.
 
     `devices` is `(uri, source, enrolled, stateCancelled, endDate, props)`, `upods`
     `(uri, endDate, newSupply)`, `edges` `(src, type, dst)`, `logins` `(uri, username)`.
+    All three results build on the links that end; `keep` may store those, for instance by
+    `lambda df: df.checkpoint()`, so that they are found once.
     """
     owners = graph.device_nifs(graph.nif_props_map(devices))
-    ended = graph.ended_links(edges, owners, logins)
+    ended = keep(graph.ended_links(edges, owners, logins))
     settled = graph.strip_nif_props(
         graph.resolve_enddates(graph.finalize_enrolment(devices), ended, edges))
     return Settled(settled,

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
+from meterspark.functions.skew import salted_join
 from meterspark.operators import chunks, readings as R, routing, supplies as S
 from meterspark.sources.subscriptions import SourceSpec
 from meterspark.streaming import envelopes as E
@@ -40,7 +41,7 @@ class Delivery:
     """What a run makes of the readings it got."""
 
     state: DataFrame
-    timeseries: dict[str, DataFrame]
+    timeseries: DataFrame
     static: DataFrame
 
 
@@ -49,17 +50,16 @@ def deliver(requests: Requests, delivered: DataFrame, contracts: DataFrame,
             order: tuple[str, ...] = ("seq",)) -> Delivery:
     """Update the chunk state from delivered readings and publish readings and supplies.
 
-    Each source gets the readings of the supplies routed to it. The state returned is that of the
+    Each source gets the readings of the supplies routed to it, on its own topic. The state returned is that of the
     tracked chunks; `chunk_state_upsert` puts it into the stored table.
     """
     state = chunks.retry_state(requests.state, chunks.chunk_observed(delivered, as_of), as_of)
     unique = R.latest_readings(delivered, list(order))
-    wanted = requests.routed.select("cups", F.explode("db_list").alias("source")).distinct()
-    timeseries = {
-        s.source: E.publish_envelope(
-            unique.join(wanted.filter(F.col("source") == s.source), "cups", "left_semi"),
-            s, run_id)
-        for s in specs}
+    wanted = (requests.routed.select("cups", F.explode("db_list").alias("source"))
+              .groupBy("cups").agg(F.sort_array(F.collect_set("source")).alias("sources")))
+    timeseries = E.publish_envelopes(
+        salted_join(unique, wanted, ["cups"], ["timestamp"], how="inner", counted=delivered),
+        specs, run_id)
     records = (S.supply_contract_merge(requests.routed.withColumn("nif", F.col("username")),
                                        S.latest_contract(contracts))
                .join(chunks.supply_measurements(requests.state, as_of), "cups", "left"))

@@ -33,13 +33,17 @@ def building_tables(edges: DataFrame, generic: DataFrame) -> tuple[DataFrame, Da
 
 def harmonize_supplies(records: DataFrame, lookups: Lookups, update_date: str,
                        per_row: bool = False) -> DataFrame:
-    """Enriched supply records. `update_date` is the run's ISO time."""
-    df = S.conform_schema(records)
-    df = S.building_lookup(df, lookups.building_by_supply, lookups.building_by_nif)
+    """Enriched supply records. `update_date` is the run's ISO time.
+
+    What depends on the record alone comes first, and everything that has to look at all records
+    beforehand (flags, distinct names, hot keys) reads `records`, not the joined rows.
+    """
+    given = S.conform_schema(records)
+    df = S.owner_state(given.withColumn("update_date", F.lit(update_date)), per_row)
+    df = S.building_lookup(df, lookups.building_by_supply, lookups.building_by_nif, given)
     for column, level in (("municipality", V.MUNICIPALITY_LEVEL), ("province", V.PROVINCE_LEVEL)):
         places = gazetteer_pattern(lookups.gazetteer, level)
-        df = S.replace_place(df, S.fuzzy_place_match(records, places, column), column)
-    df = S.owner_state(df.withColumn("update_date", F.lit(update_date)), per_row)
+        df = S.replace_place(df, S.fuzzy_place_match(given, places, column), column, given)
     return S.enrolment_merge(df, lookups.devices)
 
 

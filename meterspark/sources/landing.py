@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from meterspark import schemas as S
+from meterspark.functions.skew import salted_join
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType,
@@ -21,6 +22,13 @@ def read_contracts(spark: SparkSession, path: str, fmt: str = "json") -> DataFra
     return read_table(spark, path, S.CONTRACT, fmt)
 
 
+def supplies_in(documents: DataFrame, column: str = "value") -> DataFrame:
+    """Supply records inside JSON documents `{"supplies": [...]}`."""
+    layout = T.StructType([T.StructField("supplies", T.ArrayType(S.SUPPLY))])
+    return (documents.select(F.explode(F.from_json(column, layout)["supplies"]).alias("r"))
+            .select("r.*"))
+
+
 def read_chunk_state(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, S.CHUNK_STATE)
 
@@ -41,8 +49,9 @@ def write_readings(readings: DataFrame, path: str, mode: str = "append") -> None
 def requested_readings(landed: DataFrame, requests: DataFrame) -> DataFrame:
     """Landed readings of the meters, series and days asked for (`request_plan`).
 
-    The request's month meets the partition columns in the join, which lets Spark prune
-    partitions at run time; days are compared within.
+    The few pairs of series and month asked for (at most 3 x 26) are broadcast, so that Spark
+    reads just those partitions; meters and days are settled by a join, in which a meter holding
+    a large share of the readings is split.
     """
     day = F.to_date(F.from_utc_timestamp(F.timestamp_seconds("timestamp"), S.ZONE))
     # A local day reaches into the UTC month before it, hence one more month at the start.
@@ -53,7 +62,9 @@ def requested_readings(landed: DataFrame, requests: DataFrame) -> DataFrame:
                  F.trunc(F.date_sub("lo", 1), "month"), F.trunc("hi", "month"),
                  F.expr("INTERVAL 1 MONTH"))))
              .withColumn("month", F.date_format("month", "yyyy-MM")))
-    return (landed.withColumn("day", day)
-            .join(asked, ["cups", "data_type", "month"])
+    parts = asked.select("data_type", "month").distinct()
+    pruned = landed.join(F.broadcast(parts), ["data_type", "month"], "left_semi")
+    return (salted_join(pruned.withColumn("day", day), asked, ["cups", "data_type", "month"],
+                        ["timestamp"], how="inner", counted=pruned)
             .filter(F.col("day").between(F.col("lo"), F.col("hi")))
             .drop("day", "lo", "hi"))

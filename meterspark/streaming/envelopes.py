@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -18,33 +21,69 @@ def _message(topic: Column, key: Column, **fields: Column) -> list[Column]:
     return [topic.alias("topic"), key.alias("key"), F.to_json(body).alias("value")]
 
 
-def _row_keys(spec: SourceSpec) -> Column:
-    return F.array(*[F.array(*map(F.lit, k)) for k in spec.row_keys])
+def _by_source(specs: list[SourceSpec], value: Callable[[SourceSpec], Column]) -> Column:
+    """The value belonging to the row's `source`."""
+    out = F.lit(None)
+    for spec in specs:
+        out = F.when(F.col("source") == spec.source, value(spec)).otherwise(out)
+    return out
 
 
-def publish_envelope(readings: DataFrame, spec: SourceSpec, run_id: str = "") -> DataFrame:
-    """Messages for one source: the readings of a meter, series and day, keyed by meter.
+def _tables(spec: SourceSpec) -> Column:
+    """A source's table names, with the row's series put in."""
+    return F.array(*[
+        F.replace(F.replace(F.lit(t), F.lit("{prop}"), F.col("prop")), F.lit("{freq}"),
+                  F.col("freq")) for t in spec.tables])
+
 
+def publish_envelopes(readings: DataFrame, specs: list[SourceSpec],
+                      run_id: str = "") -> DataFrame:
+    """Messages for every source: the readings of a meter, series and day, keyed by meter.
+
+    `readings` holds in `sources` the names of those that want the row. Sources that prepare
+    readings in the same way share one pass; their messages differ in the envelope alone.
     Readings are unique per meter, series and instant (see `latest_readings`), so a message has
     a bounded size however large the meter's share of all rows is.
     """
-    prepared = readings.transform(spec.prepare)
+    alike: dict[Callable, list[SourceSpec]] = {}
+    for spec in specs:
+        alike.setdefault(spec.prepare, []).append(spec)
+    return reduce(DataFrame.unionByName, [
+        _publish(readings.transform(prepare), group, run_id) for prepare, group in alike.items()])
+
+
+def _publish(prepared: DataFrame, specs: list[SourceSpec], run_id: str) -> DataFrame:
     record = F.struct(*[c for c in READING.fieldNames() if c in prepared.columns])
-    tables = F.array(*[F.format_string(t.replace("%", "%%").replace("{prop}", "%1$s")
-                                       .replace("{freq}", "%2$s"), "prop", "freq")
-                       for t in spec.tables])
+    takers = F.array_intersect("sources", F.array(*[F.lit(s.source) for s in specs]))
     return (prepared
-            .groupBy("cups", "prop", "freq",
+            .withColumn("sources", takers)
+            .filter(F.size("sources") > 0)
+            .groupBy("cups", "prop", "freq", "sources",
                      F.floor(F.col("timestamp") / SLICE_SECONDS).alias("slice"))
             .agg(F.sort_array(F.collect_list(F.struct("timestamp", record.alias("r"))))
                  .alias("rows"))
+            .withColumn("source", F.explode("sources"))
             .select(*_message(
-                F.lit(spec.topic), F.col("cups"), data=F.col("rows.r"), tables=tables,
-                row_keys=_row_keys(spec),
+                _by_source(specs, lambda s: F.lit(s.topic)), F.col("cups"),
+                data=F.col("rows.r"), tables=_by_source(specs, _tables),
+                row_keys=_by_source(specs, lambda s: F.array(
+                    *[F.array(*map(F.lit, k)) for k in s.row_keys])),
                 kwargs=F.struct(
                     F.lit("timeseries").alias("collection_type"), F.col("prop").alias("property"),
-                    "freq", F.array(F.lit(spec.source)).alias("dblist"),
-                    F.lit(run_id).alias("run_id")))))
+                    "freq", F.array("source").alias("dblist"), F.lit(run_id).alias("run_id")))))
+
+
+def publish_envelope(readings: DataFrame, spec: SourceSpec, run_id: str = "") -> DataFrame:
+    """The messages of one source that wants all of `readings`."""
+    return publish_envelopes(
+        readings.withColumn("sources", F.array(F.lit(spec.source))), [spec], run_id)
+
+
+def publish_points(points: DataFrame, topic: str) -> DataFrame:
+    """Harmonized points as messages, one each, keyed by the series they belong to."""
+    return points.select(*_message(
+        F.lit(topic), F.col("hash"),
+        **{c: F.col(c) for c in ("start", "end", "value", "isReal", "hash")}))
 
 
 def publish_static(supplies: DataFrame, topic: str, run_id: str = "") -> DataFrame:

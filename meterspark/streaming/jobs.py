@@ -47,7 +47,8 @@ def start_harmonizer(messages: DataFrame, out: str, checkpoint: str, source: str
         spark = batch.sparkSession
         decoded = E.decode_envelopes(batch, static_topic).persist(StorageLevel.MEMORY_AND_DISK)
         readings = E.message_readings(E.timeseries_select(decoded, source))
-        _write(timeseries.harmonize_timeseries(readings), f"{out}/points", batch_id)
+        timeseries.write_points(timeseries.harmonize_timeseries(readings),
+                                f"{out}/points/batch_id={batch_id}", mode="overwrite")
         _write(timeseries.batch_coverage(readings), f"{out}/coverage", batch_id)
         _write(E.quarantine(decoded), f"{out}/quarantine", batch_id)
         if on_supplies:

@@ -64,9 +64,9 @@ def test_state_after_delivery(run):
 
 def test_each_source_gets_its_supplies(run):
     _, delivery = run
-    keys = {s: {r.key for r in df.collect()} for s, df in delivery.timeseries.items()}
-    assert keys == {"A": {"c1", "c2"}, "B": {"c2"}}
-    message = json.loads(delivery.timeseries["B"].first().value)
+    keys = {(r.topic, r.key) for r in delivery.timeseries.collect()}
+    assert keys == {("A.ts", "c1"), ("A.ts", "c2"), ("B.ts", "c2")}
+    message = json.loads(delivery.timeseries.filter("topic = 'B.ts'").first().value)
     assert message["kwargs"] == {"collection_type": "timeseries", "property": PROP, "freq": "PT1H",
                                  "dblist": ["B"], "run_id": "run1"}
     assert message["tables"] == [f"raw_ts_{PROP}_PT1H"] and message["row_keys"] == [["cups", "timestamp"]]
@@ -90,8 +90,8 @@ def test_stream_equals_batch(spark, run, tmp_path):
     junk = spark.createDataFrame(
         [(STATIC, "k", "{bad"), (STATIC, "k", '{"kwargs": {}}'), ("A.ts", "k", None)],
         "topic string, key string, value string")
-    everything = delivery.timeseries["A"].unionByName(delivery.timeseries["B"]).unionByName(
-        delivery.static).unionByName(ends).unionByName(ends).unionByName(junk)
+    everything = (delivery.timeseries.unionByName(delivery.static).unionByName(ends)
+                  .unionByName(ends).unionByName(junk))
     everything.repartition(4).write.parquet(at("in"))
     ends.write.mode("append").parquet(at("in"))
     finished = []
@@ -103,7 +103,7 @@ def test_stream_equals_batch(spark, run, tmp_path):
     job.awaitTermination()
 
     batch = E.message_readings(E.timeseries_select(
-        E.decode_envelopes(delivery.timeseries["A"], STATIC), "A"))
+        E.decode_envelopes(delivery.timeseries, STATIC), "A"))
     points = TS.harmonize_timeseries(batch)
     cols = points.columns
     streamed = spark.read.parquet(at("out/points")).select(cols)
