@@ -9,6 +9,7 @@ from meterspark.catalog.registry import AS_OF, query, stamp, table, text
 from meterspark.functions import clock
 from meterspark.operators import chunks
 from meterspark.schemas import SERIES
+from meterspark.sources import landing
 
 STATE_SQL = """cups, data_type, chunk_key, strftime(date_ini, '%Y-%m-%d %H:%M:%S') AS date_ini,
   strftime(date_end, '%Y-%m-%d %H:%M:%S') AS date_end, CAST("values" AS BIGINT) AS "values",
@@ -169,3 +170,20 @@ def month_request_window(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(
         text("o_orderkey").alias("cups"), text(start).alias("start_date"),
         text(end).alias("end_date"))
+
+
+@query(f"""WITH {t.READINGS}, {t.CALENDAR}, {t.STATE},
+asked AS (
+  SELECT cups, data_type, date_ini, date_end FROM state
+  WHERE "values" < total AND retries > 0 AND date_ini > TIMESTAMP '2022-02-01')
+SELECT r.cups, data_type, r."timestamp", r.seq FROM readings r
+JOIN asked a ON a.cups = r.cups AND a.data_type = r.prop || '_' || r.freq
+ AND to_timestamp(r."timestamp") AT TIME ZONE 'Europe/Madrid' BETWEEN date_ini AND date_end""")
+def requested_readings(spark, sf_dir):
+    """Readings of the chunks that are still worth a request."""
+    landed = t.readings(spark, sf_dir).select(
+        "cups", "seq", "timestamp", F.concat_ws("_", "prop", "freq").alias("data_type"),
+        F.date_format(F.timestamp_seconds("timestamp"), "yyyy-MM").alias("month"))
+    requests = chunks.request_plan(t.state(spark, sf_dir), t.supplies(spark, sf_dir), AS_OF)
+    return landing.requested_readings(landed, requests).select(
+        "cups", "data_type", "timestamp", "seq")

@@ -402,3 +402,27 @@ def resolve_enddates(spark, sf_dir):
         F.when(F.col("c_acctbal") > 4000, "2022-02-02T00:00:00").alias("endDate"))
     return _dashed(graph.resolve_enddates(nodes, _ended(spark, sf_dir),
                                           _ownership_edges(spark, sf_dir)), "endDate")
+
+
+@query("""SELECT 'D' || o_orderkey AS uri,
+  CASE WHEN c_acctbal > 0 THEN '-' ELSE 'U' || o_custkey END AS nif
+FROM orders JOIN customer ON o_custkey = c_custkey""")
+def forget_linked_nif(spark, sf_dir):
+    """Devices whose owner is a login keep no owner id; customers not in debt are logins."""
+    devices = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("D"), "o_orderkey").alias("uri"),
+        F.concat(F.lit("U"), "o_custkey").alias("nif"))
+    logins = table(spark, sf_dir, "customer").filter("c_acctbal > 0").select(
+        F.concat(F.lit("U"), "c_custkey").alias("username"))
+    return _dashed(graph.forget_linked_nif(devices, logins), "nif")
+
+
+@query("""SELECT 'D' || o_orderkey AS uri,
+  CASE WHEN o_orderstatus = 'O' THEN 'DatadisSource' ELSE o_orderpriority END AS source,
+  CASE WHEN o_orderstatus = 'F' THEN 'other' ELSE '-' END AS bigg__source FROM orders""")
+def rename_source(spark, sf_dir):
+    status = F.col("o_orderstatus")
+    devices = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("D"), "o_orderkey").alias("uri"), F.col("o_orderpriority").alias("source"),
+        F.when(status == "O", V.PROVIDER).when(status == "F", "other").alias("bigg__source"))
+    return _dashed(graph.rename_source(devices), "bigg__source")

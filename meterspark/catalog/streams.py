@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from meterspark.catalog import tables as t
 from meterspark.catalog.readings import HARMONIZED_SQL, POINTS
 from meterspark.catalog.registry import query, table
-from meterspark.operators import readings as R
+from meterspark.operators import readings as R, timeseries as TS
 from meterspark.session import shared_dir
 from meterspark.sources.subscriptions import SourceSpec
 from meterspark.streaming import envelopes as E, jobs
@@ -45,6 +45,30 @@ def publish_envelope(spark, sf_dir):
                        F.size(times).cast("long").alias("n"))
 
 
+@query(f"""WITH {t.READINGS}
+SELECT 'points' AS topic, hash AS key, "start", "end", value, "isReal" FROM ({POINTS})""")
+def publish_points(spark, sf_dir):
+    """Points as messages, taken apart again."""
+    sent = E.publish_points(TS.harmonize_timeseries(t.readings(spark, sf_dir)), "points")
+    body = F.from_json("value", "start bigint, end bigint, value double, isReal boolean")
+    return sent.select("topic", "key", body.alias("b")).select("topic", "key", "b.*")
+
+
+@query("""SELECT 'static' AS topic, CAST(c_custkey AS VARCHAR) AS key, c_name AS address,
+  CASE WHEN c_acctbal > 0 THEN 'alpha,beta' ELSE 'beta' END AS dblist, 'supplies' AS collection_type
+FROM customer""")
+def publish_static(spark, sf_dir):
+    """Supply records as messages for several sources at once, taken apart again."""
+    records = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("cups"), F.col("c_name").alias("address"),
+        F.when(F.col("c_acctbal") > 0, F.array(F.lit("alpha"), F.lit("beta")))
+        .otherwise(F.array(F.lit("beta"))).alias("db_list"))
+    decoded = E.decode_envelopes(E.publish_static(records, STATIC), STATIC)
+    return decoded.select("topic", "key", F.get_json_object("data", "$.address").alias("address"),
+                          F.array_join("kwargs.dblist", ",").alias("dblist"),
+                          F.col("kwargs.collection_type").alias("collection_type"))
+
+
 def _messages(spark, sf_dir):
     """One message per event: views are static records, sign-ups end the day's run, errors are
     cut off, purchases go to another source, clicks are readings."""

@@ -8,7 +8,9 @@ from meterspark import vocabulary as V
 from meterspark.catalog import tables as t
 from meterspark.catalog.registry import query, table, text
 from meterspark.operators import supplies as S
+from meterspark.plans import harmonize
 from meterspark.schemas import SUPPLY
+from meterspark.sources import landing
 from meterspark.sources.gazetteer import gazetteer_pattern as places_of_level
 
 NEWEST = ("startDate", "linenumber", "part", "supplier", "quantity", "price", "discount", "tax",
@@ -228,3 +230,50 @@ def fuzzy_place_match(spark, sf_dir):
     places = places_of_level(gazetteer(spark, sf_dir), V.MUNICIPALITY_LEVEL)
     return S.fuzzy_place_match(names, places, "municipality").withColumn(
         "score", F.round("score", 6))
+
+
+@query("""SELECT CAST(o_custkey AS VARCHAR) AS cups, o_orderpriority AS marketer,
+  CAST(o_orderkey AS BIGINT) AS "pointType" FROM orders""")
+def supplies_in(spark, sf_dir):
+    """Orders as documents of one supply record each, taken apart."""
+    record = F.struct(text("o_custkey").alias("cups"), F.col("o_orderpriority").alias("marketer"),
+                      F.col("o_orderkey").cast("int").alias("pointType"))
+    documents = _orders(spark, sf_dir).select(
+        F.to_json(F.struct(F.array(record).alias("supplies"))).alias("value"))
+    return landing.supplies_in(documents).select(
+        "cups", "marketer", F.col("pointType").cast("long").alias("pointType"))
+
+
+@query(f"""WITH {PLACES}, {OWNED},
+entries AS (SELECT lower(name) AS g, min(geo_id) AS geo_id FROM places GROUP BY ALL),
+records AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS cups, CAST(o_custkey AS VARCHAR) AS nif, o_orderstatus,
+         replace(o_orderpriority, '-', ' ') AS place FROM orders),
+matched AS (
+  SELECT place, geo_id FROM (
+    SELECT place, geo_id, row_number() OVER (PARTITION BY place ORDER BY
+      1.0::DOUBLE - levenshtein(lower(place), g)::DOUBLE / greatest(length(place), length(g)) DESC,
+      geo_id) AS rn
+    FROM (SELECT DISTINCT place FROM records), entries) WHERE rn = 1)
+SELECT cups, coalesce(ens, '-') AS ens, m.geo_id AS municipality, coalesce("startDate", '-') AS "startDate",
+  coalesce("endDate", 'Alta') AS nif_ab, o_orderstatus = 'P' OR "stateEnrolled" AS enrolled
+FROM records JOIN states USING (cups) JOIN matched m USING (place)
+LEFT JOIN (SELECT CAST(c_custkey AS VARCHAR) AS nif, 'C' || c_nationkey AS ens FROM customer
+           WHERE c_mktsegment <> 'BUILDING') USING (nif)""")
+def harmonize_supplies(spark, sf_dir):
+    """The whole way of a supply record: owners, building, place and enrolment."""
+    orders = _orders(spark, sf_dir)
+    records = owned_supplies(spark, sf_dir).join(orders.select(
+        text("o_orderkey").alias("cups"), text("o_custkey").alias("nif"),
+        F.replace("o_orderpriority", F.lit("-"), F.lit(" ")).alias("municipality")), "cups")
+    by_nif = (table(spark, sf_dir, "customer").filter("c_mktsegment <> 'BUILDING'")
+              .select(text("c_custkey").alias("key"),
+                      F.concat(F.lit("C"), "c_nationkey").alias("ens"),
+                      F.col("c_custkey").alias("seq")))
+    devices = orders.select(text("o_orderkey").alias("deviceName"),
+                            (F.col("o_orderstatus") == "P").alias("enrolled"))
+    lookups = harmonize.Lookups(by_nif.filter("ens is null"), by_nif,
+                                gazetteer(spark, sf_dir), devices)
+    return harmonize.harmonize_supplies(records, lookups, "2024-01-31T00:00:00").select(
+        "cups", F.coalesce("ens", F.lit("-")).alias("ens"), "municipality",
+        F.coalesce("startDate", F.lit("-")).alias("startDate"), "nif_ab", "enrolled")
