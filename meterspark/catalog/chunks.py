@@ -183,7 +183,7 @@ def requested_readings(spark, sf_dir):
     """Readings of the chunks that are still worth a request."""
     landed = t.readings(spark, sf_dir).select(
         "cups", "seq", "timestamp", F.concat_ws("_", "prop", "freq").alias("data_type"),
-        F.date_format(F.timestamp_seconds("timestamp"), "yyyy-MM").alias("month"))
+        landing.local_month(F.col("timestamp")).alias("month"))
     requests = chunks.request_plan(t.state(spark, sf_dir), t.supplies(spark, sf_dir), AS_OF)
     return landing.requested_readings(landed, requests).select(
         "cups", "data_type", "timestamp", "seq")

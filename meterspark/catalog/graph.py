@@ -15,32 +15,27 @@ TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
 
 def _records(spark, sf_dir):
     """Customers as enriched supply records; several fields are null for some of them."""
-    balance, nation = F.col("c_acctbal"), F.col("c_nationkey")
-    none = F.lit(None).cast("string")
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("seq"), F.format_string("ES%d", "c_custkey").alias("cups"),
-        F.format_string("ES%d", "c_custkey").alias("supply_name"),
-        F.when(balance > 0, F.format_string("E%d", nation)).alias("ens"),
-        F.col("c_mktsegment").alias("distributor"),
-        F.when(balance > 2000, F.col("c_name")).alias("marketer"), F.lit("BT").alias("tension"),
-        F.when(balance < 4000, "2.0TD").otherwise("3.0TD").alias("accessFare"),
-        F.format_string("%d-%d", nation, nation).alias("contractedPowerkW"),
-        none.alias("timeDiscrimination"), F.lit("ICP").alias("modePowerControl"),
-        F.lit("2020-01-01T00:00:00").alias("startDate"),
-        F.when(balance < 1000, "2023-06-30T00:00:00").alias("endDate"),
-        F.lit("2T").alias("codeFare"), none.alias("selfConsumptionTypeCode"),
-        none.alias("selfConsumptionTypeDesc"), none.alias("partitionCoefficient"),
-        none.alias("cau"), F.when(balance > 9000, F.lit(1.5)).alias("installedCapacity"),
-        none.alias("lastMarketerDate"), F.lit("5.75").alias("maxPowerInstall"),
-        F.format_string("N%d", nation).alias("nif"),
-        F.when(balance > 5000, F.format_string("M%d", nation)).alias("authorized_nif"),
-        F.when(balance < 1000, "2023-06-30T00:00:00").otherwise("Alta").alias("nif_ab"),
-        (balance >= 1000).alias("enrolled"),
-        F.when(balance < 1000, "Accepted").alias("stateCancelled"),
-        F.lit("2024-01-31T00:00:00+00:00").alias("update_date"),
-        F.format_string("%05d", "c_custkey").alias("postalCode"), F.col("c_name").alias("address"),
-        F.when(nation < 20, text("c_nationkey")).alias("municipality"),
-        text("c_nationkey").alias("province"))
+    absent = ("timeDiscrimination", "selfConsumptionTypeCode", "selfConsumptionTypeDesc",
+              "partitionCoefficient", "cau", "lastMarketerDate")
+    ended = "if(c_acctbal < 1000, '2023-06-30T00:00:00', null)"
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_acctbal as balance", "concat('ES', c_custkey) as cups",
+        "concat('ES', c_custkey) as supply_name",
+        "if(c_acctbal > 0, concat('E', c_nationkey), null) as ens",
+        "c_mktsegment as distributor", "if(c_acctbal > 2000, c_name, null) as marketer",
+        "'BT' as tension", "if(c_acctbal < 4000, '2.0TD', '3.0TD') as accessFare",
+        "concat(c_nationkey, '-', c_nationkey) as contractedPowerkW", "'ICP' as modePowerControl",
+        "'2020-01-01T00:00:00' as startDate", f"{ended} as endDate", "'2T' as codeFare",
+        "if(c_acctbal > 9000, 1.5D, null) as installedCapacity", "'5.75' as maxPowerInstall",
+        "concat('N', c_nationkey) as nif",
+        "if(c_acctbal > 5000, concat('M', c_nationkey), null) as authorized_nif",
+        f"coalesce({ended}, 'Alta') as nif_ab", "c_acctbal >= 1000 as enrolled",
+        "if(c_acctbal < 1000, 'Accepted', null) as stateCancelled",
+        "'2024-01-31T00:00:00+00:00' as update_date",
+        "lpad(cast(c_custkey as string), 5, '0') as postalCode", "c_name as address",
+        "if(c_nationkey < 20, cast(c_nationkey as string), null) as municipality",
+        "cast(c_nationkey as string) as province",
+        *[f"cast(null as string) as {c}" for c in absent])
 
 
 _RULES_SQL = "[" + ",\n".join(
@@ -135,15 +130,11 @@ SELECT DISTINCT 'edge', subject, predicate, object FROM all_triples
 WHERE object_kind = 'iri' AND predicate <> '{TYPE}'""")
 def triples_to_graph(spark, sf_dir):
     """A batch of records followed by a later one that changes the tension of some devices."""
-    first = _records(spark, sf_dir).withColumn("seq", F.lit(1))
-    later = (_records(spark, sf_dir).filter("installedCapacity is not null or seq >= 0")
-             .withColumn("seq", F.lit(2)).withColumn("tension", F.lit("AT")))
-    changed = (graph.supply_triples(later.join(
-        table(spark, sf_dir, "customer").filter("c_acctbal > 3000")
-        .select(F.format_string("ES%d", "c_custkey").alias("cups")), "cups", "left_semi"), ("seq",))
-        .filter(F.col("predicate") == BIGG + "tension"))
-    parts = graph.triples_to_graph(
-        graph.supply_triples(first, ("seq",)).unionByName(changed))
+    records = _records(spark, sf_dir)
+    later = records.filter("balance > 3000").withColumns({"seq": F.lit(2), "tension": F.lit("AT")})
+    changed = graph.supply_triples(later, ("seq",)).filter(F.col("predicate") == BIGG + "tension")
+    first = graph.supply_triples(records.withColumn("seq", F.lit(1)), ("seq",))
+    parts = graph.triples_to_graph(first.unionByName(changed))
     return (parts["properties"].select(F.lit("property").alias("kind"), F.col("uri").alias("a"),
                                        F.col("property").alias("b"), F.col("value").alias("c"))
             .unionByName(parts["labels"].select(

@@ -16,18 +16,19 @@ BANDS = (("alpha", -1e9, 2500.0), ("beta", 2500.0, 5000.0), ("gamma", 5000.0, 75
 
 def _users(sf_dir, low, high):
     def load(spark):
-        balance, nation = F.col("s_acctbal"), F.col("s_nationkey")
-        listed = F.sequence(nation * 10, nation * 10 + F.floor(F.abs(balance) / 8).cast("int"))
-        own, other = F.format_string("N%d", nation), F.format_string("M%d", nation)
         return (table(spark, sf_dir, "supplier")
-                .filter((balance >= low) & (balance < high))
-                .select(F.col("s_suppkey").alias("seq"),
-                        F.format_string("U%d", nation).alias("username"),
-                        F.when(balance < 4000, F.array(own))
-                        .when(balance < 8000, F.array(own, other)).alias("authorized_nif"),
-                        F.when(balance < 1000, False).when(balance < 6000, True).alias("self"),
-                        F.when(F.pmod(F.floor(balance / 1250), F.lit(2)) == 0,
-                               listed.cast("array<string>")).alias("cups")))
+                .filter((F.col("s_acctbal") >= low) & (F.col("s_acctbal") < high))
+                .selectExpr(
+                    "s_suppkey as seq", "concat('U', s_nationkey) as username",
+                    "case when s_acctbal < 4000 then array(concat('N', s_nationkey)) "
+                    "when s_acctbal < 8000 then "
+                    "array(concat('N', s_nationkey), concat('M', s_nationkey)) end "
+                    "as authorized_nif",
+                    "case when s_acctbal < 1000 then false when s_acctbal < 6000 then true end "
+                    "as self",
+                    "if(pmod(floor(s_acctbal / 1250), 2) = 0, cast(sequence(s_nationkey * 10, "
+                    "s_nationkey * 10 + cast(floor(abs(s_acctbal) / 8) as int)) as array<string>), "
+                    "null) as cups"))
     return load
 
 

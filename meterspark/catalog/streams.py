@@ -168,7 +168,7 @@ def stream_finalize(spark, sf_dir):
     def finalize(session, runs):
         runs.write.mode("append").parquet(calls)
 
-    _drain(spark, _messages(spark, sf_dir).repartition(3, "key"), "finalize",
+    _drain(spark, _messages(spark, sf_dir).repartition(2, "key"), "finalize",
            files_per_trigger=1, on_final=finalize)
     return (spark.read.schema("run_id string").parquet(calls).groupBy("run_id")
             .agg(F.count(F.lit(1)).alias("times")))

@@ -16,14 +16,12 @@ CONSUMPTION = "EnergyConsumptionGridElectricity"
 
 def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as meter readings; the kind of event decides the series."""
-    kind = F.col("event_type")
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("seq"), F.col("user_id").cast("string").alias("cups"),
-        F.col("ts").cast("timestamp").alias("datetime"), F.col("value").alias("consumptionKWh"),
-        F.when(kind == "purchase", "Real").otherwise("Estimated").alias("obtainMethod"),
-        F.when(kind == "error", "Power").otherwise(CONSUMPTION).alias("prop"),
-        F.when(kind == "signup", "PT15M").when(kind == "error", "P1M").otherwise("PT1H")
-        .alias("freq"))
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id as seq", "cast(user_id as string) as cups", "cast(ts as timestamp) as datetime",
+        "value as consumptionKWh",
+        "if(event_type = 'purchase', 'Real', 'Estimated') as obtainMethod",
+        f"if(event_type = 'error', 'Power', '{CONSUMPTION}') as prop",
+        "case event_type when 'signup' then 'PT15M' when 'error' then 'P1M' else 'PT1H' end as freq")
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,18 +41,16 @@ readings AS (
 
 def supplies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as supply points; some ended in 2023, some end later, some have no usable date."""
-    balance = F.col("c_acctbal")
-    nation = F.col("c_nationkey")
-    ended = F.format_string("2023/%d/%d", (F.floor(nation / 3) + 1).cast("int"), nation + 1)
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("seq"), F.col("c_custkey").cast("string").alias("cups"),
-        F.format_string("U%d", nation).alias("username"),
-        F.when(balance < 3000, "").when(balance < 7000, F.format_string("N%d", nation))
-        .otherwise(F.format_string("M%d", nation)).alias("authorized_nif"),
-        F.col("c_mktsegment").alias("distributorCode"), (nation % 5).cast("int").alias("pointType"),
-        F.when(balance < 0, ended).when(balance > 9000, "2031/12/31")
-        .when(balance > 8000, "n/a").alias("validDateTo"),
-        balance.alias("balance"), nation.alias("nation"))
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as seq", "cast(c_custkey as string) as cups",
+        "concat('U', c_nationkey) as username",
+        "case when c_acctbal < 3000 then '' when c_acctbal < 7000 then concat('N', c_nationkey) "
+        "else concat('M', c_nationkey) end as authorized_nif",
+        "c_mktsegment as distributorCode", "c_nationkey % 5 as pointType",
+        "case when c_acctbal < 0 then concat('2023/', c_nationkey div 3 + 1, '/', c_nationkey + 1) "
+        "when c_acctbal > 9000 then '2031/12/31' when c_acctbal > 8000 then 'n/a' end "
+        "as validDateTo",
+        "c_acctbal as balance", "c_nationkey as nation")
 
 
 SUPPLIES = """
@@ -131,14 +127,13 @@ observed AS (
 def stored_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State of an earlier run: two segments' chunks, some complete, some out of retries."""
     stored = supplies(spark, sf_dir).filter(F.col("distributorCode").isin("BUILDING", "MACHINERY"))
-    values = F.when(F.col("balance") > 5000, F.col("total")).otherwise(
-        F.floor(F.abs("balance") / 100))
     return (chunks.chunk_calendar(stored, AS_OF, keep=("balance", "nation"))
-            .select("cups", "data_type", "chunk_key", "date_ini", "date_end",
-                    values.cast("long").alias("values"), "total",
-                    F.floor(F.col("nation") / 4).cast("int").alias("retries"),
-                    F.when(values > 0, F.col("date_ini")).cast("timestamp").alias("date_min"),
-                    F.when(values > 0, F.col("date_end")).cast("timestamp").alias("date_max")))
+            .withColumn("values", F.expr(
+                "if(balance > 5000, total, cast(floor(abs(balance) / 100) as bigint))"))
+            .selectExpr("cups", "data_type", "chunk_key", "date_ini", "date_end", "values", "total",
+                        "cast(nation div 4 as int) as retries",
+                        "cast(if(values > 0, date_ini, null) as timestamp) as date_min",
+                        "cast(if(values > 0, date_end, null) as timestamp) as date_max"))
 
 
 STORED_STATE = """

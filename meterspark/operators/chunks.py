@@ -137,8 +137,10 @@ def chunk_state_init(calendar: DataFrame, state: DataFrame) -> DataFrame:
 
 def tracked_state(calendar: DataFrame, state: DataFrame) -> DataFrame:
     """The calendar's chunks with their state; all that a run needs. Unlike the full table, it
-    stays partitioned as the calendar is."""
-    return (_packed(_as_new(calendar), "new").join(_packed(state, "known"), CHUNK_KEY, "left")
+    stays partitioned as the calendar is. State has up to 52 rows per meter, more than an
+    estimate before the join may say, so it is merged and never broadcast."""
+    known = _packed(state, "known").hint("merge")
+    return (_packed(_as_new(calendar), "new").join(known, CHUNK_KEY, "left")
             .select(*CHUNK_KEY, F.coalesce("known", "new").alias("row"))
             .select(*CHUNK_KEY, "row.*"))
 

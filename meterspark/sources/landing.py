@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from meterspark import schemas as S
-from meterspark.functions.skew import salted_join
+from meterspark.functions import clock
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType,
@@ -37,11 +37,16 @@ def read_gazetteer(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     return read_table(spark, path, S.GAZETTEER_TRIPLE, fmt)
 
 
+def local_month(epoch: Column) -> Column:
+    """Month, as text, of an instant in local time: that of the chunk it belongs to."""
+    return F.date_format(clock.local_date(epoch), "yyyy-MM")
+
+
 def write_readings(readings: DataFrame, path: str, mode: str = "append") -> None:
-    """Land readings by series and month, the columns that requests select on."""
+    """Land readings by series and local month, the columns that requests select on."""
     (readings
      .withColumn("data_type", F.concat_ws("_", "prop", "freq"))
-     .withColumn("month", F.date_format(F.timestamp_seconds("timestamp"), "yyyy-MM"))
+     .withColumn("month", local_month(F.col("timestamp")))
      .hint("rebalance", "data_type", "month")
      .write.mode(mode).partitionBy("data_type", "month").parquet(path))
 
@@ -49,22 +54,20 @@ def write_readings(readings: DataFrame, path: str, mode: str = "append") -> None
 def requested_readings(landed: DataFrame, requests: DataFrame) -> DataFrame:
     """Landed readings of the meters, series and days asked for (`request_plan`).
 
-    The few pairs of series and month asked for (at most 3 x 26) are broadcast, so that Spark
-    reads just those partitions; meters and days are settled by a join, in which a meter holding
-    a large share of the readings is split.
+    The few pairs of series and month asked for (at most 52) are broadcast, so that Spark reads
+    just those partitions. Meters and days are settled by a join; should a meter hold a large
+    share of the readings, adaptive execution splits its partition. Requests are read twice.
     """
-    day = F.to_date(F.from_utc_timestamp(F.timestamp_seconds("timestamp"), S.ZONE))
-    # A local day reaches into the UTC month before it, hence one more month at the start.
+    day = clock.local_date(F.col("timestamp"))
     asked = (requests
              .select("cups", "data_type", F.to_date("start_date").alias("lo"),
                      F.to_date("end_date").alias("hi"))
              .withColumn("month", F.explode(F.sequence(
-                 F.trunc(F.date_sub("lo", 1), "month"), F.trunc("hi", "month"),
-                 F.expr("INTERVAL 1 MONTH"))))
+                 F.trunc("lo", "month"), F.trunc("hi", "month"), F.expr("INTERVAL 1 MONTH"))))
              .withColumn("month", F.date_format("month", "yyyy-MM")))
     parts = asked.select("data_type", "month").distinct()
-    pruned = landed.join(F.broadcast(parts), ["data_type", "month"], "left_semi")
-    return (salted_join(pruned.withColumn("day", day), asked, ["cups", "data_type", "month"],
-                        ["timestamp"], how="inner", counted=pruned)
+    return (landed.join(F.broadcast(parts), ["data_type", "month"], "left_semi")
+            .withColumn("day", day)
+            .join(asked, ["cups", "data_type", "month"])
             .filter(F.col("day").between(F.col("lo"), F.col("hi")))
             .drop("day", "lo", "hi"))
