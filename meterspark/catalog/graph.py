@@ -65,7 +65,7 @@ _RULES_SQL = "[" + ",\n".join(
         ("device", f"'{BIGG}hasDeviceType'", f"'{BIGG}Meter.EnergyMeter.Electricity'", "NULL",
          "iri"),
         ("device", f"'{BIGG}hasDeviceLocationInfo'", "loc", "NULL", "iri"),
-        ("device", f"'{BIGG}source'", "'DatadisSource'", "NULL", "literal"),
+        ("device", f"'{BIGG}source'", f"'{V.PROVIDER}'", "NULL", "literal"),
         ("device", f"'{BIGG}nif'", "'N' || n", "NULL", "literal"),
         ("device", f"'{BIGG}authorized_nif'", "CASE WHEN b > 5000 THEN 'M' || n END", "NULL",
          "literal"),
@@ -98,9 +98,9 @@ _RULES_SQL = "[" + ",\n".join(
 TRIPLES = f"""
 named AS (
   SELECT *, c_acctbal AS b, c_nationkey AS n, 'ES' || c_custkey AS cups,
-    'https://icaen.cat#DEVICE-DatadisSource-ES' || c_custkey AS device,
+    printf('{V.DEVICE_URI}', 'ES' || c_custkey) AS device,
     'https://icaen.cat#SUPPLY-ES' || c_custkey AS upod,
-    'https://icaen.cat#LOCATION-DEVICE-DatadisSource-ES' || c_custkey AS loc,
+    printf('https://icaen.cat#LOCATION-DEVICE-{V.PROVIDER}-%s', 'ES' || c_custkey) AS loc,
     CASE WHEN c_acctbal > 0 THEN 'https://icaen.cat#BUILDINGSPACE-E' || c_nationkey END AS space
   FROM customer),
 triples AS (
@@ -214,7 +214,7 @@ SELECT src, type, dst,
   CASE WHEN type <> 'hasDeviceLocationInfo' AND o_orderstatus = 'O' AND o_totalprice > 100000
        THEN 'true' ELSE '-' END AS selected,
   CASE WHEN type <> 'hasDeviceLocationInfo' AND o_orderstatus = 'O' AND o_totalprice > 100000
-       THEN 'DATADIS' ELSE '-' END AS source FROM e""")
+       THEN '""" + V.LOCATION_SOURCE + """' ELSE '-' END AS source FROM e""")
 def mark_location_edges(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     lit = F.lit
@@ -246,10 +246,10 @@ def _dashed(df, *columns):
     return df.withColumns({c: F.coalesce(text(c), F.lit("-")) for c in columns})
 
 
-_DEVICE_SQL = """
+_DEVICE_SQL = f"""
 d AS (
   SELECT 'D' || o_orderkey AS uri, o_totalprice > 100000 AS ours, o_orderstatus AS st,
-    CASE WHEN o_totalprice > 100000 THEN 'DatadisSource' ELSE 'other' END AS source,
+    CASE WHEN o_totalprice > 100000 THEN '{V.PROVIDER}' ELSE 'other' END AS source,
     CASE WHEN o_orderpriority < '3' THEN 'Accepted' END AS cancelled,
     CASE WHEN o_orderpriority > '4' THEN o_orderstatus = 'F' END AS new_supply FROM orders)"""
 
@@ -408,8 +408,8 @@ def forget_linked_nif(spark, sf_dir):
     return _dashed(graph.forget_linked_nif(devices, logins), "nif")
 
 
-@query("""SELECT 'D' || o_orderkey AS uri,
-  CASE WHEN o_orderstatus = 'O' THEN 'DatadisSource' ELSE o_orderpriority END AS source,
+@query(f"""SELECT 'D' || o_orderkey AS uri,
+  CASE WHEN o_orderstatus = 'O' THEN '{V.PROVIDER}' ELSE o_orderpriority END AS source,
   CASE WHEN o_orderstatus = 'F' THEN 'other' ELSE '-' END AS bigg__source FROM orders""")
 def rename_source(spark, sf_dir):
     status = F.col("o_orderstatus")

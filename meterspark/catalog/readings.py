@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from meterspark import vocabulary as V
 from meterspark.catalog import tables as t
 from meterspark.catalog.registry import query, table
 from meterspark.operators import graph, readings as R, timeseries as TS
 
 HARMONIZED_SQL = "prop = 'EnergyConsumptionGridElectricity' AND freq IN ('PT1H', 'PT15M')"
-URI_SQL = "'https://icaen.cat#SENSOR-datadis-' || cups || '-' || prop || '-RAW-' || freq"
+URI_SQL = f"printf('{V.SENSOR_URI}', cups, prop, freq)"
 
 
 @query(f"""WITH {t.READINGS}
@@ -85,8 +86,8 @@ def bucket_keys(spark, sf_dir):
 
 @query(f"""WITH {t.READINGS}
 SELECT DISTINCT cups, prop, freq, {URI_SQL} AS sensor_uri, sha256({URI_SQL}) AS hash,
-  'https://icaen.cat#DEVICE-DatadisSource-' || cups AS device_uri,
-  'https://icaen.cat#' || sha256({URI_SQL}) AS measurement_uri FROM readings""")
+  printf('{V.DEVICE_URI}', cups) AS device_uri,
+  printf('{V.MEASUREMENT_URI}', sha256({URI_SQL})) AS measurement_uri FROM readings""")
 def sensor_identity(spark, sf_dir):
     return TS.sensor_identity(t.readings(spark, sf_dir).select("cups", "prop", "freq").distinct())
 
@@ -120,8 +121,8 @@ def _stored_sensors(spark, sf_dir):
 
 COVERAGE = f"""
 stored AS (
-  SELECT 'https://icaen.cat#SENSOR-datadis-' || c_custkey
-           || '-EnergyConsumptionGridElectricity-RAW-PT1H' AS sensor_uri,
+  SELECT printf('{V.SENSOR_URI}', CAST(c_custkey AS VARCHAR),
+                'EnergyConsumptionGridElectricity', 'PT1H') AS sensor_uri,
          epoch_us(TIMESTAMP '2023-12-25' + to_days(CAST(floor(abs(c_acctbal) / 250) AS INTEGER)))
            // 1000000 AS lo,
          epoch_us(TIMESTAMP '2024-01-20' + to_days(CAST(floor(abs(c_acctbal) / 250) AS INTEGER)))
@@ -154,8 +155,7 @@ TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
 
 @query(f"""WITH {t.READINGS}, {COVERAGE},
 ids AS (
-  SELECT *, 'https://icaen.cat#DEVICE-DatadisSource-' || cups AS device,
-    'https://icaen.cat#' || hash AS meas,
+  SELECT *, printf('{V.DEVICE_URI}', cups) AS device, printf('{V.MEASUREMENT_URI}', hash) AS meas,
     strftime(make_timestamp(first_ts * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS lo,
     strftime(make_timestamp(last_ts * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS hi
   FROM coverage)

@@ -43,6 +43,13 @@ def max_power_long(wide: DataFrame) -> DataFrame:
             .filter(F.col("period_ts").isNotNull()))
 
 
+def power_readings(wide: DataFrame) -> DataFrame:
+    """Maximum-power rows as delivered, one reading each, for counting against their chunk."""
+    return wide.select(F.col("cups_period_").alias("cups"),
+                       F.unix_seconds("datetime").alias("timestamp"),
+                       F.lit("Power").alias("prop"), F.lit("P1M").alias("freq"))
+
+
 def latest_readings(readings: DataFrame, order: list[str]) -> DataFrame:
     """Re-delivered readings overwrite earlier ones of the same meter, series and instant."""
     return last_by(readings, ["cups", "prop", "freq", "timestamp"], order)

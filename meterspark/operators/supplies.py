@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -61,12 +63,14 @@ def building_lookup(supplies: DataFrame, by_supply: DataFrame, by_nif: DataFrame
 
 
 def fuzzy_place_match(names: DataFrame, gazetteer: DataFrame, column: str,
-                      block: int = GAZETTEER_BLOCK) -> DataFrame:
+                      block: int = GAZETTEER_BLOCK,
+                      score: Callable[[Column, Column], Column] = similarity) -> DataFrame:
     """The most similar gazetteer entry for each distinct name; there is always one.
 
     Names equal to an entry once case and punctuation are set aside are settled by an equi-join.
     Each other name visits the gazetteer in blocks of about `block` names and keeps one best
-    entry per block, so no pair of names ever becomes a row. Ties go to the smallest id.
+    entry per block, so no pair of names ever becomes a row. Ties go to the smallest id. `score`
+    is 1 for equal names and less for others.
     """
     entries = (gazetteer.withColumn("plain", plain_name(F.col("name")))
                .groupBy("plain").agg(F.min("geo_id").alias("geo_id")))
@@ -83,7 +87,7 @@ def fuzzy_place_match(names: DataFrame, gazetteer: DataFrame, column: str,
               .withColumn("block", F.pmod(F.xxhash64("plain"), n_blocks).cast("int"))
               .groupBy("block").agg(F.collect_list(F.struct("plain", "geo_id")).alias("places")))
     scored = F.transform("places", lambda p: F.struct(
-        (-similarity(F.col("plain"), p["plain"])).alias("cost"), p["geo_id"].alias("geo_id")))
+        (-score(F.col("plain"), p["plain"])).alias("cost"), p["geo_id"].alias("geo_id")))
     best = (open_names.withColumn("block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
             .join(blocks, "block")
             .select("probe", F.array_min(scored).alias("b"))

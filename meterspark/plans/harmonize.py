@@ -42,6 +42,8 @@ def harmonize_supplies(records: DataFrame, lookups: Lookups, update_date: str,
     df = S.owner_state(given.withColumn("update_date", F.lit(update_date)), per_row)
     df = S.building_lookup(df, lookups.building_by_supply, lookups.building_by_nif, given)
     for column, level in (("municipality", V.MUNICIPALITY_LEVEL), ("province", V.PROVINCE_LEVEL)):
+        if column not in records.columns:
+            continue  # all null, nothing to match
         places = gazetteer_pattern(lookups.gazetteer, level)
         df = S.replace_place(df, S.fuzzy_place_match(given, places, column), column, given)
     return S.enrolment_merge(df, lookups.devices)

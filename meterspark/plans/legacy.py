@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from meterspark.operators import legacy
 
 KEY = ["hash", "start_time"]
+# Order of the columns in exchange files, which carry no header.
+EXCHANGE = T.StructType([
+    T.StructField("hash", T.StringType()), T.StructField("start_time", T.LongType()),
+    T.StructField("consumptionKWh", T.FloatType()), T.StructField("datetime", T.StringType()),
+    T.StructField("obtainMethod", T.StringType())])
+
+
+def export_tables(tables: list[DataFrame], path: str) -> None:
+    """Write all rows of tables with composite keys as one set of exchange files."""
+    rows = legacy.union_tables([legacy.composite_key_scan(t) for t in tables])
+    legacy.write_tsv(rows.select(*EXCHANGE.fieldNames()), path)
+
+
+def import_rows(spark: SparkSession, path: str, order: list[str]) -> DataFrame:
+    """Exchange files as a table with unique keys; the last row by `order` stays."""
+    return legacy.merge_tables_lww([legacy.read_tsv(spark, path, EXCHANGE)], KEY, order)
 
 
 def merge_legacy(tables: list[DataFrame], order: list[str]) -> DataFrame:

@@ -91,6 +91,12 @@ def kafka_messages(spark: SparkSession, servers: str, topics: list[str],
             .select("topic", F.col("key").cast("string"), F.col("value").cast("string")))
 
 
+def send(messages: DataFrame, servers: str) -> None:
+    """Write messages (`topic, key, value`) to Kafka; needs the same package."""
+    (messages.select("topic", "key", "value").write.format("kafka")
+     .option("kafka.bootstrap.servers", servers).save())
+
+
 def file_messages(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
     """Messages landed as parquet files of `topic, key, value`."""
     return (spark.readStream.schema("topic string, key string, value string")

@@ -39,10 +39,9 @@ def expected(sf_dir: str, sql: str):
     return [d[0] for d in cur.description], cur.fetchall()
 
 
-def differences(spark, sf_dir: str, name: str) -> str | None:
-    """None when the query and its SQL agree, else what differs."""
+def differences(df, sf_dir: str, name: str) -> str | None:
+    """None when the query's result and its SQL agree, else what differs."""
     from meterspark import catalog
-    df = catalog.queries()[name](spark, sf_dir)
     got = df.collect()
     if name not in catalog.oracle_sql():
         return None if got else "no rows"
@@ -64,7 +63,7 @@ if __name__ == "__main__":
     for query in sys.argv[2:] or catalog.queries():
         started = time.time()
         try:
-            problem = differences(spark, sf, query)
+            problem = differences(catalog.queries()[query](spark, sf), sf, query)
         except Exception as e:  # report and go on with the next query
             problem = f"{type(e).__name__}: {str(e)[:1500]}"
         print(f"{time.time() - started:6.1f}s {query}: {problem or 'ok'}", flush=True)

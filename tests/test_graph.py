@@ -27,7 +27,7 @@ def test_null_fields_give_no_triple(spark):
     rows = graph.supply_triples(record(spark, cups="ES1", supply_name="ES1")).collect()
     subjects = {r.subject for r in rows}
     assert not any("BUILDINGSPACE" in s for s in subjects)
-    device = [r for r in rows if r.subject == "https://icaen.cat#DEVICE-DatadisSource-ES1"]
+    device = [r for r in rows if r.subject == V.DEVICE_URI % "ES1"]
     # Four types, name, device type, location and source are all that does not need a field.
     assert len(device) == 8
 
@@ -37,11 +37,11 @@ def test_typed_dynamic_and_constant_objects(spark):
         spark, cups="ES1", supply_name="ES1", ens="E'1", nif="N1", nif_ab="Alta", enrolled=True,
         startDate="2024-01-01T00:00:00", municipality="77")).collect()
     by = {(r.subject.split("#")[-1], r.predicate): r for r in rows}
-    device = "DEVICE-DatadisSource-ES1"
+    device = (V.DEVICE_URI % "ES1").split("#")[1]
     assert by[device, BIGG + "nif_N1"].object == "Alta"
     assert by[device, BIGG + "enrolled"][2:4] == ("true", V.PREFIXES["xsd"] + "boolean")
     assert by[device, BIGG + "startDate"].datatype == V.PREFIXES["xsd"] + "dateTime"
-    assert by[device, BIGG + "source"][2:] == ("DatadisSource", None, "literal")
+    assert by[device, BIGG + "source"][2:] == (V.PROVIDER, None, "literal")
     assert by["LOCATION-" + device, BIGG + "hasAddressCity"][2:] == (
         "https://sws.geonames.org/77/", None, "iri")
     assert by["BUILDINGSPACE-E'1", BIGG + "isObservedByDevice"].object_kind == "iri"
@@ -102,7 +102,7 @@ def test_places_are_marked_when_both_are_known(spark):
                                     "uri string, source string")
     marked = graph.mark_location_edges(df, devices).filter("selected").collect()
     assert sorted((r.src, r.type, r.source) for r in marked) == [
-        ("l1", V.HAS_CITY, "DATADIS"), ("l1", V.HAS_PROVINCE, "DATADIS")]
+        ("l1", V.HAS_CITY, V.LOCATION_SOURCE), ("l1", V.HAS_PROVINCE, V.LOCATION_SOURCE)]
 
 
 DEVICE = ("uri string, source string, enrolled boolean, stateCancelled string, endDate string, "

@@ -1,4 +1,4 @@
-"""Every query against its SQL on the smallest tables."""
+"""Every query against its SQL on the smallest tables, and the shape of its plan."""
 
 import pytest
 from oracle import differences
@@ -8,9 +8,23 @@ from meterspark import catalog
 SF = "/root/testdata/sf0.001"
 
 
+def check_plan(df):
+    """Work stays in the JVM, nothing is joined pair by pair, no rows meet in one task."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython",
+                "BatchEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
+        assert bad not in plan, bad
+    lines = plan.splitlines()
+    for line, below in zip(lines, lines[1:]):
+        # Only partial results of a global count or flag may.
+        assert "SinglePartition" not in line or "partial_" in below
+
+
 @pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_agrees_with_sql(spark, name):
-    assert differences(spark, SF, name) is None
+    df = catalog.queries()[name](spark, SF)
+    check_plan(df)
+    assert differences(df, SF, name) is None
 
 
 def test_every_query_has_sql():

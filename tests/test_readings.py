@@ -43,6 +43,15 @@ def test_max_power_drops_empty_periods(spark):
     assert [tuple(r) for r in rows] == [("c1", 1704067200, 1, 1704067200, 3.5)]
 
 
+def test_power_rows_count_once_per_delivery(spark):
+    at = utc("2024-01-01T00:00:00")
+    wide = spark.createDataFrame([("c1", at, at, 3.5, at, 9.9)],
+        "cups_period_ string, datetime timestamp, datetime_period_1 timestamp, "
+        "maxPower_period_1 double, datetime_period_2 timestamp, maxPower_period_2 double")
+    assert [tuple(r) for r in R.power_readings(wide).collect()] == [
+        ("c1", 1704067200, "Power", "P1M")]
+
+
 def test_max_power_takes_any_number_of_periods(spark):
     at = utc("2024-01-01T00:00:00")
     names = "".join(f", datetime_period_{n} timestamp, maxPower_period_{n} double"
