@@ -14,3 +14,12 @@ def similarity(a: Column, b: Column) -> Column:
     """1 for equal strings, falling with each edit relative to the longer one."""
     longest = F.greatest(F.length(a), F.length(b), F.lit(1))
     return F.lit(1.0) - F.levenshtein(a, b) / longest
+
+
+def any_order_similarity(a: Column, b: Column) -> Column:
+    """`similarity`, or nearly that of both names with their words sorted, if greater; so
+    "hospitalet l" finds "l hospitalet"."""
+    def ordered(name: Column) -> Column:
+        return F.array_join(F.array_sort(F.split(name, " ")), " ")
+
+    return F.greatest(similarity(a, b), F.lit(0.95) * similarity(ordered(a), ordered(b)))

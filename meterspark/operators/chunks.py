@@ -55,9 +55,10 @@ def chunk_calendar(supplies: DataFrame, as_of: date, strict_valid_to: bool = Fal
     can join on it without moving the calendar's many rows (see `by_meter`).
     """
     end = history_end(F.col("validDateTo"), as_of, strict_valid_to)
+    # The end of the history is computed before, not along with, the explosion into chunks.
     return (supplies
-            .select("cups", *keep, end.alias("history_end"),
-                    F.explode(calendar_blocks(as_of, series)).alias("c"))
+            .select("cups", *keep, end.alias("history_end"))
+            .withColumn("c", F.explode(calendar_blocks(as_of, series)))
             .filter(F.col("c.date_ini") < F.col("history_end"))
             .select("cups", *keep, "c.*"))
 

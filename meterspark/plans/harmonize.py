@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from meterspark import vocabulary as V
+from meterspark.functions.text import similarity
 from meterspark.operators import graph, supplies as S, timeseries
 from meterspark.sources.gazetteer import gazetteer_pattern
 
@@ -32,8 +34,9 @@ def building_tables(edges: DataFrame, generic: DataFrame) -> tuple[DataFrame, Da
 
 
 def harmonize_supplies(records: DataFrame, lookups: Lookups, update_date: str,
-                       per_row: bool = False) -> DataFrame:
-    """Enriched supply records. `update_date` is the run's ISO time.
+                       per_row: bool = False,
+                       score: Callable[[Column, Column], Column] = similarity) -> DataFrame:
+    """Enriched supply records. `update_date` is the run's ISO time; `score` compares places.
 
     What depends on the record alone comes first, and everything that has to look at all records
     beforehand (flags, distinct names, hot keys) reads `records`, not the joined rows.
@@ -45,7 +48,8 @@ def harmonize_supplies(records: DataFrame, lookups: Lookups, update_date: str,
         if column not in records.columns:
             continue  # all null, nothing to match
         places = gazetteer_pattern(lookups.gazetteer, level)
-        df = S.replace_place(df, S.fuzzy_place_match(given, places, column), column, given)
+        df = S.replace_place(df, S.fuzzy_place_match(
+            given, places, column, score=score), column, given)
     return S.enrolment_merge(df, lookups.devices)
 
 

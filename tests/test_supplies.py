@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from meterspark.functions.text import any_order_similarity
 from meterspark.operators import supplies as S
 from meterspark.schemas import CONTRACT, SUPPLY
 from meterspark.sources.gazetteer import gazetteer_pattern
@@ -151,3 +152,11 @@ def test_replace_place(spark):
     places = spark.createDataFrame([("Barcelona", "7"), ("Girona", "8")], "name string, geo_id string")
     matched = S.replace_place(df, S.fuzzy_place_match(df, places, "municipality"), "municipality")
     assert {r.cups: r.municipality for r in matched.collect()} == {"c1": "7", "c2": "7", "c3": None}
+
+
+def test_words_in_another_order(spark):
+    names = spark.createDataFrame([("HOSPITALET DE LLOBREGAT (L')",), ("Reuss",)], "m string")
+    places = spark.createDataFrame([("L'Hospitalet de Llobregat", "1"), ("Hospital de Orbigo", "2"),
+                                    ("Reus", "3")], "name string, geo_id string")
+    got = S.fuzzy_place_match(names, places, "m", score=any_order_similarity).collect()
+    assert {r.geo_id: round(r.score, 2) for r in got} == {"1": 0.95, "3": 0.8}
