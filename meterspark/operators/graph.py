@@ -257,9 +257,10 @@ def ended_links(edges: DataFrame, owners: DataFrame, logins: DataFrame) -> DataF
     """
     decided = owner_argmax(owners)
     supplied = edges_of(edges, V.HAS_DEVICE, "upod", "src").select("src").distinct()
-    links = edges_of(edges, V.IMPORTED_FROM, "src", "dst").join(supplied, "src", "left_semi")
-    named = salted_join(links, logins.select(F.col("uri").alias("dst"), "username"), ["dst"],
-                        ["src"], how="inner")
+    links = edges_of(edges, V.IMPORTED_FROM, "src", "dst")
+    named = salted_join(links.join(supplied, "src", "left_semi"),
+                        logins.select(F.col("uri").alias("dst"), "username"), ["dst"], ["src"],
+                        how="inner", counted=links)
     entry = owners.select(F.col("dev").alias("src"), F.col("nif").alias("username"),
                           F.lit(True).alias("listed")).distinct()
     active = F.col("until") == V.ACTIVE

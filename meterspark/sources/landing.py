@@ -62,12 +62,13 @@ def requested_readings(landed: DataFrame, requests: DataFrame) -> DataFrame:
     asked = (requests
              .select("cups", "data_type", F.to_date("start_date").alias("lo"),
                      F.to_date("end_date").alias("hi"))
-             .withColumn("month", F.explode(F.sequence(
-                 F.trunc("lo", "month"), F.trunc("hi", "month"), F.expr("INTERVAL 1 MONTH"))))
-             .withColumn("month", F.date_format("month", "yyyy-MM")))
-    parts = asked.select("data_type", "month").distinct()
+             .withColumn("first", F.explode(F.sequence(
+                 F.trunc("lo", "month"), F.trunc("hi", "month"), F.expr("INTERVAL 1 MONTH")))))
+    month = F.substring(F.col("first").cast("string"), 1, 7).alias("month")
+    parts = asked.select("data_type", "first").distinct().select("data_type", month)
     return (landed.join(F.broadcast(parts), ["data_type", "month"], "left_semi")
             .withColumn("day", day)
-            .join(asked, ["cups", "data_type", "month"])
+            .join(asked.select("cups", "data_type", "lo", "hi", month),
+                  ["cups", "data_type", "month"])
             .filter(F.col("day").between(F.col("lo"), F.col("hi")))
             .drop("day", "lo", "hi"))
