@@ -13,6 +13,14 @@ BASE_2 = 0xD1342543DE82EF95
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
+class Places(dict):
+    """Numbers keys from 0 in the order in which they are first looked up."""
+
+    def __missing__(self, key: bytes) -> int:
+        self[key] = at = len(self)
+        return at
+
+
 def words_of(text: str | None, lower: bool = False) -> list[bytes]:
     """Runs of anything but space and \\x09-\\x0D, which is how bytes are split."""
     raw = (text or "").encode()
