@@ -195,5 +195,5 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
              .select("doc_id", "text", F.col("_before").alias("_range"), F.lit(True).alias("_after")))
     rows = (ranged.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "_range",
                           F.lit(False).alias("_after")).unionByName(heads))
-    return (rows.repartition(parts, "_range").sortWithinPartitions("_range", "_after", "doc_id", "text")
+    return (rows.repartitionById(parts, "_range").sortWithinPartitions("_range", "_after", "doc_id", "text")
             .select("doc_id", "text", "_after").mapInArrow(_pairs, RESULT))
