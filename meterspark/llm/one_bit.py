@@ -3,14 +3,15 @@
 Vectors are scaled to length 1, padded and rotated at random to `bits` coordinates, of which just the
 signs are kept, together with one scalar: the inner product of the rotated vector with its code. The
 inner product with a query is estimated from code and scalar, with the bound `spread` / sqrt(bits) on
-its error (for a random rotation it is exceeded with a chance that falls as exp(-spread**2 / 2)).
+its error (for a random rotation it is exceeded with a chance that falls as exp(-spread**2 / 2); the
+queries of the tests find all of the exact nearest).
 A candidate whose upper bound is below the k-th best lower bound of a query cannot be among its k
 nearest; all others are reranked by the exact cosine in double precision.
 
 Every row is indexed: equal vectors are one entry, which knows their smallest ids, so a vector that
 a third of the rows share costs no more than another. Queries and entries are dealt into blocks of
-bounded size; each task takes a block of queries through the blocks of codes and passes on just what
-may still be near.
+bounded size, and blocks of queries meet blocks of codes twice: first for the best lower bounds, which
+give each query its threshold, then for the candidates whose upper bounds reach it.
 
 Vectors that are null, zero, hold null or non-finite components, or differ in length from most rows
 take no part. Rows with a null id take none either. Equal ids with equal vectors count once. Extra
@@ -28,14 +29,15 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from meterspark.llm import blocks
 from meterspark.llm.storage import kept
 
-BITS_PER_DIM = 8
-SPREAD = 3.0
+BITS_PER_DIM = 16
+SPREAD = 2.5
 CODE_BLOCK = 4096
 QUERY_BLOCK = 512
 
 CODES = "ids binary, codes binary, scales binary"
-QUERIES = "_part int, queries binary, turned binary"
-FOUND = "query long, node long, low double, high double"
+QUERIES = "_part int, queries binary, turned binary, least binary"
+LOWS = "query long, low double"
+NEAR = "query long, node long"
 
 
 def rotation(dim: int, bits: int, seed: int = 0) -> np.ndarray:
@@ -51,9 +53,9 @@ def _turned(vectors: pa.ChunkedArray, turn: np.ndarray) -> np.ndarray:
     return (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32) @ turn.T
 
 
-def _search(batches: Iterator[pa.RecordBatch], k: int, bits: int) -> Iterator[pa.RecordBatch]:
-    """Estimates between the queries and codes of each row; what may be among the k nearest."""
-    best: dict[int, np.ndarray] = {}
+def _estimates(batches: Iterator[pa.RecordBatch], bits: int):
+    """Per row (a block of queries with a block of codes): both ids, lower and upper bounds, and the
+    queries' thresholds."""
     for batch in batches:
         for r in batch.to_pylist():
             ids = np.frombuffer(r["ids"], np.int64)
@@ -64,18 +66,23 @@ def _search(batches: Iterator[pa.RecordBatch], k: int, bits: int) -> Iterator[pa
             turned = np.frombuffer(r["turned"], np.float32).reshape(len(queries), bits)
             estimate = (turned @ signs.T) / np.float32(np.sqrt(bits)) / scales
             error = np.sqrt(np.maximum(0, 1 - scales * scales)) / scales * (SPREAD / np.sqrt(bits - 1))
-            low, high = estimate - error, estimate + error
-            top = np.sort(low, axis=1)[:, -k:]
-            known = best.get(r["_part"])
-            if known is not None:
-                top = np.sort(np.concatenate([known, top], 1), axis=1)[:, -k:]
-            best[r["_part"]] = top
-            least = top[:, :1] if top.shape[1] == k else np.full((len(queries), 1), -np.inf)
-            q, c = np.nonzero(high >= least)
-            yield pa.record_batch([pa.array(queries[q]), pa.array(ids[c]),
-                                   pa.array(low[q, c].astype(np.float64)),
-                                   pa.array(high[q, c].astype(np.float64))],
-                                  schema=blocks.arrow_schema(FOUND))
+            yield queries, ids, estimate - error, estimate + error, np.frombuffer(r["least"], np.float64)
+
+
+def _best_lows(batches: Iterator[pa.RecordBatch], k: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """The k best lower bounds of each query in each block of codes."""
+    for queries, _, low, _, _ in _estimates(batches, bits):
+        k_here = min(k, low.shape[1])
+        best = np.partition(low, low.shape[1] - k_here, axis=1)[:, -k_here:].astype(np.float64)
+        yield pa.record_batch([pa.array(np.repeat(queries, k_here)), pa.array(best.ravel())],
+                              schema=blocks.arrow_schema(LOWS))
+
+
+def _may_be_near(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Pairs whose upper bound reaches the query's threshold."""
+    for queries, ids, _, high, least in _estimates(batches, bits):
+        q, c = np.nonzero(high >= least[:, None])
+        yield pa.record_batch([pa.array(queries[q]), pa.array(ids[c])], schema=blocks.arrow_schema(NEAR))
 
 
 def _cosine(a: str, b: str) -> Column:
@@ -120,22 +127,30 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
     def queries(table: pa.Table) -> pa.Table:
         return blocks.table_of([(table["_part"][0].as_py(),
                                  table["node"].to_numpy().astype(np.int64).tobytes(),
-                                 _turned(table["v"], turn).tobytes())], QUERIES)
+                                 _turned(table["v"], turn).tobytes(),
+                                 table["least"].to_numpy().astype(np.float64).tobytes())], QUERIES)
 
     n_codes = max(1, -(-nodes.count() // CODE_BLOCK))
     n_queries = max(1, -(-seeds.count() // QUERY_BLOCK))
     coded = nodes.withColumn("_block", F.pmod(F.xxhash64("node"), F.lit(n_codes)).cast("int")) \
         .select("_block", "node", "v").groupBy("_block").applyInArrow(codes, CODES)
-    parts = seeds.withColumn("_part", F.pmod(F.xxhash64("node"), F.lit(n_queries)).cast("int")) \
-        .select("_part", "node", "v").groupBy("_part").applyInArrow(queries, QUERIES)
-    met = coded.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1)))) \
-        .join(parts, "_part")
-    found = kept(met.mapInArrow(lambda b: _search(b, k + 1, bits), FOUND))
-
-    lows = W.partitionBy("query").orderBy(F.desc("low"), "node")
-    least = (found.withColumn("nth", F.row_number().over(lows)).filter(F.col("nth") <= k + 1)
-             .groupBy("query").agg(F.min("low").alias("least"), F.max("nth").alias("n")))
-    near = found.join(least, "query").filter((F.col("high") >= F.col("least")) | (F.col("n") <= k))
+    coded = kept(coded)
+
+    def met(least: DataFrame) -> DataFrame:
+        """Every block of queries, with their thresholds, next to every block of codes."""
+        parts = (seeds.join(least, seeds["node"] == least["query"], "left")
+                 .withColumn("_part", F.pmod(F.xxhash64("node"), F.lit(n_queries)).cast("int"))
+                 .select("_part", "node", "v", F.coalesce("least", F.lit(float("-inf"))).alias("least"))
+                 .groupBy("_part").applyInArrow(queries, QUERIES))
+        return coded.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1)))) \
+            .join(parts, "_part")
+
+    nowhere = seeds.select(F.col("node").alias("query"), F.lit(float("-inf")).alias("least"))
+    lows = met(nowhere).mapInArrow(lambda b: _best_lows(b, k + 1, bits), LOWS)
+    nth_low = F.row_number().over(W.partitionBy("query").orderBy(F.desc("low")))
+    least = kept(lows.withColumn("nth", nth_low).filter(F.col("nth") == k + 1)
+                 .select("query", F.col("low").alias("least")))
+    near = met(least).mapInArrow(lambda b: _may_be_near(b, bits), NEAR)
     exact = (near.select("query", "node")
              .join(nodes.select("node", F.col("v").alias("b"), "ids"), "node")
              .join(nodes.select(F.col("node").alias("query"), F.col("v").alias("a")), "query")
