@@ -120,13 +120,13 @@ all_triples AS (
   SELECT subject, predicate, object, object_kind, 1 AS ver FROM triples
   UNION ALL
   SELECT device, '{BIGG}tension', 'AT', 'literal', 2 FROM named WHERE b > 3000)
-SELECT 'property' AS kind, subject AS a, predicate AS b, object AS c FROM (
+SELECT 'property' AS kind, subject AS a, replace(predicate, '{BIGG}', 'bigg__') AS b, object AS c FROM (
   SELECT *, row_number() OVER (PARTITION BY subject, predicate ORDER BY ver DESC) AS rn
   FROM all_triples WHERE object_kind = 'literal') WHERE rn = 1
 UNION ALL
-SELECT DISTINCT 'label', subject, object, '' FROM all_triples WHERE predicate = '{TYPE}'
+SELECT DISTINCT 'label', subject, replace(object, '{BIGG}', 'bigg__'), '' FROM all_triples WHERE predicate = '{TYPE}'
 UNION ALL
-SELECT DISTINCT 'edge', subject, predicate, object FROM all_triples
+SELECT DISTINCT 'edge', subject, replace(predicate, '{BIGG}', ''), object FROM all_triples
 WHERE object_kind = 'iri' AND predicate <> '{TYPE}'""")
 def triples_to_graph(spark, sf_dir):
     """A batch of records followed by a later one that changes the tension of some devices."""

@@ -160,7 +160,7 @@ SELECT cups, coalesce("startDate", '-') AS "startDate", coalesce("endDate", '-')
   coalesce("endDate", 'Alta') AS nif_ab, "contractedPowerkW", "lastMarketerDate" FROM states""")
 def owner_state(spark, sf_dir):
     dash = {c: F.coalesce(c, F.lit("-")) for c in ("startDate", "endDate", "stateCancelled")}
-    return S.owner_state(owned_supplies(spark, sf_dir)).withColumns(dash).select(
+    return S.owner_state(owned_supplies(spark, sf_dir), per_row=False).withColumns(dash).select(
         "cups", "startDate", "endDate", "stateCancelled", "stateEnrolled", "nif_ab",
         "contractedPowerkW", "lastMarketerDate")
 
@@ -225,7 +225,7 @@ def fuzzy_place_match(spark, sf_dir):
     kind = F.col("p_type")
     names = table(spark, sf_dir, "part").select(
         F.when(kind == "ECONOMY", F.upper("p_name"))
-        .when(kind == "SMALL", F.concat(F.lit("x"), F.substring("p_name", 2, 1000)))
+        .when(kind == "SMALL", F.concat(F.lit("x"), F.substr("p_name", F.lit(2))))
         .otherwise(F.concat_ws(", ", "p_name", "p_brand")).alias("municipality"))
     places = places_of_level(gazetteer(spark, sf_dir), V.MUNICIPALITY_LEVEL)
     return S.fuzzy_place_match(names, places, "municipality").withColumn(
@@ -274,6 +274,6 @@ def harmonize_supplies(spark, sf_dir):
                             (F.col("o_orderstatus") == "P").alias("enrolled"))
     lookups = harmonize.Lookups(by_nif.filter("ens is null"), by_nif,
                                 gazetteer(spark, sf_dir), devices)
-    return harmonize.harmonize_supplies(records, lookups, "2024-01-31T00:00:00").select(
+    return harmonize.harmonize_supplies(records, lookups, "2024-01-31T00:00:00", per_row=False).select(
         "cups", F.coalesce("ens", F.lit("-")).alias("ens"), "municipality",
         F.coalesce("startDate", F.lit("-")).alias("startDate"), "nif_ab", "enrolled")

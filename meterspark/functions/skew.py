@@ -79,3 +79,14 @@ def last_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     newest_first = W.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
     return (df.withColumn("_rn", F.row_number().over(newest_first))
             .filter(F.col("_rn") == 1).drop("_rn"))
+
+
+def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """`old` with the rows of `new` in place of those with the same keys. One full join, so neither
+    side is computed twice; a null in a new row is a null, not a gap to fill. Keys are unique."""
+    rest = [c for c in old.columns if c not in keys]
+    was = old.select(*keys, F.struct(*rest).alias("_old"))
+    now = new.select(*keys, F.struct(*rest).alias("_new"))
+    row = F.when(F.col("_new").isNotNull(), F.col("_new")).otherwise(F.col("_old"))
+    return was.join(now, keys, "full").withColumn("_row", row).select(
+        *[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in old.columns])

@@ -7,6 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meterspark.functions import clock
+from meterspark.functions.skew import upsert
 from meterspark.schemas import CHUNK_KEY, CHUNK_STATE, RETRIES, SERIES, SeriesType
 
 
@@ -211,7 +212,7 @@ def retry_state(state: DataFrame, observed: DataFrame, as_of: date) -> DataFrame
 
 def chunk_state_upsert(old: DataFrame, new: DataFrame) -> DataFrame:
     """Replace whole rows by key: a null in the new row is a null, not a gap to fill."""
-    return old.join(new, CHUNK_KEY, "left_anti").unionByName(new)
+    return upsert(old, new, CHUNK_KEY)
 
 
 def chunk_prune(state: DataFrame, cutoff_key: str) -> DataFrame:

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meterspark import vocabulary as V
-from meterspark.functions.skew import last_by, salted_join
+from meterspark.functions.skew import last_by, salted_join, upsert
 
 RDF_TYPE = V.PREFIXES["rdf"] + "type"
 EDGE = ["src", "type", "dst"]
@@ -73,9 +73,24 @@ def sensor_triples(sensors: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return apply_rules(sensors.withColumns(at), V.SENSOR_RULES, keep)
 
 
+def stored_name(iri: Column) -> Column:
+    """`prefix__local` of an IRI in a known namespace: how labels and properties are stored."""
+    name = iri
+    for prefix, space in V.PREFIXES.items():
+        name = F.when(F.startswith(iri, F.lit(space)), F.concat(
+            F.lit(f"{prefix}__"), F.substr(iri, F.lit(len(space) + 1)))).otherwise(name)
+    return name
+
+
+def edge_name(iri: Column) -> Column:
+    """What follows the namespace: how edge types are stored (see `vocabulary`)."""
+    return F.regexp_replace(iri, "^.*[#/]", "")
+
+
 def node_labels(triples: DataFrame) -> DataFrame:
     return (triples.filter(F.col("predicate") == RDF_TYPE)
-            .select(F.col("subject").alias("uri"), F.col("object").alias("label")).distinct())
+            .select(F.col("subject").alias("uri"), stored_name(F.col("object")).alias("label"))
+            .distinct())
 
 
 def node_properties(triples: DataFrame, seq: str = "seq") -> DataFrame:
@@ -84,14 +99,14 @@ def node_properties(triples: DataFrame, seq: str = "seq") -> DataFrame:
     Long rows let a node have any number of properties; `node_table` makes columns of them.
     """
     literals = (triples.filter(F.col("object_kind") == "literal")
-                .select(F.col("subject").alias("uri"), F.col("predicate").alias("property"),
-                        F.col("object").alias("value"), "datatype", seq))
+                .select(F.col("subject").alias("uri"),
+                        stored_name(F.col("predicate")).alias("property"), F.col("object").alias("value"), "datatype", seq))
     return last_by(literals, ["uri", "property"], [seq, "value"]).drop(seq)
 
 
 def triple_edges(triples: DataFrame) -> DataFrame:
     return (triples.filter((F.col("object_kind") == "iri") & (F.col("predicate") != RDF_TYPE))
-            .select(F.col("subject").alias("src"), F.col("predicate").alias("type"),
+            .select(F.col("subject").alias("src"), edge_name(F.col("predicate")).alias("type"),
                     F.col("object").alias("dst")).distinct())
 
 
@@ -102,7 +117,31 @@ def triples_to_graph(triples: DataFrame, seq: str = "seq") -> dict[str, DataFram
 
 
 def upsert_properties(stored: DataFrame, new: DataFrame) -> DataFrame:
-    return stored.join(new, ["uri", "property"], "left_anti").unionByName(new)
+    """Replace whole rows by key; both sides are read once."""
+    return upsert(stored, new, ["uri", "property"])
+
+
+def devices_of(properties: DataFrame) -> DataFrame:
+    """Devices as the updates below take them, out of stored properties: one row per node that has a
+    device name, its owner entries in `props`."""
+    def value(name: str) -> Column:
+        return F.max(F.when(F.col("property") == name, F.col("value")))
+
+    owner = F.col("property").rlike(f"^{V.NIF_KEY_PATTERN}$")
+    return (properties.groupBy("uri").agg(
+        value("bigg__deviceName").alias("deviceName"), F.lit(None).cast("string").alias("source"),
+        value("bigg__source").alias("bigg__source"), value("bigg__nif").alias("nif"),
+        value("bigg__enrolled").cast("boolean").alias("enrolled"),
+        value("bigg__stateCancelled").alias("stateCancelled"), value("bigg__endDate").alias("endDate"),
+        F.map_from_entries(F.collect_list(F.when(owner, F.struct("property", "value")))).alias("props"))
+        .filter(F.col("deviceName").isNotNull()))
+
+
+def upods_of(properties: DataFrame) -> DataFrame:
+    """Points of delivery: nodes with an id from their organization."""
+    return node_table(properties, {
+        "id": V.POINT_OF_DELIVERY_ID, "endDate": "bigg__endDate", "newSupply": "bigg__newSupply"}
+    ).filter(F.col("id").isNotNull()).drop("id").withColumn("newSupply", F.col("newSupply").cast("boolean"))
 
 
 def node_table(properties: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -142,13 +181,13 @@ def graph_path_org(edges: DataFrame, generic: DataFrame) -> DataFrame:
 
 def merge_source_edges(devices: DataFrame, sources: DataFrame, edges: DataFrame) -> DataFrame:
     """All edges plus one from each device to the source its owner logs in as, where there is
-    none yet. Edges of other types are not moved."""
+    none yet. Edges keep all their columns; those of other types are not moved."""
     logins = sources.select(F.col("username").alias("nif"), F.col("uri").alias("dst")).distinct()
     owned = devices.filter(F.col("nif").isNotNull()).select(F.col("uri").alias("src"), "nif")
     made = (salted_join(owned, logins, ["nif"], ["src"], how="inner")
             .select("src", F.lit(V.IMPORTED_FROM).alias("type"), "dst").distinct())
     known = edges.filter(F.col("type") == V.IMPORTED_FROM).select(*EDGE)
-    return edges.select(*EDGE).unionByName(made.join(known, EDGE, "left_anti"))
+    return edges.unionByName(made.join(known, EDGE, "left_anti"), allowMissingColumns=True)
 
 
 def forget_linked_nif(devices: DataFrame, sources: DataFrame) -> DataFrame:
@@ -232,7 +271,7 @@ def strip_nif_props(devices: DataFrame) -> DataFrame:
 def device_nifs(nifs: DataFrame) -> DataFrame:
     """One row `(dev, nif, value)` per owner entry of `nif_props_map`."""
     return (nifs.select("dev", F.explode("nifs").alias("key", "value"))
-            .select("dev", F.substring("key", len(V.NIF_KEY_PREFIX) + 1, 1 << 20).alias("nif"),
+            .select("dev", F.substr("key", F.lit(len(V.NIF_KEY_PREFIX) + 1)).alias("nif"),
                     "value"))
 
 

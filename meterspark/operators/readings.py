@@ -28,18 +28,20 @@ def rejected_readings(raw: DataFrame) -> DataFrame:
 def max_power_long(wide: DataFrame) -> DataFrame:
     """One row per meter, instant and tariff period, from any number of period columns.
 
-    A period without an instant is dropped together with its value.
+    A period without an instant is dropped together with its value; without period columns there
+    are no rows.
     """
     periods = sorted({int(m[1]) for c in wide.columns
                       if (m := re.fullmatch(r"datetime_period_(\d+)", c))})
     pairs = F.array(*[F.struct(
         F.lit(n).alias("period"),
         F.unix_seconds(f"datetime_period_{n}").alias("period_ts"),
-        F.col(f"maxPower_period_{n}").cast("double").alias("max_power")) for n in periods])
+        F.col(f"maxPower_period_{n}").cast("double").alias("max_power")) for n in periods]).cast(
+        "array<struct<period:int,period_ts:bigint,max_power:double>>")
     return (wide
             .select(F.col("cups_period_").alias("cups"),
                     F.unix_seconds("datetime").alias("timestamp"), F.explode(pairs).alias("p"))
-            .select("cups", "timestamp", "p.*")
+            .select("cups", "timestamp", *[F.col(f"p.{c}") for c in ("period", "period_ts", "max_power")])
             .filter(F.col("period_ts").isNotNull()))
 
 

@@ -112,12 +112,23 @@ def newest_owner(owners: Column) -> Column:
     return F.array_max(ranked)
 
 
-def owner_state(supplies: DataFrame, per_row: bool = False) -> DataFrame:
+def powers(supplies: DataFrame) -> Column:
+    """Contracted powers as given, joined by dashes; one that came by itself stays as it is."""
+    power = F.col("contractedPowerkW")
+    if isinstance(supplies.schema["contractedPowerkW"].dataType, T.ArrayType):
+        return F.array_join(power.cast("array<string>"), "-")
+    return F.when(F.startswith(power, F.lit("[")), F.array_join(
+        F.from_json(power, "array<string>"), "-")).otherwise(power)
+
+
+def owner_state(supplies: DataFrame, per_row: bool = True) -> DataFrame:
     """Start, end and standing of each supply, from its owner history.
 
-    When any supply of the frame has a history, dates come from histories alone, and a supply
-    without one counts as enrolled. When none has, contract dates stay and nothing is enrolled.
-    `per_row` decides for each supply by itself, so that results do not depend on the batch.
+    A supply with a history gets its dates from it; one without keeps its contract's dates and is
+    not enrolled by it. Each supply is decided by itself, so results do not depend on the batch.
+
+    With `per_row` off, as older runs did, one history in the frame decides for all: dates come from
+    histories alone, and a supply without one counts as enrolled.
     """
     has_history = F.col("dateOwner").isNotNull()
     if per_row:
@@ -141,15 +152,17 @@ def owner_state(supplies: DataFrame, per_row: bool = False) -> DataFrame:
             .withColumns({
                 "stateEnrolled": F.col("_by_history") & F.col("stateCancelled").isNull(),
                 "nif_ab": F.coalesce("endDate", F.lit(V.ACTIVE)),
-                "contractedPowerkW": F.array_join(
-                    F.col("contractedPowerkW").cast("array<string>"), "-"),
+                "contractedPowerkW": powers(supplies),
                 "lastMarketerDate": clock.iso(market),
             })
             .drop("_by_history", "_owner"))
 
 
 def enrolment_merge(supplies: DataFrame, devices: DataFrame) -> DataFrame:
-    """`enrolled` = on record for the device or by its owner history. Devices may repeat."""
+    """`enrolled` = on record for the device or by its owner history. Devices may repeat; where they
+    name a `source`, only the provider's count."""
+    if "source" in devices.columns:
+        devices = devices.filter(F.col("source") == V.PROVIDER)
     on_record = (devices.groupBy(F.col("deviceName").alias("cups"))
                  .agg(F.bool_or("enrolled").alias("_enrolled")))
     return (supplies.join(on_record, "cups", "left")

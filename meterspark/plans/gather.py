@@ -27,10 +27,10 @@ def plan_requests(subscriptions: DataFrame, supplies: DataFrame, state: DataFram
     """Route every supply and list the chunks still worth requesting.
 
     A supply reachable through several logins has one chunk history and is asked for once per
-    login, as routed.
+    login, as routed. Supplies that go to no source are not requested and lose no retry.
     """
     routed = routing.route_supplies(routing.login_sources(subscriptions), supplies)
-    owned = supplies.groupBy("cups").agg(F.max_by("validDateTo", "seq").alias("validDateTo"))
+    owned = routed.filter(F.size("db_list") > 0).groupBy("cups").agg(F.max_by("validDateTo", "seq").alias("validDateTo"))
     calendar = chunks.chunk_calendar(chunks.by_meter(owned), as_of)
     tracked = chunks.tracked_state(calendar, state)
     return Requests(routed, tracked, chunks.request_plan(tracked, routed, as_of))
@@ -50,11 +50,12 @@ def deliver(requests: Requests, delivered: DataFrame, contracts: DataFrame,
             order: tuple[str, ...] = ("seq",)) -> Delivery:
     """Update the chunk state from delivered readings and publish readings and supplies.
 
-    Each source gets the readings of the supplies routed to it, on its own topic. The state returned is that of the
-    tracked chunks; `chunk_state_upsert` puts it into the stored table.
+    Each source gets the readings of the supplies routed to it, on its own topic. A reading that came
+    more than once, through several logins for instance, counts once. The state returned is that of
+    the tracked chunks; `chunk_state_upsert` puts it into the stored table.
     """
-    state = chunks.retry_state(requests.state, chunks.chunk_observed(delivered, as_of), as_of)
     unique = R.latest_readings(delivered, list(order))
+    state = chunks.retry_state(requests.state, chunks.chunk_observed(unique, as_of), as_of)
     wanted = (requests.routed.select("cups", F.explode("db_list").alias("source"))
               .groupBy("cups").agg(F.sort_array(F.collect_set("source")).alias("sources")))
     timeseries = E.publish_envelopes(

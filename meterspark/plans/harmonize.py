@@ -23,18 +23,27 @@ class Lookups:
     devices: DataFrame
 
 
-def building_tables(edges: DataFrame, generic: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Building lookups out of the graph, by supply and by owning organization."""
-    by_supply = graph.graph_path_building(edges).select(
-        F.col("upod").alias("key"), F.col("building").alias("ens"),
-        F.col("building").alias("seq"))
-    by_org = graph.graph_path_org(edges, generic).select(
-        F.col("org").alias("key"), F.col("building").alias("ens"), F.col("building").alias("seq"))
-    return by_supply, by_org
+def building_tables(edges: DataFrame, generic: DataFrame,
+                    properties: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Building lookups out of the graph, by supply and by owning organization.
+
+    Paths lead over nodes; keys and buildings are the ids that organizations gave them, which is
+    what supply records know. Nodes without such an id are left out.
+    """
+    def ids(prop: str, node: str, into: str) -> DataFrame:
+        return properties.filter(F.col("property") == prop).select(
+            F.col("uri").alias(node), F.col("value").alias(into))
+
+    building = ids(V.BUILDING_ID, "building", "ens")
+    by_supply = (graph.graph_path_building(edges).join(ids(V.POINT_OF_DELIVERY_ID, "upod", "key"), "upod")
+                 .join(building, "building"))
+    by_org = (graph.graph_path_org(edges, generic).join(ids(V.ORGANIZATION_ID, "org", "key"), "org")
+              .join(building, "building"))
+    return tuple(df.select("key", "ens", F.col("building").alias("seq")) for df in (by_supply, by_org))
 
 
 def harmonize_supplies(records: DataFrame, lookups: Lookups, update_date: str,
-                       per_row: bool = False,
+                       per_row: bool = True,
                        score: Callable[[Column, Column], Column] = similarity) -> DataFrame:
     """Enriched supply records. `update_date` is the run's ISO time; `score` compares places.
 
@@ -54,11 +63,30 @@ def harmonize_supplies(records: DataFrame, lookups: Lookups, update_date: str,
 
 
 def supply_graph(records: DataFrame, lookups: Lookups, update_date: str,
-                 per_row: bool = False) -> DataFrame:
+                 per_row: bool = True) -> DataFrame:
     """Triples of a batch of supply records."""
     return graph.supply_triples(harmonize_supplies(records, lookups, update_date, per_row))
 
 
+@dataclass(frozen=True)
+class Graph:
+    devices: DataFrame
+    upods: DataFrame
+    edges: DataFrame
+
+
+def graph_update(triples: DataFrame, sources: DataFrame, seq: str = "seq") -> Graph:
+    """The tables that a run's triples make, after the updates that follow a save: the provider's
+    mark moves, its locations' places are marked, devices are tied to the source (`uri, username`)
+    their owner logs in as, and the owner is forgotten where that was done."""
+    parts = graph.triples_to_graph(triples, seq)
+    devices = graph.rename_source(graph.devices_of(parts["properties"]))
+    edges = parts["edges"].withColumns({"selected": F.lit(None).cast("boolean"),
+                                        "source": F.lit(None).cast("string")})
+    edges = graph.merge_source_edges(devices, sources, graph.mark_location_edges(edges, devices))
+    return Graph(graph.forget_linked_nif(devices, sources), graph.upods_of(parts["properties"]), edges)
+
+
 @dataclass(frozen=True)
 class Series:
     points: DataFrame

@@ -56,17 +56,19 @@ def _struct(**fields) -> T.StructType:
 
 _S, _L, _D, _TS = T.StringType(), T.LongType(), T.DoubleType(), T.TimestampType()
 
+# Field names of delivered and published records.
 SUBSCRIPTION = _struct(
     seq=_L, source=_S, username=_S, authorized_nif=T.ArrayType(_S), self=T.BooleanType(),
     cups=T.ArrayType(_S), tables=T.ArrayType(_S), row_keys=T.ArrayType(T.ArrayType(_S)))
 
-# The published supply record: supply fields, then the latest contract's fields.
+# The published supply record: supply fields, then the latest contract's fields. Contracted power is
+# kept as given: a number or a list of numbers, as JSON text.
 SUPPLY = _struct(
     address=_S, cups=_S, postalCode=_S, province=_S, provinceCode=_S, municipality=_S,
     municipioCode=_S, distributor=_S, validDateFrom=_S, validDateTo=_S,
     pointType=T.IntegerType(), distributorCode=_S, nif=_S, authorized_nif=_S,
     measurements=T.ArrayType(MEASUREMENT), startDate=_S, marketer=_S, tension=_S,
-    accessFare=_S, contractedPowerkW=T.ArrayType(_D), timeDiscrimination=_S,
+    accessFare=_S, contractedPowerkW=_S, timeDiscrimination=_S,
     modePowerControl=_S, endDate=_S, codeFare=_S, selfConsumptionTypeCode=_S,
     selfConsumptionTypeDesc=_S, section=_S, subsection=_S, partitionCoefficient=_S,
     cau=_S, installedCapacity=_D, dateOwner=T.ArrayType(OWNER), lastMarketerDate=_S,
@@ -79,7 +81,7 @@ LANDED_SUPPLY = _struct(
 
 CONTRACT = _struct(
     seq=_L, cups=_S, startDate=_S, endDate=_S, marketer=_S, tension=_S, accessFare=_S,
-    contractedPowerkW=T.ArrayType(_D), timeDiscrimination=_S, modePowerControl=_S, codeFare=_S,
+    contractedPowerkW=_S, timeDiscrimination=_S, modePowerControl=_S, codeFare=_S,
     selfConsumptionTypeCode=_S, selfConsumptionTypeDesc=_S, section=_S, subsection=_S,
     partitionCoefficient=_S, cau=_S, installedCapacity=_D, dateOwner=T.ArrayType(OWNER),
     lastMarketerDate=_S, maxPowerInstall=_S)

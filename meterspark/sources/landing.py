@@ -29,6 +29,13 @@ def supplies_in(documents: DataFrame, column: str = "value") -> DataFrame:
             .select("r.*"))
 
 
+def rejected_documents(documents: DataFrame, column: str = "value") -> DataFrame:
+    """Documents that `supplies_in` gets nothing from because they cannot be read: for quarantine."""
+    layout = "supplies array<string>"
+    return documents.filter(F.col(column).isNotNull()
+                            & F.from_json(column, layout)["supplies"].isNull())
+
+
 def read_chunk_state(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, S.CHUNK_STATE)
 
@@ -54,14 +61,15 @@ def write_readings(readings: DataFrame, path: str, mode: str = "append") -> None
 def requested_readings(landed: DataFrame, requests: DataFrame) -> DataFrame:
     """Landed readings of the meters, series and days asked for (`request_plan`).
 
-    The few pairs of series and month asked for (at most 52) are broadcast, so that Spark reads
-    just those partitions. Meters and days are settled by a join; should a meter hold a large
+    A meter asked for through several logins is asked for once here. The few pairs of series and
+    month asked for (at most 64: 23 months of two series, 18 of the third) are broadcast, so that
+    Spark reads just those partitions. Meters and days are settled by a join; should a meter hold a large
     share of the readings, adaptive execution splits its partition. Requests are read twice.
     """
     day = clock.local_date(F.col("timestamp"))
     asked = (requests
              .select("cups", "data_type", F.to_date("start_date").alias("lo"),
-                     F.to_date("end_date").alias("hi"))
+                     F.to_date("end_date").alias("hi")).distinct()
              .withColumn("first", F.explode(F.sequence(
                  F.trunc("lo", "month"), F.trunc("hi", "month"), F.expr("INTERVAL 1 MONTH")))))
     month = F.substring(F.col("first").cast("string"), 1, 7).alias("month")

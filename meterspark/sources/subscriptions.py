@@ -44,11 +44,11 @@ def subscription_scan(nodes: DataFrame) -> DataFrame:
 
 
 def sources_union(spark: SparkSession, specs: Iterable[SourceSpec],
-                  skip_failing: bool = True) -> DataFrame:
+                  skip_failing: bool = False) -> DataFrame:
     """Users of every source, tagged with the source and where its rows go.
 
-    A source that cannot be read is logged and left out, unless `skip_failing` is off. `seq` keeps
-    the order of sources, then that of their users.
+    A source that cannot be read ends the run; with `skip_failing` it is logged and left out, which
+    means fewer subscribers. `seq` keeps the order of sources, then that of their users.
     """
     frames = []
     for position, spec in enumerate(specs):

@@ -102,11 +102,24 @@ def final_markers(runs: DataFrame, topic: str) -> DataFrame:
         kwargs=F.struct(F.lit(V.FINAL_MESSAGE).alias("collection_type"), "run_id")))
 
 
+def _fits(data: Column, layout: T.StructType) -> Column:
+    """Whether `data` is a JSON object whose fields have the types that `layout` gives them."""
+    marked = T.StructType([*layout.fields, T.StructField("_bad", T.StringType())])
+    parsed = F.from_json(data, marked, {"columnNameOfCorruptRecord": "_bad"})
+    return F.coalesce(F.startswith(F.ltrim(data), F.lit("{")) & parsed["_bad"].isNull(), F.lit(False))
+
+
+def _readings_fit(data: Column) -> Column:
+    items = F.from_json(data, "array<string>")
+    return F.coalesce(F.forall(items, lambda item: _fits(item, READING)), F.lit(False))
+
+
 def decode_envelopes(raw: DataFrame, static_topic: str) -> DataFrame:
     """Parse messages (`topic, key, value`) and name the kind of each.
 
     Kinds: `final` and `static` on the static topic, `timeseries` on others, `malformed` for text
-    that is not a JSON object and for static records without data. Empty messages are dropped.
+    that is not a JSON object, for static records without data, and for data that is not what its
+    kind holds (see `quarantine`). Empty messages are dropped.
     """
     parsed = F.from_json("value", ENVELOPE, {"mode": "PERMISSIVE",
                                              "columnNameOfCorruptRecord": "_bad"})
@@ -115,7 +128,8 @@ def decode_envelopes(raw: DataFrame, static_topic: str) -> DataFrame:
     kind = (F.when(F.col("e._bad").isNotNull(), "malformed")
             .when(is_static & is_final, "final")
             .when(is_static & F.col("e.data").isNull(), "malformed")
-            .when(is_static, "static")
+            .when(is_static, F.when(_fits(F.col("e.data"), SUPPLY), "static").otherwise("malformed"))
+            .when(F.col("e.data").isNotNull() & ~_readings_fit(F.col("e.data")), "malformed")
             .otherwise("timeseries"))
     return (raw.filter(F.col("value").isNotNull())
             .withColumn("e", parsed)

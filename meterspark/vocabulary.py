@@ -31,6 +31,11 @@ LOCATION_SOURCE = "DATADIS"
 NIF_KEY_PREFIX = "bigg__nif_"
 NIF_KEY_PATTERN = "bigg__nif_.*"
 
+# Properties that hold an organization's own ids.
+POINT_OF_DELIVERY_ID = "bigg__pointOfDeliveryIDFromOrganization"
+BUILDING_ID = "bigg__buildingIDFromOrganization"
+ORGANIZATION_ID = "bigg__organizationIDFromOrganization"
+
 # Gazetteer levels and the vocabulary of its triples.
 GAZETTEER_NAME = "https://www.geonames.org/ontology#name"
 GAZETTEER_LEVEL = "https://www.geonames.org/ontology#featureCode"

@@ -106,10 +106,10 @@ def users(spark, *rows):
 def test_failing_source_is_left_out(spark):
     good = sub.SourceSpec("A", lambda s: users(s, (1, "u", None, None, None)))
     bad = sub.SourceSpec("B", lambda s: s.read.parquet("/nowhere/at/all"))
-    got = sub.sources_union(spark, [bad, good])
+    got = sub.sources_union(spark, [bad, good], skip_failing=True)
     assert [r.source for r in got.collect()] == ["A"]
     with pytest.raises(Exception):
-        sub.sources_union(spark, [bad, good], skip_failing=False)
+        sub.sources_union(spark, [bad, good])
 
 
 def test_password_is_not_read(spark):

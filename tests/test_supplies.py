@@ -65,7 +65,7 @@ def test_owner_state_from_history(spark):
                ("ended", [("2023-01-01", "2024-01-01")], None, None, None, "31-01-2024"),
                ("none", None, "2019-01-01", "2020-01-01", None, None),
                ("empty", [], None, None, None, None))
-    got = {r.cups: r for r in S.owner_state(df).collect()}
+    got = {r.cups: r for r in S.owner_state(df, per_row=False).collect()}
     pick = lambda c: (got[c].startDate, got[c].endDate, got[c].stateCancelled,
                       got[c].stateEnrolled, got[c].nif_ab)
     assert pick("two") == ("2023-01-01T00:00:00", None, None, True, "Alta")
@@ -81,7 +81,7 @@ def test_owner_state_without_any_history(spark):
     df = owned(spark, ("a", None, "2019-01-01", "2020-01-01", None, None),
                ("b", None, "2019-01-01", None, None, None))
     got = {r.cups: (r.startDate, r.endDate, r.stateCancelled, r.stateEnrolled, r.nif_ab)
-           for r in S.owner_state(df).collect()}
+           for r in S.owner_state(df, per_row=False).collect()}
     assert got == {"a": ("2019-01-01", "2020-01-01", None, False, "2020-01-01"),
                    "b": ("2019-01-01", None, None, False, "Alta")}
     assert S.owner_state(df.limit(0)).count() == 0
@@ -90,7 +90,7 @@ def test_owner_state_without_any_history(spark):
 def test_owner_state_per_row(spark):
     df = owned(spark, ("a", [("2023-01-01", None)], None, None, None, None),
                ("b", None, "2019-01-01", None, None, None))
-    got = {r.cups: (r.startDate, r.stateEnrolled) for r in S.owner_state(df, per_row=True).collect()}
+    got = {r.cups: (r.startDate, r.stateEnrolled) for r in S.owner_state(df).collect()}
     assert got == {"a": ("2023-01-01T00:00:00", True), "b": ("2019-01-01", False)}
 
 
