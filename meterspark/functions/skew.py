@@ -8,11 +8,16 @@ from operator import and_
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 
+#: Of the hot keys, so many are salted.
+HOT_KEYS = 4096
+
+
 def salted(big: DataFrame, dim: DataFrame, on: list[str], spread_by: list[str],
            hot_rows: int, counted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Both sides of a join with a column `_salt`; see `salted_join`."""
     hot = ((big if counted is None else counted).groupBy(*[F.col(c).alias(f"_hot_{c}") for c in on]).count()
            .filter(F.col("count") > hot_rows)
+           .orderBy(F.desc("count"), *[f"_hot_{c}" for c in on]).limit(HOT_KEYS)
            .select(*[f"_hot_{c}" for c in on],
                    F.ceil(F.col("count") / hot_rows).cast("int").alias("_salts")))
 
@@ -36,8 +41,9 @@ def salted_join(big: DataFrame, dim: DataFrame, on: list[str], spread_by: list[s
 
     Rows of a hot key are spread by a hash of `spread_by` over enough salts that each holds
     about `hot_rows` rows; only that key's rows of `dim` are repeated, once per salt. The hash
-    depends on the row alone, so a recomputed task places its rows as before. The broadcast
-    list of hot keys has at most rows(big) / hot_rows entries. Null keys spread like any other.
+    depends on the row alone, so a recomputed task places its rows as before. The broadcast list
+    holds the `HOT_KEYS` largest keys at most, so its size is bounded whatever the data; any other
+    key is left to adaptive execution. Null keys spread like any other.
     `how` is one of inner, left, left_semi, left_anti.
 
     Finding hot keys takes one more pass over the key columns of `big`. Where `big` is the outcome

@@ -52,6 +52,11 @@ def power_readings(wide: DataFrame) -> DataFrame:
                        F.lit("Power").alias("prop"), F.lit("P1M").alias("freq"))
 
 
+def power_messages(wide: DataFrame) -> DataFrame:
+    """Maximum power as it is published: one reading per meter, instant and tariff period."""
+    return max_power_long(wide).withColumns({"prop": F.lit("Power"), "freq": F.lit("P1M")})
+
+
 def latest_readings(readings: DataFrame, order: list[str]) -> DataFrame:
     """Re-delivered readings overwrite earlier ones of the same meter, series and instant."""
     return last_by(readings, ["cups", "prop", "freq", "timestamp"], order)

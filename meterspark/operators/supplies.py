@@ -69,7 +69,8 @@ def fuzzy_place_match(names: DataFrame, gazetteer: DataFrame, column: str,
 
     Names equal to an entry once case and punctuation are set aside are settled by an equi-join.
     Each other name visits the gazetteer in blocks of about `block` names and keeps one best
-    entry per block, so no pair of names ever becomes a row. Ties go to the smallest id. `score`
+    entry per block, so no pair of names ever becomes a row. Names are dealt over so many salts that
+    about `block` of them meet a block in one task. Ties go to the smallest id. `score`
     is 1 for equal names and less for others.
     """
     entries = (gazetteer.withColumn("plain", plain_name(F.col("name")))
@@ -88,8 +89,12 @@ def fuzzy_place_match(names: DataFrame, gazetteer: DataFrame, column: str,
               .groupBy("block").agg(F.collect_list(F.struct("plain", "geo_id")).alias("places")))
     scored = F.transform("places", lambda p: F.struct(
         (-score(F.col("plain"), p["plain"])).alias("cost"), p["geo_id"].alias("geo_id")))
-    best = (open_names.withColumn("block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-            .join(blocks, "block")
+    n_salts = open_names.agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / block), F.lit(1)).cast("int")).scalar()
+    dealt = open_names.withColumn("salt", F.pmod(F.xxhash64("probe"), n_salts).cast("int"))
+    best = (dealt.withColumn("block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+            .join(blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), n_salts - 1))),
+                  ["block", "salt"])
             .select("probe", F.array_min(scored).alias("b"))
             .groupBy("probe").agg(F.min("b").alias("b"))
             .select("probe", "b.geo_id", (-F.col("b.cost")).alias("score")))

@@ -91,6 +91,9 @@ CONSUMPTION = _struct(cups=_S, datetime=_TS, consumptionKWh=_D, obtainMethod=_S)
 READING = _struct(cups=_S, timestamp=_L, datetime=_S, consumptionKWh=_D, obtainMethod=_S,
                   freq=_S, prop=_S)
 
+# What a reading of maximum power holds besides.
+POWER_FIELDS = ("period", "period_ts", "max_power")
+
 CHUNK_STATE = _struct(
     cups=_S, data_type=_S, chunk_key=_S, date_ini=T.TimestampNTZType(),
     date_end=T.TimestampNTZType(), values=_L, total=_L, retries=T.IntegerType(),

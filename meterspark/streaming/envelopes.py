@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from meterspark import vocabulary as V
-from meterspark.schemas import ENVELOPE, HARMONIZED, READING, SUPPLY
+from meterspark.schemas import ENVELOPE, HARMONIZED, POWER_FIELDS, READING, SUPPLY
 from meterspark.sources.subscriptions import SourceSpec
 
 SLICE_SECONDS = 86_400
@@ -42,8 +42,8 @@ def publish_envelopes(readings: DataFrame, specs: list[SourceSpec],
 
     `readings` holds in `sources` the names of those that want the row. Sources that prepare
     readings in the same way share one pass; their messages differ in the envelope alone.
-    Readings are unique per meter, series and instant (see `latest_readings`), so a message has
-    a bounded size however large the meter's share of all rows is.
+    Readings are unique per meter, series and instant (see `latest_readings`; maximum power has a few
+    tariff periods per instant, see `power_messages`), so a message has a bounded size however large the meter's share of all rows is.
     """
     alike: dict[Callable, list[SourceSpec]] = {}
     for spec in specs:
@@ -53,7 +53,7 @@ def publish_envelopes(readings: DataFrame, specs: list[SourceSpec],
 
 
 def _publish(prepared: DataFrame, specs: list[SourceSpec], run_id: str) -> DataFrame:
-    record = F.struct(*[c for c in READING.fieldNames() if c in prepared.columns])
+    record = F.struct(*[c for c in (*READING.fieldNames(), *POWER_FIELDS) if c in prepared.columns])
     takers = F.array_intersect("sources", F.array(*[F.lit(s.source) for s in specs]))
     return (prepared
             .withColumn("sources", takers)
