@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meterspark.catalog import tables as t
-from meterspark.catalog.readings import HARMONIZED_SQL, POINTS
+from meterspark.catalog.readings import HARMONIZED_SQL, POINTS, URI_SQL
 from meterspark.catalog.registry import query, table
 from meterspark.operators import readings as R, timeseries as TS
 from meterspark.session import shared_dir
@@ -140,6 +140,37 @@ def stream_harmonize(spark, sf_dir):
                     "start", "end", "value", "isReal"))
 
 
+@query(f"""WITH {UNIQUE}
+SELECT property, freq, bucket, hash, "start", "end", value + 1 AS value, "isReal"
+FROM ({POINTS.replace('FROM readings', 'FROM latest')})""")
+def stream_redelivery(spark, sf_dir):
+    """All readings published, then published again with other values: the later ones stay."""
+    landed, out, state = (shared_dir(spark, f"redelivery-{part}") for part in ("in", "out", "state"))
+    readings = _unique(spark, sf_dir)
+    for delivered in (readings, readings.withColumn("consumptionKWh", F.col("consumptionKWh") + 1)):
+        E.publish_envelope(delivered, SPEC).repartition(1).write.mode("append").parquet(landed)
+    jobs.start_harmonizer(jobs.file_messages(spark, landed, 1), out, state, SPEC.source, STATIC,
+                          trigger=NOW).awaitTermination()
+    return (jobs.read_points(spark, f"{out}/points")
+            .select("property", "freq", F.col("bucket").cast("long").alias("bucket"), "hash",
+                    "start", "end", "value", "isReal"))
+
+
+@query(f"""WITH {UNIQUE},
+ranges AS (
+  SELECT {URI_SQL} AS subject, min("timestamp") AS lo, max("timestamp") AS hi
+  FROM latest WHERE {HARMONIZED_SQL} GROUP BY ALL)
+SELECT subject, 'Start' AS which, strftime(make_timestamp(lo * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS at FROM ranges
+UNION ALL
+SELECT subject, 'End', strftime(make_timestamp(hi * 1000000), '%Y-%m-%dT%H:%M:%SZ') FROM ranges""")
+def stream_sensor_triples(spark, sf_dir):
+    """The ranges of all sensors, as triples, after a stream has seen all readings."""
+    out = _drain(spark, E.publish_envelope(_unique(spark, sf_dir), SPEC), "sensors", files_per_trigger=4)
+    triples = jobs.read_sensor_triples(spark, f"{out}/coverage")
+    which = F.regexp_extract("predicate", "#timeSeries(Start|End)$", 1)
+    return triples.filter(which != "").select("subject", which.alias("which"), F.col("object").alias("at"))
+
+
 @query(f"""WITH {t.READINGS}
 SELECT cups, prop, freq, min("timestamp") AS first_ts, max("timestamp") AS last_ts
 FROM readings WHERE {HARMONIZED_SQL} GROUP BY cups, prop, freq""")

@@ -12,7 +12,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from meterspark.operators import timeseries
+from meterspark.functions.skew import last_by
+from meterspark.operators import graph, timeseries
 from meterspark.streaming import envelopes as E
 
 
@@ -82,6 +83,18 @@ def read_coverage(spark: SparkSession, out: str) -> DataFrame:
             .agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts")))
 
 
+def read_points(spark: SparkSession, points: str) -> DataFrame:
+    """The points that a harmonizer has written: of readings delivered again in a later batch, the
+    later one. Each task keeps one row per point before the shuffle."""
+    return last_by(spark.read.parquet(points), ["hash", "start"], ["batch_id"]).drop("batch_id")
+
+
+def read_sensor_triples(spark: SparkSession, coverage: str) -> DataFrame:
+    """Triples of all sensors whose ranges a harmonizer has logged."""
+    sensors = timeseries.harmonized_only(read_coverage(spark, coverage))
+    return graph.sensor_triples(timeseries.sensor_identity(sensors))
+
+
 def kafka_messages(spark: SparkSession, servers: str, topics: list[str],
                    per_trigger: int = 1_000_000) -> DataFrame:
     """Messages from Kafka; the connector package has to be on the class path."""
