@@ -104,7 +104,8 @@ CHUNK_KEY = ["cups", "data_type", "chunk_key"]
 # field of an unexpected type would otherwise mark the whole message as malformed.
 ENVELOPE = _struct(
     data=_S, tables=_S, row_keys=_S,
-    kwargs=_struct(collection_type=_S, property=_S, freq=_S, dblist=T.ArrayType(_S), run_id=_S),
+    kwargs=_struct(collection_type=_S, property=_S, freq=_S, dblist=T.ArrayType(_S), run_id=_S,
+                   partition=T.IntegerType(), partitions=T.IntegerType()),
     _bad=_S)
 
 LEGACY_ROW = _struct(key=_S, consumptionKWh=T.FloatType(), obtainMethod=_S, datetime=_S)

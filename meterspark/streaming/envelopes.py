@@ -95,11 +95,14 @@ def publish_static(supplies: DataFrame, topic: str, run_id: str = "") -> DataFra
                         F.col("db_list").alias("dblist"), F.lit(run_id).alias("run_id"))))
 
 
-def final_markers(runs: DataFrame, topic: str) -> DataFrame:
-    """The end-of-run message of every run in `runs` (`run_id`)."""
-    return runs.select(*_message(
-        F.lit(topic), F.lit(None).cast("string"),
-        kwargs=F.struct(F.lit(V.FINAL_MESSAGE).alias("collection_type"), "run_id")))
+def final_markers(runs: DataFrame, topic: str, partitions: int = 1) -> DataFrame:
+    """The end-of-run messages of every run in `runs` (`run_id`): one for each partition of the
+    topic, keyed by it, which says how many there are."""
+    each = F.explode(F.sequence(F.lit(0), F.lit(partitions - 1))).alias("partition")
+    return runs.select("run_id", each).select(*_message(
+        F.lit(topic), F.col("partition").cast("string"),
+        kwargs=F.struct(F.lit(V.FINAL_MESSAGE).alias("collection_type"), "run_id", "partition",
+                        F.lit(partitions).alias("partitions"))))
 
 
 def _fits(data: Column, layout: T.StructType) -> Column:
@@ -146,6 +149,21 @@ def final_runs(decoded: DataFrame) -> DataFrame:
             .select(F.coalesce("kwargs.run_id", F.lit("")).alias("run_id")).distinct())
 
 
+def markers(decoded: DataFrame) -> DataFrame:
+    """End markers, `(run_id, partition, partitions)`; one without partitions stands for all."""
+    return (decoded.filter(F.col("kind") == "final")
+            .select(F.coalesce("kwargs.run_id", F.lit("")).alias("run_id"),
+                    F.coalesce("kwargs.partition", F.lit(0)).alias("partition"),
+                    F.coalesce("kwargs.partitions", F.lit(1)).alias("partitions")).distinct())
+
+
+def ended_runs(seen: DataFrame) -> DataFrame:
+    """Runs of which a marker of every partition has been seen."""
+    return (seen.groupBy("run_id").agg(F.countDistinct("partition").alias("n"),
+                                       F.max("partitions").alias("partitions"))
+            .filter("n >= partitions").select("run_id"))
+
+
 def static_records(decoded: DataFrame) -> DataFrame:
     """Supply records of all static messages; they are not filtered by source."""
     return (decoded.filter(F.col("kind") == "static")

@@ -35,12 +35,14 @@ def start_harmonizer(messages: DataFrame, out: str, checkpoint: str, source: str
                      trigger: dict | None = None) -> StreamingQuery:
     """Decode messages and harmonize them.
 
-    Writes `points`, `coverage`, `quarantine` and `runs` below `out`, and `triples` when
+    Writes `points`, `coverage`, `quarantine`, `markers` and `runs` below `out`, and `triples` when
     `on_supplies` turns supply records into triples. `on_final` is called with the runs that
-    ended and were not finalized before: once per run, however many markers and batches it takes.
+    ended, on every partition, and were not finalized before: once per run, however many markers and
+    batches it takes.
     A run is recorded after `on_final` returned, so a failure in it leads to a second call.
     """
     runs = "run_id string, batch_id long"
+    markers = "run_id string, partition int, partitions int, batch_id long"
     (messages.sparkSession.createDataFrame([], "run_id string")
      .write.mode("ignore").parquet(f"{out}/runs/batch_id=-1"))
 
@@ -56,7 +58,9 @@ def start_harmonizer(messages: DataFrame, out: str, checkpoint: str, source: str
             _write(on_supplies(E.static_records(decoded)), f"{out}/triples", batch_id)
         done = spark.read.schema(runs).parquet(f"{out}/runs").filter(
             F.col("batch_id") != batch_id)
-        new_runs = E.final_runs(decoded).join(done, "run_id", "left_anti")
+        _write(E.markers(decoded), f"{out}/markers", batch_id)
+        seen = spark.read.schema(markers).parquet(f"{out}/markers").filter(F.col("batch_id") <= batch_id)
+        new_runs = E.ended_runs(seen).join(done, "run_id", "left_anti")
         if on_final and not new_runs.isEmpty():
             on_final(spark, new_runs)
         _write(new_runs, f"{out}/runs", batch_id)

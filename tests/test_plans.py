@@ -191,3 +191,28 @@ def test_groups_come_in_bounded_parts(spark):
     parts = legacy.group_values(df, "key", "v", "id").orderBy("part").collect()
     assert [len(p["values"]) for p in parts] == [1000, 1000, 500]
     assert [v for p in parts for v in p["values"]] == [2 * i for i in range(2500)]
+
+
+def test_run_ends_with_the_last_partition(spark, tmp_path):
+    """Markers of two partitions in different micro-batches: nothing is settled in between."""
+    ends = E.final_markers(spark.createDataFrame([("run1",)], "run_id string"), STATIC, partitions=2)
+    at = lambda name: str(tmp_path / name)
+    finished = []
+
+    def drain():
+        jobs.start_harmonizer(
+            jobs.file_messages(spark, at("in"), 1), at("out"), at("state"), "A", STATIC,
+            on_final=lambda s, runs: finished.extend(r.run_id for r in runs.collect()),
+            trigger={"availableNow": True}).awaitTermination()
+
+    for key, want in (("1", []), ("1", []), ("0", ["run1"]), ("0", ["run1"])):
+        ends.filter(F.col("key") == key).coalesce(1).write.mode("append").parquet(at("in"))
+        drain()
+        assert finished == want
+
+
+def test_later_delivery_stays(spark, tmp_path):
+    for batch, value in ((2, 5.0), (10, 6.0)):
+        points = spark.createDataFrame([("h", 1, value)], "hash string, start long, value double")
+        points.write.parquet(str(tmp_path / f"batch_id={batch}"))
+    assert [r.value for r in jobs.read_points(spark, str(tmp_path)).collect()] == [6.0]
