@@ -60,7 +60,10 @@ def op2_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP2 = """
 WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 s AS (
-    SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.e, c.e) AS score
+    SELECT q.vec_id AS query_id, c.vec_id,
+        list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]))
+        / (sqrt(list_sum(list_transform(q.e, lambda x: x * x)))
+           * sqrt(list_sum(list_transform(c.e, lambda x: x * x)))) AS score
     FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
       FROM s)
