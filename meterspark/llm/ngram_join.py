@@ -36,6 +36,9 @@ from meterspark.llm.components import components
 from meterspark.llm.shingles import rolling, whole_windows, word_codes, words_of
 from meterspark.llm.storage import kept
 
+#: Rows of one column that are compared with each other in one task.
+REST_ROWS = 1 << 14
+
 SETS = "doc_id long, n long, signature binary, shared int, grams binary"
 POSTINGS = "gram long, node long, n int, alone int, at int"
 PAIRS = "x long, hub long"
@@ -149,18 +152,20 @@ def _overlaps(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _rest(percent: int):
-    """Pairs of one column whose rows are still apart and may link."""
+    """Pairs of one column whose rows are still apart and may link; of a column in parts, those of
+    one part, or those between two."""
     def pairs(table: pa.Table) -> pa.Table:
         table = table.sort_by([("n", "ascending"), ("node", "ascending")])
         node, n, at, label = (table[c].to_numpy() for c in ("node", "n", "at", "label"))
         n, at = n.astype(np.int64), at.astype(np.int64)
-        hub, far = table["hub"].to_numpy(), table["far"].to_numpy()
+        hub, far, part = (table[c].to_numpy() for c in ("hub", "far", "part"))
+        alike = table["low"][0].as_py() == table["high"][0].as_py()
         ends = np.searchsorted(n, n * 100 // percent, side="right")
         xs, ys = [], []
         for i in range(len(node)):
             j = slice(i + 1, int(ends[i]))
-            left = 1 + np.minimum(n[i] - at[i], n[j] - at[j]) - 1
-            may = ((label[j] != label[i]) & ((100 + percent) * left >= percent * (n[i] + n[j]))
+            left = np.minimum(n[i] - at[i], n[j] - at[j])
+            may = ((label[j] != label[i]) & (alike | (part[j] != part[i])) & ((100 + percent) * left >= percent * (n[i] + n[j]))
                    & ((hub[j] != hub[i]) | (np.abs(far[j] - far[i]) <= 1 - percent / 100 + 1e-9)))
             found = node[j][may]
             xs.append(np.full(len(found), node[i], np.int64))
@@ -196,10 +201,15 @@ def linked(nodes: DataFrame, percent: int) -> DataFrame:
     told = (postings.join(labels, "node", "left").join(near, "node", "left")
             .select("gram", "node", "n", "at", F.coalesce("label", "node").alias("label"),
                     F.coalesce("hub", "node").alias("hub"), F.coalesce("far", F.lit(0.0)).alias("far")))
-    apart = told.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high")) \
-        .filter("low < high").select("gram")
-    rest = (told.join(apart, "gram", "left_semi").groupBy("gram").applyInArrow(_rest(percent), PAIRS)
-            .distinct())
+    # A column of many rows goes in parts, each of which meets each other one in a task of its own.
+    apart = told.groupBy("gram").agg(
+        F.min("label").alias("l"), F.max("label").alias("h"),
+        F.ceil(F.count(F.lit(1)) / REST_ROWS).cast("int").alias("parts")).filter("l < h").select("gram", "parts")
+    met = (told.join(apart, "gram").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+           .withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
+           .drop("parts", "other"))
+    rest = met.groupBy("gram", "low", "high").applyInArrow(_rest(percent), PAIRS).distinct()
     return first.union(_overlaps(rest, nodes).filter(enough).select(*links))
 
 

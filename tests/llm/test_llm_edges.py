@@ -56,8 +56,10 @@ def test_near_copies(odd, empty):
     assert ngram_join.near_copies(empty).collect() == []
 
 
-def test_near_copies_of_a_base_that_link_through_it_only(spark):
+@pytest.mark.parametrize("rows_at_once", [1 << 14, 8])
+def test_near_copies_of_a_base_that_link_through_it_only(spark, monkeypatch, rows_at_once):
     """Copies too far from each other are still one group through what they were copied from."""
+    monkeypatch.setattr(ngram_join, "REST_ROWS", rows_at_once)
     rng = np.random.default_rng(3)
     base = [f"w{i}" for i in range(400)]
     rows = [(500, " ".join(base))]
