@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 from meterspark.llm import blocks
 
 DOCS_PER_LANG = 300
+TASK_GROUPS = 32
 WORDS_PER_DOC = 100
 HIDDEN = 16
 PIECE = 30
@@ -141,13 +142,26 @@ def fit(words: list[bytes], labels: np.ndarray, langs: int, seed: int = 0) -> We
     return p
 
 
+def first_docs(known: DataFrame, id_col: str, lang_col: str) -> DataFrame:
+    """Ids of the DOCS_PER_LANG documents of each language whose hashed ids come first.
+
+    A language may hold most rows, so it is cut in steps that keep the same ids: in each task, in
+    each of TASK_GROUPS groups of tasks, then at last among TASK_GROUPS * DOCS_PER_LANG at most.
+    """
+    def first(rows: DataFrame, *keys: str) -> DataFrame:
+        nth = F.row_number().over(W.partitionBy(*keys).orderBy(F.xxhash64("_id"), "_id"))
+        return rows.withColumn("_nth", nth).filter(F.col("_nth") <= DOCS_PER_LANG).drop("_nth")
+
+    rows = known.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"),
+                        (F.spark_partition_id() % TASK_GROUPS).alias("_group"))
+    return first(first(rows, "_lang", "_group"), "_lang").select(F.col("_id").alias(id_col)).distinct()
+
+
 def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang") -> tuple[list[str], Weights | None]:
     """Languages and weights, from the documents that `usable` holds for."""
     known = docs.filter(usable & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    nth = F.row_number().over(W.partitionBy(lang_col).orderBy(F.xxhash64(id_col), id_col))
-    picked = (known.select(id_col, lang_col).withColumn("_nth", nth)
-              .filter(F.col("_nth") <= DOCS_PER_LANG).select(id_col).distinct())
+    picked = first_docs(known, id_col, lang_col)
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -158,6 +158,18 @@ def test_pieces_of_odd_spacing(spark):
         assert (list(r.ids), r.decoded) == (ids, model.decode(ids))
 
 
+def test_language_sample_is_that_of_one_sort(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "DOCS_PER_LANG", 7)
+    monkeypatch.setattr(language_id, "TASK_GROUPS", 3)
+    rows = [(i % 400, "en" if i % 3 else "fr") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string").repartition(11)
+    by_hash = sorted((r.h, r.doc_id, r.lang) for r in docs.select(
+        F.xxhash64("doc_id").alias("h"), "doc_id", "lang").collect())
+    want = {i for lang in ("en", "fr") for _, i, _ in [r for r in by_hash if r[2] == lang][:7]}
+    got = [r.doc_id for r in language_id.first_docs(docs, "doc_id", "lang").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_language_id(odd, empty):
     langs, weights = language_id.train(odd, F.lit(True))
     assert langs == ["de", "en", "fr"]
