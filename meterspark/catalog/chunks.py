@@ -18,7 +18,7 @@ STATE_SQL = """cups, data_type, chunk_key, strftime(date_ini, '%Y-%m-%d %H:%M:%S
   strftime(date_max, '%Y-%m-%d %H:%M:%S') AS date_max"""
 
 
-def _state_columns(df):
+def state_columns(df):
     return df.select("cups", "data_type", "chunk_key", stamp("date_ini").alias("date_ini"),
                      stamp("date_end").alias("date_end"), "values", "total",
                      F.col("retries").cast("long").alias("retries"),
@@ -81,7 +81,7 @@ def chunk_coverage(spark, sf_dir):
 
 @query(f"WITH {t.CALENDAR}, {t.STATE} SELECT {STATE_SQL} FROM state")
 def chunk_state_init(spark, sf_dir):
-    return _state_columns(chunks.chunk_state_init(
+    return state_columns(chunks.chunk_state_init(
         t.calendar_by_meter(spark, sf_dir), t.stored_state(spark, sf_dir)))
 
 
@@ -89,7 +89,7 @@ def chunk_state_init(spark, sf_dir):
 SELECT {STATE_SQL} FROM state
 WHERE "values" < total AND retries > 0 AND date_ini > TIMESTAMP '2022-02-01'""")
 def incomplete_chunks(spark, sf_dir):
-    return _state_columns(chunks.incomplete_chunks(t.state(spark, sf_dir), AS_OF))
+    return state_columns(chunks.incomplete_chunks(t.state(spark, sf_dir), AS_OF))
 
 
 @query(f"""WITH {t.CALENDAR}, {t.STATE}
@@ -124,7 +124,7 @@ retried AS (
 @query(f"""WITH {t.READINGS}, {t.CALENDAR}, {t.OBSERVED}, {t.STATE}, {RETRY}
 SELECT {STATE_SQL} FROM retried""")
 def retry_state(spark, sf_dir):
-    return _state_columns(chunks.retry_state(
+    return state_columns(chunks.retry_state(
         t.state(spark, sf_dir), t.observed(spark, sf_dir), AS_OF))
 
 
@@ -142,13 +142,13 @@ def chunk_state_upsert(spark, sf_dir):
     seen = t.observed(spark, sf_dir)
     new = chunks.retry_state(t.state(spark, sf_dir), seen, AS_OF)
     delivered = new.join(seen.select("cups").distinct(), "cups", "left_semi")
-    return _state_columns(chunks.chunk_state_upsert(t.stored_state(spark, sf_dir), delivered))
+    return state_columns(chunks.chunk_state_upsert(t.stored_state(spark, sf_dir), delivered))
 
 
 @query(f"""WITH {t.CALENDAR}, {t.STATE}
 SELECT {STATE_SQL} FROM state WHERE chunk_key < '2023-06-01~2023-06-30'""")
 def chunk_prune(spark, sf_dir):
-    return _state_columns(chunks.chunk_prune(t.state(spark, sf_dir), "2023-06-01~2023-06-30"))
+    return state_columns(chunks.chunk_prune(t.state(spark, sf_dir), "2023-06-01~2023-06-30"))
 
 
 @query(f"""WITH {t.CALENDAR}, {t.STATE}

@@ -42,7 +42,7 @@ latest AS (
   WHERE rn = 1)"""
 
 
-def _latest(spark, sf_dir):
+def latest_contracts(spark, sf_dir):
     return S.latest_contract(_contracts(spark, sf_dir), NEWEST)
 
 
@@ -71,7 +71,7 @@ def conform_schema(spark, sf_dir):
 SELECT cups, "startDate", coalesce(marketer, '-') AS marketer, tension,
   CAST(linenumber AS BIGINT) AS linenumber, part FROM latest""")
 def latest_contract(spark, sf_dir):
-    return _latest(spark, sf_dir).select(
+    return latest_contracts(spark, sf_dir).select(
         "cups", "startDate", F.coalesce("marketer", F.lit("-")).alias("marketer"), "tension",
         F.col("linenumber").cast("long").alias("linenumber"), "part")
 
@@ -85,7 +85,7 @@ def supply_contract_merge(spark, sf_dir):
     given = _orders(spark, sf_dir).select(
         text("o_orderkey").alias("cups"), text("o_custkey").alias("username"),
         F.col("o_orderpriority").alias("marketer"))
-    return S.supply_contract_merge(given, _latest(spark, sf_dir)).select(
+    return S.supply_contract_merge(given, latest_contracts(spark, sf_dir)).select(
         "cups", "username", F.coalesce("marketer", F.lit("-")).alias("marketer"), "startDate",
         "tension", "part")
 

@@ -20,8 +20,9 @@ def composite_key_scan(rows: DataFrame, key: str = "key") -> DataFrame:
         .alias("start_time"), *[c for c in rows.columns if c != key])
 
 
-def write_tsv(rows: DataFrame, path: str) -> None:
-    (rows.write.mode("overwrite").option("sep", "\t").option("nullValue", TSV_NULL)
+def write_tsv(rows: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
+    """Exchange files without a header; columns of `by` become folders, not fields."""
+    (rows.write.mode("overwrite").partitionBy(*by).option("sep", "\t").option("nullValue", TSV_NULL)
      .option("emptyValue", "").option("quote", "").csv(path))
 
 

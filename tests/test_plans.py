@@ -166,12 +166,12 @@ def test_legacy_merge_prefers_the_later_table(spark):
 
 def test_legacy_export_and_import(spark, tmp_path):
     old = spark.createDataFrame([("h~1", 1.0, "Real", "a"), ("h~2", 2.0, None, "a")], LEGACY_ROW)
-    new = spark.createDataFrame([("h~2", 3.0, "Real", "b")], LEGACY_ROW)
+    new = spark.createDataFrame([("h~2", 3.0, "Real", "b"), ("h~1", 4.0, "Real", "0")], LEGACY_ROW)
     export_tables([old, new], str(tmp_path / "x"))
     got = import_rows(spark, str(tmp_path / "x"), ["datetime"])
     assert sorted(map(tuple, got.select("hash", "start_time", "consumptionKWh", "datetime",
                                         "obtainMethod").collect())) == [
-        ("h", 1, 1.0, "a", "Real"), ("h", 2, 3.0, "b", "Real")]
+        ("h", 1, 4.0, "0", "Real"), ("h", 2, 3.0, "b", "Real")]
 
 
 def test_tsv_marks_nulls_and_keeps_quotes(spark, tmp_path):
