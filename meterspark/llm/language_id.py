@@ -17,11 +17,11 @@ part.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from meterspark.llm import blocks
@@ -36,7 +36,7 @@ EPOCHS = 3
 RATE = 0.01
 TABLE_WORDS = 1 << 17
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _LETTER_BYTES = np.zeros(256, bool)
 _LETTER_BYTES[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 

@@ -178,6 +178,8 @@ def test_language_id(odd, empty):
     for r in got:
         und = not any(c.isalpha() for c in r.text or "")
         assert (r.lang_pred == "und") == und and (r.score == 0) == und and 0 <= r.score <= 1
+    signs = odd.limit(1).withColumn("text", F.lit("½ ² Ⅷ 12 _"))
+    assert [(r.lang_pred, r.score) for r in language_id.predict(signs, langs, weights).collect()] == [("und", 0)]
     langs, weights = language_id.train(empty, F.lit(True))
     assert (langs, weights) == ([], None)
     assert {r.lang_pred for r in language_id.predict(odd, langs, weights).collect()} == {"und"}
