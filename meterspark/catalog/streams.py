@@ -156,6 +156,25 @@ def stream_redelivery(spark, sf_dir):
                     "start", "end", "value", "isReal"))
 
 
+@query(f"""WITH {UNIQUE}
+SELECT property, freq, bucket, hash, "start", "end", value + 2 AS value, "isReal"
+FROM ({POINTS.replace('FROM readings', 'FROM latest')})""")
+def stream_folded(spark, sf_dir):
+    """All readings published three times; the first batches are folded, then folded on."""
+    landed, out, state, folded = (shared_dir(spark, f"folded-{part}") for part in ("in", "out", "state", "old"))
+    readings = _unique(spark, sf_dir)
+    for more in range(3):
+        E.publish_envelope(readings.withColumn("consumptionKWh", F.col("consumptionKWh") + more), SPEC) \
+            .repartition(1).write.mode("append").parquet(landed)
+    jobs.start_harmonizer(jobs.file_messages(spark, landed, 1), out, state, SPEC.source, STATIC,
+                          trigger=NOW).awaitTermination()
+    jobs.fold_points(spark, f"{out}/points", folded, 0)
+    jobs.fold_points(spark, f"{out}/points", folded, 1, since=0)
+    return (jobs.read_points(spark, f"{out}/points", folded, 1)
+            .select("property", "freq", F.col("bucket").cast("long").alias("bucket"), "hash",
+                    "start", "end", "value", "isReal"))
+
+
 @query(f"""WITH {UNIQUE},
 ranges AS (
   SELECT {URI_SQL} AS subject, min("timestamp") AS lo, max("timestamp") AS hi

@@ -82,15 +82,53 @@ def start_coverage(readings: DataFrame, out: str, checkpoint: str,
     return _start(readings, handle, checkpoint, trigger)
 
 
-def read_coverage(spark: SparkSession, out: str) -> DataFrame:
-    return (spark.read.parquet(out).groupBy("cups", "prop", "freq")
+POINTS = ("hash string, start bigint, end bigint, value double, isReal boolean, batch_id bigint, "
+          "property string, freq string, bucket bigint")
+RANGES = "cups string, prop string, freq string, first_ts bigint, last_ts bigint, batch_id bigint"
+
+
+def _written(spark: SparkSession, schema: str, path: str, folded: str | None, upto: int | None) -> DataFrame:
+    """Rows of all batches: those up to `upto` out of what was folded, the later ones as written."""
+    rows = spark.read.schema(schema).parquet(path)
+    if upto is None:
+        return rows
+    before = spark.read.schema(schema).parquet(f"{folded}/upto={upto}")
+    return before.unionByName(rows.filter(F.col("batch_id") > upto))
+
+
+def read_coverage(spark: SparkSession, out: str, folded: str | None = None,
+                  upto: int | None = None) -> DataFrame:
+    return (_written(spark, RANGES, out, folded, upto).groupBy("cups", "prop", "freq")
             .agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts")))
 
 
-def read_points(spark: SparkSession, points: str) -> DataFrame:
+def read_points(spark: SparkSession, points: str, folded: str | None = None,
+                upto: int | None = None) -> DataFrame:
     """The points that a harmonizer has written: of readings delivered again in a later batch, the
     later one. Each task keeps one row per point before the shuffle."""
-    return last_by(spark.read.parquet(points), ["hash", "start"], ["batch_id"]).drop("batch_id")
+    return last_by(_written(spark, POINTS, points, folded, upto), ["hash", "start"],
+                   ["batch_id"]).drop("batch_id")
+
+
+def fold_points(spark: SparkSession, points: str, folded: str, upto: int, since: int | None = None) -> None:
+    """Write the points of all batches up to `upto` as one table below `folded`.
+
+    `since` is the batch up to which an earlier call folded: its table and the batches after it are
+    read then. Once this has returned, `read_points(..., folded, upto)` gives the same points as
+    before, the folders of those batches are no longer read, and they and the earlier table may go. A
+    call that fails is repeated: it replaces what it left.
+    """
+    done = _written(spark, POINTS, points, folded, since).filter(F.col("batch_id") <= upto)
+    timeseries.write_points(last_by(done, ["hash", "start"], ["batch_id"]), f"{folded}/upto={upto}", mode="overwrite")
+
+
+def fold_coverage(spark: SparkSession, out: str, folded: str, upto: int, since: int | None = None) -> None:
+    """The same for logged ranges: one row per sensor."""
+    logged = _written(spark, RANGES, out, folded, since).filter(F.col("batch_id") <= upto)
+    (logged.groupBy("cups", "prop", "freq")
+     .agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
+          F.max("batch_id").alias("batch_id"))
+     .write.mode("overwrite").parquet(f"{folded}/upto={upto}"))
 
 
 def read_sensor_triples(spark: SparkSession, coverage: str) -> DataFrame:

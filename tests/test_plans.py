@@ -216,3 +216,17 @@ def test_later_delivery_stays(spark, tmp_path):
         points = spark.createDataFrame([("h", 1, value)], "hash string, start long, value double")
         points.write.parquet(str(tmp_path / f"batch_id={batch}"))
     assert [r.value for r in jobs.read_points(spark, str(tmp_path)).collect()] == [6.0]
+
+
+def test_folded_ranges_are_those_of_all_batches(spark, tmp_path):
+    log, folded = str(tmp_path / "log"), str(tmp_path / "folded")
+    for batch, (first, last) in enumerate([(5, 9), (3, 4), (8, 20)]):
+        spark.createDataFrame([("m", "p", "PT1H", first, last)],
+                              "cups string, prop string, freq string, first_ts long, last_ts long"
+                              ).write.parquet(f"{log}/batch_id={batch}")
+    jobs.fold_coverage(spark, log, folded, 0)
+    jobs.fold_coverage(spark, log, folded, 1, since=0)
+    for upto, want in ((0, (3, 20)), (1, (3, 20)), (None, (3, 20))):
+        got = jobs.read_coverage(spark, log, folded, upto).collect()
+        assert [(r.first_ts, r.last_ts) for r in got] == [want]
+    assert spark.read.parquet(f"{folded}/upto=1").first().asDict()["first_ts"] == 3
