@@ -1,10 +1,12 @@
 """Secrets in texts, told apart by who owns them across the corpus.
 
 Patterns find candidates in every text. Each candidate's hash is counted over the whole corpus:
-in how many repositories and by how many owners it occurs. A value that several owners hold is a
-copied example; a value of one owner whose characters look drawn at random is a live-looking
-credential. Ownership also adds spans that no pattern alone could claim: long mixed tokens (kind
-`token`) count only when they are live-looking.
+in how many repositories and by how many owners it occurs. A value that more repositories or more
+owners hold than `limits` allows a corpus of that size is a copied example; any other whose characters
+look drawn at random is a live-looking credential. Equal texts are one repository, so a credential
+that was copied along with its document stays one. Ownership also adds spans that no pattern alone
+could claim: long mixed tokens (kind `token`) count only when they are live-looking. Counts cannot tell
+a hash that occurs once from a credential that does; both are live-looking.
 
 Spans are in code points, end exclusive; patterns are matched leftmost and without overlap, each kind
 by itself. A null or empty text has none. Equal rows are one repository and owner, not two. A null
@@ -37,6 +39,8 @@ TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 MIXED = (re.compile("[a-z]"), re.compile("[A-Z]"), re.compile("[0-9]"))
 #: A live-looking value has at least so many different characters.
 DISTINCT_CHARS = 8
+#: So many times fewer owners than repositories may hold a live-looking value.
+OWNER_SHARE = 4
 
 SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),
                      T.StructField("end", T.LongType()), T.StructField("value", T.LongType()),
@@ -67,43 +71,64 @@ def candidates(text: str | None) -> list[tuple]:
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in blocks.texts_of(batches):
-        spans = [[dict(zip(SPAN.names, c)) for c in candidates(t)] for t in batch["text"].to_pylist()]
+        texts = batch["text"].to_pylist()
+        spans = [[dict(zip(SPAN.names, c)) for c in candidates(t)] for t in texts]
+        own = [xxh3_64_intdigest((t or "").encode()) - (1 << 63) for t in texts]
         yield pa.RecordBatch.from_arrays(
-            [*(batch[c] for c in batch.schema.names if c != "text"), pa.array(spans, _ARROW_SPAN)],
-            names=[*(c for c in batch.schema.names if c != "text"), "spans"])
+            [*(batch[c] for c in batch.schema.names if c != "text"), pa.array(own, pa.int64()),
+             pa.array(spans, _ARROW_SPAN)],
+            names=[*(c for c in batch.schema.names if c != "text"), "text", "spans"])
 
 
 def ownership(spans: DataFrame) -> DataFrame:
-    """(value, repos, owners) of candidates (value, repo, owner): distinct ones of each.
+    """(value, repos, owners) of candidates (value, text, repo, owner): distinct ones of each, where a
+    text counts for the least repository that holds it.
 
-    Counted in three steps, each combined before its shuffle, so a value that a third of all
-    documents hold is spread over its owners and repositories.
+    Counted in steps, each combined before its shuffle, so a value that a third of all documents
+    hold is spread over its texts, repositories and owners.
     """
-    return (spans.groupBy("value", "owner", "repo").agg(F.lit(1).alias("one"))
-            .groupBy("value", "owner").agg(F.count(F.lit(1)).alias("repos"))
-            .groupBy("value").agg(F.sum("repos").alias("repos"), F.count(F.lit(1)).alias("owners")))
+    repos = (spans.groupBy("value", "text").agg(F.min("repo").alias("repo"))
+             .groupBy("value", "repo").agg(F.lit(1).alias("one"))
+             .groupBy("value").agg(F.count(F.lit(1)).alias("repos")))
+    owners = (spans.groupBy("value", "owner").agg(F.lit(1).alias("one"))
+              .groupBy("value").agg(F.count(F.lit(1)).alias("owners")))
+    return repos.join(owners, "value")
+
+
+def limits(texts: int, max_owners: int = 1) -> tuple[int, int]:
+    """(repositories, owners) that may hold a live-looking value in a corpus of `texts` different texts.
+
+    The repositories are the binary logarithm of the texts, rounded up; the owners are a quarter
+    of that, and at least `max_owners`. A credential slips into a few places however large the corpus; what
+    is quoted as an example grows with it.
+    """
+    repos = max(1, (max(1, texts) - 1).bit_length())
+    return repos, max(max_owners, -(-repos // OWNER_SHARE))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          owner_col: str = "source", repo_col: str = "doc_id", max_owners: int = 1) -> DataFrame:
     """(doc_id, spans): per document its spans (kind, start, end, repos, owners, live), in order.
 
-    `live`: at most `max_owners` owners hold the value, and it is varied enough.
+    `live`: no more repositories and owners hold the value than `limits` says, and it is varied enough.
     """
     fields = docs.schema
     schema = T.StructType([T.StructField("doc_id", fields[id_col].dataType),
                            T.StructField("owner", fields[owner_col].dataType),
                            T.StructField("repo", fields[repo_col].dataType),
+                           T.StructField("text", T.LongType()),
                            T.StructField("spans", T.ArrayType(SPAN))])
     found = kept(docs.select(
         F.col(id_col).alias("doc_id"), F.col(owner_col).alias("owner"), F.col(repo_col).alias("repo"),
         F.col(text_col).alias("text")).mapInArrow(_scan, schema)
         .withColumn("_row", F.monotonically_increasing_id()))
-    each = found.filter("size(spans) > 0").select("_row", "doc_id", "owner", "repo",
+    each = found.filter("size(spans) > 0").select("_row", "doc_id", "owner", "repo", "text",
                                                   F.explode("spans").alias("s"))
-    owned = ownership(each.select(F.col("s.value").alias("value"), "owner", "repo"))
+    owned = ownership(each.select(F.col("s.value").alias("value"), "owner", "repo", "text"))
+    most_repos, most_owners = limits(found.select("text").distinct().count(), max_owners)
     told = (each.withColumn("value", F.col("s.value")).join(owned, "value")
-            .withColumn("live", (F.col("owners") <= max_owners) & F.col("s.varied"))
+            .withColumn("live", (F.col("repos") <= most_repos) & (F.col("owners") <= most_owners)
+                        & F.col("s.varied"))
             .filter("live or s.kind <> 'token'"))
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("s.kind"))
     spans = F.transform(F.sort_array(F.collect_list(F.struct(

@@ -125,6 +125,21 @@ def test_secret_scan(spark, odd, empty):
     assert spans == {1: [("assign", False, 2)], 2: [("assign", False, 2)], 3: [("token", True, 1)]}
 
 
+def test_secrets_are_told_by_repositories_and_owners(spark):
+    example, real, plain = "secret = 'Q1w2E3r4T5y6U7i8'", "Zx9aQw8eRt7yUi6oPa5sD", "0123456789abcdef01"
+    rows = [(i, f"note {i}: {example} {plain}", "en", "a") for i in range(1000)]
+    rows += [(2000, f"keep {real} safe", "en", "a"), (2001, f"keep {real} safe", "en", "b"),
+             (2002, f"mine: {KEY}", "en", "a"), (2003, f"my own: {KEY}", "en", "b")]
+    docs = table(spark, rows)
+    spans = {r.doc_id: [(s.kind, s.live, s.repos, s.owners) for s in r.spans]
+             for r in secret_scan.scan(docs).collect()}
+    assert spans[0] == spans[999] == [("assign", False, 1000, 1), ("hex", False, 1000, 1)]
+    assert spans[2000] == spans[2001] == [("token", True, 1, 2)]  # equal texts: one repository
+    assert spans[2002] == spans[2003] == [("assign", True, 2, 2)]
+    text = {r.doc_id: r.text for r in secret_scan.masked(docs).collect()}
+    assert text[0] == rows[0][1] and text[2000] == text[2001] == "keep [secret] safe"
+
+
 def test_assignments_consume_what_they_match():
     texts = ["token: secret: abcdefghijklmnop", "PASSWORD=password=abcdefghijkl", "api_key = 'short' apikey:'x'",
              "ſecret=abcdefghijklmnop", "AKIA" + "A1" * 8 + "AKIA", "f" * 15 + " " + "e" * 16]
