@@ -27,10 +27,17 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links join, the one with the smallest id stays."""
-    alike = ngram_join.near_copies(docs, words=5, percent=80)
-    others = sized(alike.filter("component_id < doc_id").select("doc_id").distinct(), "copies")
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    """Of the rows that links join, one stays: that with the smallest id (none comes last), then the
+    least text, then the least of its other columns; rows alike in all columns are interchangeable."""
+    told = sized(ngram_join.surplus(docs, words=5, percent=80)
+                 .withColumnsRenamed({"doc_id": "_id", "digest": "_digest", "group": "_group"}), "copies")
+    rows = docs.withColumn("_text", ngram_join.text_digest())
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_text").eqNullSafe(F.col("_digest"))
+    alone = rows.join(told, same, "left_anti").select(docs.columns)
+    several = rows.join(told.filter("_group is not null"), same)
+    one = several.groupBy("_group", "doc_id").agg(F.min(F.struct(
+        "text", *[c for c in docs.columns if c != "text"])).alias("_least"))
+    return alone.unionByName(one.select("_least.*"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

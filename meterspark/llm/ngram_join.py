@@ -25,10 +25,11 @@ play no part.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
 from meterspark.llm import blocks
@@ -66,10 +67,15 @@ def _least_overlap(n, percent: int):
     return -(-n * percent // 100)
 
 
-def gram_sets(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+def gram_sets(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str,
+              digest: Column | None = None) -> DataFrame:
     """Per document: set size, signature of the set, and, where enough n-grams are shared with other
-    documents to link at all, how many are, and those n-grams, rarest first."""
-    blocked, size = blocks.in_blocks(docs, id_col, text_col)
+    documents to link at all, how many are, and those n-grams, rarest first. A `digest` of the row,
+    if given, comes along."""
+    blocked, size = blocks.in_blocks(docs, id_col, text_col,
+                                     more=() if digest is None else (digest.alias("digest"),))
+    carried = digest is not None
+    layout = SETS + ", digest binary" if carried else SETS
     expected = max(1, size // 6)
     bits = min(64, max(32, expected.bit_length() + 10))
     low = np.uint64(64 - bits)
@@ -91,20 +97,21 @@ def gram_sets(docs: DataFrame, words: int, percent: int, id_col: str, text_col:
         sets, every, (_, inverse, _) = columns(table)
         rank = blocks.answers_of(answers)[inverse]
         out, at = [], 0
-        for doc_id, grams in zip(table["doc_id"].to_pylist(), sets):
+        more = zip(table["digest"].to_pylist()) if carried else repeat(())
+        for doc_id, grams, kept_along in zip(table["doc_id"].to_pylist(), sets, more):
             own, n = rank[at:at + len(grams)], len(grams)
             at += n
             shared = int((own > 0).sum())
             near = n > 0 and shared >= _least_overlap(n, percent)
             order = np.argsort(own, kind="stable")[n - shared:] if near else None
             out.append((doc_id, n, xxh3_128_digest(grams.tobytes()), shared if near else None,
-                        grams[order].tobytes() if near else None))
-        return blocks.table_of(out, SETS)
+                        grams[order].tobytes() if near else None, *kept_along))
+        return blocks.table_of(out, layout)
 
     totals = blocks.key_totals(blocked, keys_of, doubled,
                                blocks.doubling(expected, blocks.RANGE_KEYS), bits)
     return blocked.groupBy("_block").cogroup(totals.groupBy("_block")).applyInArrow(
-        lambda t, a: rows(t, a) if t.num_rows else blocks.table_of([], SETS), SETS)
+        lambda t, a: rows(t, a) if t.num_rows else blocks.table_of([], layout), layout)
 
 
 def _postings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -213,19 +220,54 @@ def linked(nodes: DataFrame, percent: int) -> DataFrame:
     return first.union(_overlaps(rest, nodes).filter(enough).select(*links))
 
 
+def _classes(full: DataFrame, node: Column, percent: int) -> DataFrame:
+    """(signature, label): the sets of `full`, each named by `node` of its rows, and the least name
+    that links reach."""
+    nodes = kept(full.filter("grams is not null").groupBy("signature").agg(
+        node.alias("node"), F.first("n").cast("int").alias("n"),
+        F.first("shared").alias("shared"), F.min_by("grams", "signature").alias("grams")).drop("signature"))
+    labels = components(linked(nodes, percent))
+    return (full.groupBy("signature").agg(node.alias("node")).join(labels, "node", "left")
+            .select("signature", F.coalesce("label", "node").alias("label")))
+
+
 def near_copies(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """Per document: n_shingles, and component_id, the smallest id that links reach (its own too)."""
     sets = kept(gram_sets(docs, words, percent, id_col, text_col))
-    full = sets.filter("n > 0 and doc_id is not null")
-    nodes = kept(full.filter("grams is not null").groupBy("signature").agg(
-        F.min("doc_id").alias("node"), F.first("n").cast("int").alias("n"),
-        F.first("shared").alias("shared"), F.min_by("grams", "doc_id").alias("grams")).drop("signature"))
-    labels = components(linked(nodes, percent))
-    classes = (full.groupBy("signature").agg(F.min("doc_id").alias("node"))
-               .join(labels, "node", "left")
-               .select("signature", F.coalesce("label", "node").alias("label")))
+    classes = _classes(sets.filter("n > 0 and doc_id is not null"), F.min("doc_id"), percent)
     return (sets.select("doc_id", "n", "signature").join(classes, "signature", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.when(
                 F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("label"))
             ).otherwise(F.col("doc_id")).alias("component_id")))
+
+
+def text_digest(text_col: str = "text") -> Column:
+    return F.unhex(F.md5(text_col))
+
+
+def surplus(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
+            text_col: str = "text") -> DataFrame:
+    """(doc_id, digest, group): the ids and `text_digest`s of rows that must go for one row to stay of
+    those that links join. Without `group` a row goes; of the rows of one `group` and id, one stays.
+
+    Links join sets, not ids: rows without id link, and different texts under one id do not stand for
+    each other. The smallest id stays; no id comes last. Documents without words link with nothing,
+    but several rows of one id and text are one document whatever it holds.
+    """
+    sets = kept(gram_sets(docs, words, percent, id_col, text_col, text_digest(text_col)))
+    # Sets are named by a hash, as an id may be missing or stand for several sets.
+    classes = _classes(sets.filter("n > 0"), F.min(F.xxhash64("signature")), percent)
+    texts = sets.groupBy("signature", "doc_id", "digest").agg(
+        F.first("n").alias("n"), F.count(F.lit(1)).alias("rows"))
+    held = texts.filter("n > 0").join(classes, "signature").select(
+        "label", "doc_id", "digest", "rows")
+    stays = (held.groupBy("label", "doc_id").agg(F.sum("rows").alias("rows"))
+             .groupBy("label").agg(F.min(F.struct(
+                 F.col("doc_id").isNull().alias("none"), "doc_id", "rows")).alias("s"))
+             .select("label", F.col("s.doc_id").alias("own_id"), F.col("s.rows").alias("own_rows")))
+    own = F.col("doc_id").eqNullSafe(F.col("own_id"))
+    told = held.join(stays, "label").filter(~own | (F.col("own_rows") > 1)).select(
+        "doc_id", "digest", F.when(own, F.col("label")).alias("group"))
+    wordless = texts.filter("n = 0 and rows > 1 and doc_id is not null")
+    return told.union(wordless.select("doc_id", "digest", F.xxhash64("digest").alias("group")))

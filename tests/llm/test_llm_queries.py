@@ -178,6 +178,24 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
         docs = after
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Repeated rows, rows without id, and one id for several texts."""
+    def prose(name):
+        return " ".join(f"{name}{i}" for i in range(40))
+
+    rows = [(1, prose("a"), "en", "s"), (1, prose("a"), "en", "s"), (1, prose("a"), "en", "r"),
+            (2, prose("a") + " more", "en", "s"), (1, prose("a") + " and", "en", "a"), (2, prose("b"), "en", "s"), (3, prose("c"), "en", "s"),
+            (3, prose("d"), "en", "s"), (None, prose("e"), "en", "s"), (None, prose("e"), "en", "t"),
+            (None, prose("f"), "en", "s"), (None, prose("c"), "en", "s"), (4, prose("d"), "en", "s"),
+            (5, None, "en", "s"), (6, None, "en", "s"), (6, None, "en", "s"), (7, "", "en", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(5)
+    after = corpus_pipeline.one_of_each(spark, docs, SF)
+    assert after.columns == docs.columns
+    want = [(1, prose("a"), "r"), (2, prose("b"), "s"), (3, prose("c"), "s"), (3, prose("d"), "s"),
+            (None, prose("e"), "s"), (None, prose("f"), "s"), (5, None, "s"), (6, None, "s"), (7, "", "s")]
+    assert sorted(((r.doc_id, r.text, r.source) for r in after.collect()), key=str) == sorted(want, key=str)
+
+
 def test_all_eleven_are_registered():
     import __spark_entry__ as entries
     names = [n for n in entries.queries() if n.startswith("op") or n == "pipeline"]
