@@ -244,6 +244,34 @@ def supplies_in(spark, sf_dir):
         "cups", "marketer", F.col("pointType").cast("long").alias("pointType"))
 
 
+@query("""WITH docs AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS k, CAST(o_custkey AS VARCHAR) AS c, o_orderstatus AS s,
+         o_orderkey % 7 = 0 AS cut FROM orders)
+SELECT 'kept' AS kind, k AS key, '-' AS item FROM docs WHERE NOT cut
+UNION ALL SELECT 'kept', c, '3' FROM docs WHERE NOT cut AND s = 'O'
+UNION ALL SELECT 'rejected', k, CASE s WHEN 'F' THEN '{"cups":"' || k || '","pointType":"large"}' ELSE 'x' END
+FROM docs WHERE NOT cut AND s <> 'O'
+UNION ALL SELECT 'unreadable', k, '-' FROM docs WHERE cut""")
+def landed_items(spark, sf_dir):
+    """Orders as documents of two items, one in seven cut off: every item is kept or rejected."""
+    key, status = text("o_orderkey"), F.col("o_orderstatus")
+    good = F.to_json(F.struct(key.alias("cups")))
+    other = (F.when(status == "O", F.to_json(F.struct(text("o_custkey").alias("cups"), F.lit(3).alias("pointType"))))
+             .when(status == "F", F.to_json(F.struct(key.alias("cups"), F.lit("large").alias("pointType"))))
+             .otherwise(F.lit('"x"')))
+    end = F.when(F.col("o_orderkey") % 7 == 0, "").otherwise("]}")
+    documents = _orders(spark, sf_dir).select(
+        key.alias("key"), F.concat(F.lit('{"supplies": ['), good, F.lit(", "), other, end).alias("value"))
+    dash = F.lit("-")
+    kept = landing.supplies_in(documents).select(
+        F.lit("kept").alias("kind"), F.col("cups").alias("key"),
+        F.coalesce(text("pointType"), dash).alias("item"))
+    rejected = landing.rejected_documents(documents).select(
+        F.when(F.col("item").isNull(), "unreadable").otherwise("rejected").alias("kind"), "key",
+        F.coalesce("item", dash).alias("item"))
+    return kept.unionByName(rejected)
+
+
 @query(f"""WITH {PLACES}, {OWNED},
 entries AS (SELECT lower(name) AS g, min(geo_id) AS geo_id FROM places GROUP BY ALL),
 records AS (

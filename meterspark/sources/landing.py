@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from meterspark import schemas as S
 from meterspark.functions import clock
+from meterspark.streaming.envelopes import fits
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType,
@@ -23,17 +24,25 @@ def read_contracts(spark: SparkSession, path: str, fmt: str = "json") -> DataFra
 
 
 def supplies_in(documents: DataFrame, column: str = "value") -> DataFrame:
-    """Supply records inside JSON documents `{"supplies": [...]}`."""
-    layout = T.StructType([T.StructField("supplies", T.ArrayType(S.SUPPLY))])
-    return (documents.select(F.explode(F.from_json(column, layout)["supplies"]).alias("r"))
-            .select("r.*"))
+    """Supply records inside JSON documents `{"supplies": [...]}`; items that are not what a supply
+    record holds are left to `rejected_documents`."""
+    return (documents.select(F.explode(_items(column)).alias("item"))
+            .filter(fits(F.col("item"), S.SUPPLY))
+            .select(F.from_json("item", S.SUPPLY).alias("r")).select("r.*"))
 
 
 def rejected_documents(documents: DataFrame, column: str = "value") -> DataFrame:
-    """Documents that `supplies_in` gets nothing from because they cannot be read: for quarantine."""
-    layout = "supplies array<string>"
-    return documents.filter(F.col(column).isNotNull()
-                            & F.from_json(column, layout)["supplies"].isNull())
+    """What `supplies_in` leaves out, for quarantine: a row with the document and, in `item`, the JSON
+    of an item that does not fit; documents that cannot be read come once, with `item` null."""
+    unread = F.col("_items").isNull()
+    return (documents.filter(F.col(column).isNotNull()).withColumn("_items", _items(column))
+            .withColumn("item", F.explode(F.coalesce("_items", F.array(F.lit(None).cast("string")))))
+            .filter(~fits(F.col("item"), S.SUPPLY))
+            .withColumn("item", F.when(~unread, F.coalesce("item", F.lit("null")))).drop("_items"))
+
+
+def _items(column: str) -> Column:
+    return F.from_json(column, "supplies array<string>")["supplies"]
 
 
 def read_chunk_state(spark: SparkSession, path: str) -> DataFrame:

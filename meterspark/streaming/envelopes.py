@@ -105,7 +105,7 @@ def final_markers(runs: DataFrame, topic: str, partitions: int = 1) -> DataFrame
                         F.lit(partitions).alias("partitions"))))
 
 
-def _fits(data: Column, layout: T.StructType) -> Column:
+def fits(data: Column, layout: T.StructType) -> Column:
     """Whether `data` is a JSON object whose fields have the types that `layout` gives them."""
     marked = T.StructType([*layout.fields, T.StructField("_bad", T.StringType())])
     parsed = F.from_json(data, marked, {"columnNameOfCorruptRecord": "_bad"})
@@ -114,7 +114,7 @@ def _fits(data: Column, layout: T.StructType) -> Column:
 
 def _readings_fit(data: Column) -> Column:
     items = F.from_json(data, "array<string>")
-    return F.coalesce(F.forall(items, lambda item: _fits(item, READING)), F.lit(False))
+    return F.coalesce(F.forall(items, lambda item: fits(item, READING)), F.lit(False))
 
 
 def decode_envelopes(raw: DataFrame, static_topic: str) -> DataFrame:
@@ -131,7 +131,7 @@ def decode_envelopes(raw: DataFrame, static_topic: str) -> DataFrame:
     kind = (F.when(F.col("e._bad").isNotNull(), "malformed")
             .when(is_static & is_final, "final")
             .when(is_static & F.col("e.data").isNull(), "malformed")
-            .when(is_static, F.when(_fits(F.col("e.data"), SUPPLY), "static").otherwise("malformed"))
+            .when(is_static, F.when(fits(F.col("e.data"), SUPPLY), "static").otherwise("malformed"))
             .when(F.col("e.data").isNotNull() & ~_readings_fit(F.col("e.data")), "malformed")
             .otherwise("timeseries"))
     return (raw.filter(F.col("value").isNotNull())

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from meterspark.functions.text import any_order_similarity
 from meterspark.operators import supplies as S
 from meterspark.schemas import CONTRACT, SUPPLY
+from meterspark.sources import landing
 from meterspark.sources.gazetteer import gazetteer_pattern
 from meterspark import vocabulary as V
 
@@ -160,3 +161,13 @@ def test_words_in_another_order(spark):
                                     ("Reus", "3")], "name string, geo_id string")
     got = S.fuzzy_place_match(names, places, "m", score=any_order_similarity).collect()
     assert {r.geo_id: round(r.score, 2) for r in got} == {"1": 0.95, "3": 0.8}
+
+
+def test_items_that_are_no_supply_records_are_rejected(spark):
+    documents = spark.createDataFrame([
+        (1, '{"supplies": [{"cups": "x", "pointType": "large"}, {"cups": "a", "pointType": 2}]}'),
+        (2, '{"supplies": ["x", null, 5]}'), (3, '{"supplies": [{"cups": "b"}'), (4, '{"supplies": []}'),
+        (5, '{"other": 1}'), (6, None)], "n int, value string")
+    assert [(r.cups, r.pointType) for r in landing.supplies_in(documents).collect()] == [("a", 2)]
+    assert sorted((r.n, r.item or "-") for r in landing.rejected_documents(documents).collect()) == [
+        (1, '{"cups":"x","pointType":"large"}'), (2, "5"), (2, "null"), (2, "x"), (3, "-"), (5, "-")]
