@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meterspark import vocabulary as V
-from meterspark.catalog import graph as G, tables as t
+from meterspark.catalog import graph as G, routing as Q, tables as t
+from meterspark.catalog.chunks import RETRY
 from meterspark.catalog.readings import WIDE, _max_power_wide
-from meterspark.catalog.registry import query, table, text
+from meterspark.catalog.registry import AS_OF, query, table, text
 from meterspark.catalog.streams import SPEC, STATIC
 from meterspark.catalog.supplies import owned_supplies
 from meterspark.operators import graph, readings as R, supplies as S
-from meterspark.plans import finalize, harmonize
+from meterspark.plans import finalize, gather, harmonize
 from meterspark.session import shared_dir
 from meterspark.streaming import envelopes as E
 
@@ -185,3 +186,83 @@ def publish_power(spark, sf_dir):
     rows = F.from_json("data", "array<struct<cups:string,timestamp:bigint,period:bigint,"
                                "period_ts:bigint,max_power:double>>")
     return sent.filter("kind = 'timeseries'").select(F.explode(rows).alias("r")).select("r.*")
+
+
+def _requests(spark, sf_dir):
+    return gather.plan_requests(Q._subscriptions(spark, sf_dir), t.supplies(spark, sf_dir),
+                                t.stored_state(spark, sf_dir), AS_OF)
+
+
+OPEN = """"values" < total AND retries > 0 AND date_ini > TIMESTAMP '2022-02-01'"""
+
+REQUESTS = Q.ROUTED + t.CALENDAR.removeprefix(t.SUPPLIES) + "," + t.STATE + """,
+asked AS (SELECT * FROM state WHERE cups IN (SELECT cups FROM routed WHERE db_list <> ''))"""
+
+
+@query(f"""WITH {REQUESTS}
+SELECT r.username, cups, data_type, chunk_key,
+  CASE WHEN data_type = 'Power_P1M' THEN 'max_power' ELSE 'consumption' END AS endpoint,
+  "distributorCode" AS distributor_code, strftime(date_ini, '%Y-%m-%d') AS start_date,
+  strftime(date_end, '%Y-%m-%d') AS end_date,
+  CASE data_type WHEN 'EnergyConsumptionGridElectricity_PT1H' THEN '0'
+                 WHEN 'EnergyConsumptionGridElectricity_PT15M' THEN '1' END AS measurement_type,
+  CASE WHEN data_type <> 'Power_P1M' THEN CAST("pointType" AS VARCHAR) END AS point_type,
+  r.authorized_nif
+FROM asked JOIN routed r USING (cups) JOIN supplies USING (cups) WHERE {OPEN}""")
+def gather_requests(spark, sf_dir):
+    """What a run asks for: customers' open chunks, once for each login that reaches them."""
+    return _requests(spark, sf_dir).plan
+
+
+@query(f"""WITH {t.READINGS}, {REQUESTS},
+given AS (
+  SELECT * FROM readings UNION ALL
+  SELECT * REPLACE (seq + 1000000000000 AS seq, "consumptionKWh" + 1000 AS "consumptionKWh")
+  FROM readings WHERE seq % 3 = 0),
+latest AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY cups, prop, freq, "timestamp" ORDER BY seq DESC) AS rn
+    FROM given) WHERE rn = 1),
+{t.OBSERVED.replace('FROM readings', 'FROM latest')},
+{RETRY.replace('FROM state s', 'FROM asked s')},
+wanted AS (
+  SELECT DISTINCT cups, unnest(string_split(db_list, ',')) AS source FROM routed WHERE db_list <> ''),
+contract AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS cups, o_orderdate AS since, o_orderpriority AS marketer FROM (
+    SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+    FROM orders) WHERE rn = 1),
+measured AS (SELECT cups, count(DISTINCT data_type) AS n FROM asked WHERE {OPEN} GROUP BY cups)
+SELECT 'state' AS kind, cups AS a, data_type AS b, chunk_key AS c, CAST("values" AS BIGINT) AS n,
+  CAST(retries AS DOUBLE) AS v FROM retried
+UNION ALL
+SELECT 'timeseries', source || '.readings', cups, prop || '_' || freq, count(*), max("consumptionKWh")
+FROM latest JOIN wanted USING (cups) GROUP BY source, cups, prop, freq, "timestamp" // 86400
+UNION ALL
+SELECT 'static', cups, db_list, strftime(since, '%Y-%m-%d') || '/' || marketer, coalesce(n, 0), 0
+FROM routed JOIN contract USING (cups) LEFT JOIN measured USING (cups)""")
+def gather_delivery(spark, sf_dir):
+    """What a run makes of all readings, a third of which come again with another value: the state of
+    the chunks asked for, and the messages, taken apart. Many readings are of meters that go to
+    several sources or to none."""
+    readings = t.readings(spark, sf_dir).withColumn(
+        "datetime", F.date_format("datetime", "yyyy-MM-dd'T'HH:mm:ss"))
+    given = readings.unionByName(readings.filter("seq % 3 = 0").withColumns({
+        "seq": F.col("seq") + 1_000_000_000_000, "consumptionKWh": F.col("consumptionKWh") + 1000}))
+    contracts = table(spark, sf_dir, "orders").select(
+        text("o_custkey").alias("cups"), t.iso_day("o_orderdate").alias("startDate"),
+        F.col("o_orderkey").alias("seq"), F.col("o_orderpriority").alias("marketer"))
+    made = gather.deliver(_requests(spark, sf_dir), given, contracts, Q.specs(sf_dir), AS_OF, STATIC)
+    state = made.state.select(
+        F.lit("state").alias("kind"), F.col("cups").alias("a"), F.col("data_type").alias("b"),
+        F.col("chunk_key").alias("c"), F.col("values").cast("long").alias("n"),
+        F.col("retries").cast("double").alias("v"))
+    values = F.from_json("data", "array<struct<consumptionKWh:double>>")["consumptionKWh"]
+    series = E.decode_envelopes(made.timeseries, STATIC).select(
+        "kind", "topic", "key", F.concat_ws("_", "kwargs.property", "kwargs.freq"),
+        F.size(values).cast("long"), F.array_max(values))
+    asked = F.from_json(F.get_json_object("data", "$.measurements"), "array<string>")
+    static = E.decode_envelopes(made.static, STATIC).select(
+        "kind", "key", F.array_join("kwargs.dblist", ","),
+        F.concat_ws("/", F.get_json_object("data", "$.startDate"), F.get_json_object("data", "$.marketer")),
+        F.coalesce(F.size(asked), F.lit(0)).cast("long"), F.lit(0.0))
+    return state.union(series).union(static)

@@ -305,3 +305,55 @@ def harmonize_supplies(spark, sf_dir):
     return harmonize.harmonize_supplies(records, lookups, "2024-01-31T00:00:00", per_row=False).select(
         "cups", F.coalesce("ens", F.lit("-")).alias("ens"), "municipality",
         F.coalesce("startDate", F.lit("-")).alias("startDate"), "nif_ab", "enrolled")
+
+
+PROVINCES = PLACES.replace("places AS", "provinces AS").replace("p_size < 25", "p_size >= 25")
+
+
+def _nearest(found, probe, places):
+    """The place most like each distinct `probe` of the records."""
+    return f"""
+{found} AS (
+  SELECT probe, geo_id FROM (
+    SELECT probe, geo_id, row_number() OVER (PARTITION BY probe ORDER BY
+      1.0::DOUBLE - levenshtein(lower(probe), g)::DOUBLE / greatest(length(probe), length(g)) DESC,
+      geo_id) AS rn
+    FROM (SELECT DISTINCT {probe} AS probe FROM records),
+         (SELECT lower(name) AS g, min(geo_id) AS geo_id FROM {places} GROUP BY ALL)) WHERE rn = 1)"""
+
+
+@query(f"""WITH {PLACES}, {PROVINCES}, {OWNED},
+records AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS cups, CAST(o_custkey AS VARCHAR) AS nif, o_orderstatus,
+         upper(p_name) AS town, 'x' || substring(p_name, 2) AS land,
+         CASE WHEN o_orderstatus = 'F' THEN 'S' || o_orderkey END AS of_supply
+  FROM orders JOIN part ON p_partkey = o_custkey), {_nearest('towns', 'town', 'places')},
+{_nearest('lands', 'land', 'provinces')}
+SELECT cups, coalesce(of_supply, ens, '-') AS ens, t.geo_id AS municipality, l.geo_id AS province,
+  coalesce("startDate", '-') AS "startDate", coalesce("endDate", 'Alta') AS nif_ab,
+  o_orderstatus = 'P' OR "stateEnrolled" AS enrolled
+FROM records JOIN states USING (cups) JOIN towns t ON t.probe = town JOIN lands l ON l.probe = land
+LEFT JOIN (SELECT CAST(c_custkey AS VARCHAR) AS nif, 'C' || c_nationkey AS ens FROM customer
+           WHERE c_mktsegment <> 'BUILDING') USING (nif)""")
+def harmonize_located(spark, sf_dir):
+    """Supply records with buildings found by supply and else by owner, and towns and provinces as many
+    as there are customers."""
+    orders = _orders(spark, sf_dir)
+    records = owned_supplies(spark, sf_dir).join(orders.join(
+        table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("o_custkey")).select(
+        text("o_orderkey").alias("cups"), text("o_custkey").alias("nif"),
+        F.upper("p_name").alias("municipality"),
+        F.concat(F.lit("x"), F.substr("p_name", F.lit(2))).alias("province")), "cups")
+    by_supply = orders.filter("o_orderstatus = 'F'").select(
+        text("o_orderkey").alias("key"), F.concat(F.lit("S"), "o_orderkey").alias("ens"),
+        F.col("o_orderkey").alias("seq"))
+    by_nif = (table(spark, sf_dir, "customer").filter("c_mktsegment <> 'BUILDING'")
+              .select(text("c_custkey").alias("key"),
+                      F.concat(F.lit("C"), "c_nationkey").alias("ens"),
+                      F.col("c_custkey").alias("seq")))
+    devices = orders.select(text("o_orderkey").alias("deviceName"),
+                            (F.col("o_orderstatus") == "P").alias("enrolled"))
+    lookups = harmonize.Lookups(by_supply, by_nif, gazetteer(spark, sf_dir), devices)
+    return harmonize.harmonize_supplies(records, lookups, "2024-01-31T00:00:00", per_row=False).select(
+        "cups", F.coalesce("ens", F.lit("-")).alias("ens"), "municipality", "province",
+        F.coalesce("startDate", F.lit("-")).alias("startDate"), "nif_ab", "enrolled")
