@@ -140,17 +140,28 @@ def stream_harmonize(spark, sf_dir):
                     "start", "end", "value", "isReal"))
 
 
+def _redelivered(spark, name, deliveries):
+    """Publish and stream each delivery before the next, on one checkpoint: its messages are batches of
+    their own however many files they fill. The folder written to, and the last batch of each."""
+    landed, out, state = (shared_dir(spark, f"{name}-{part}") for part in ("in", "out", "state"))
+    last = []
+    for delivered in deliveries:
+        E.publish_envelope(delivered, SPEC).write.mode("append").parquet(landed)
+        job = jobs.start_harmonizer(jobs.file_messages(spark, landed), out, state, SPEC.source, STATIC,
+                                    trigger=NOW)
+        job.awaitTermination()
+        last.append(job.lastProgress["batchId"] if job.lastProgress else last[-1] if last else 0)
+    return out, last
+
+
 @query(f"""WITH {UNIQUE}
 SELECT property, freq, bucket, hash, "start", "end", value + 1 AS value, "isReal"
 FROM ({POINTS.replace('FROM readings', 'FROM latest')})""")
 def stream_redelivery(spark, sf_dir):
     """All readings published, then published again with other values: the later ones stay."""
-    landed, out, state = (shared_dir(spark, f"redelivery-{part}") for part in ("in", "out", "state"))
     readings = _unique(spark, sf_dir)
-    for delivered in (readings, readings.withColumn("consumptionKWh", F.col("consumptionKWh") + 1)):
-        E.publish_envelope(delivered, SPEC).repartition(1).write.mode("append").parquet(landed)
-    jobs.start_harmonizer(jobs.file_messages(spark, landed, 1), out, state, SPEC.source, STATIC,
-                          trigger=NOW).awaitTermination()
+    out, _ = _redelivered(spark, "redelivery", [
+        readings, readings.withColumn("consumptionKWh", F.col("consumptionKWh") + 1)])
     return (jobs.read_points(spark, f"{out}/points")
             .select("property", "freq", F.col("bucket").cast("long").alias("bucket"), "hash",
                     "start", "end", "value", "isReal"))
@@ -161,16 +172,12 @@ SELECT property, freq, bucket, hash, "start", "end", value + 2 AS value, "isReal
 FROM ({POINTS.replace('FROM readings', 'FROM latest')})""")
 def stream_folded(spark, sf_dir):
     """All readings published three times; the first batches are folded, then folded on."""
-    landed, out, state, folded = (shared_dir(spark, f"folded-{part}") for part in ("in", "out", "state", "old"))
-    readings = _unique(spark, sf_dir)
-    for more in range(3):
-        E.publish_envelope(readings.withColumn("consumptionKWh", F.col("consumptionKWh") + more), SPEC) \
-            .repartition(1).write.mode("append").parquet(landed)
-    jobs.start_harmonizer(jobs.file_messages(spark, landed, 1), out, state, SPEC.source, STATIC,
-                          trigger=NOW).awaitTermination()
-    jobs.fold_points(spark, f"{out}/points", folded, 0)
-    jobs.fold_points(spark, f"{out}/points", folded, 1, since=0)
-    return (jobs.read_points(spark, f"{out}/points", folded, 1)
+    readings, folded = _unique(spark, sf_dir), shared_dir(spark, "folded-old")
+    out, (first, second, _) = _redelivered(spark, "folded", [
+        readings.withColumn("consumptionKWh", F.col("consumptionKWh") + more) for more in range(3)])
+    jobs.fold_points(spark, f"{out}/points", folded, first)
+    jobs.fold_points(spark, f"{out}/points", folded, second, since=first)
+    return (jobs.read_points(spark, f"{out}/points", folded, second)
             .select("property", "freq", F.col("bucket").cast("long").alias("bucket"), "hash",
                     "start", "end", "value", "isReal"))
 

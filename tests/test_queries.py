@@ -34,3 +34,25 @@ def test_every_query_has_sql():
 def test_entry_has_rows(spark):
     import __spark_entry__ as entries
     assert entries.entry(spark).count() > 0
+
+
+def test_a_delivery_fills_several_files(spark, monkeypatch):
+    """Messages are not pushed through one task, and a batch still holds one delivery only."""
+    from pathlib import Path
+    from meterspark.streaming import jobs
+    folders, messages = [], jobs.file_messages
+
+    def watched(session, path, *args):
+        folders.append((path, len(list(Path(path).glob("*.parquet")))))
+        return messages(session, path, *args)
+
+    monkeypatch.setattr(jobs, "file_messages", watched)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for name in ("stream_redelivery", "stream_folded"):
+            folders.clear()
+            assert differences(catalog.queries()[name](spark, SF), SF, name) is None
+            seen = [files for _, files in folders]
+            assert seen[0] > 1 and seen == sorted(set(seen)) and len({path for path, _ in folders}) == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
