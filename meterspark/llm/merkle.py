@@ -7,7 +7,8 @@ A section's hash is made of its paragraphs' hashes, the root's of its sections'.
 equal texts; where roots differ, only branches that differ are opened to find what was edited.
 
 The fingerprint is the tree as text: `root|section:paragraph,paragraph;section:...`, where a paragraph
-is its hash (32 bits in hex) and its length in code points, `hash.length`. A null or empty text has
+is its hash and its length in code points, `hash.length`. All hashes have 128 bits, in hex: a section's is
+that of the text behind its colon, the root's that of its sections' hashes joined by semicolons. A null or empty text has
 the root of the empty tree and no sections. Likeness compares paragraphs by length: twice what both
 trees hold, divided by what they hold together (1 for two empty texts).
 """
@@ -22,7 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
-from xxhash import xxh3_128_hexdigest, xxh3_64_hexdigest, xxh32_intdigest
+from xxhash import xxh3_128_hexdigest, xxh3_128_intdigest, xxh32_intdigest
 
 from meterspark.llm import blocks
 
@@ -65,25 +66,25 @@ class Tree:
     """Sections as (hash, [(paragraph hash, length)])."""
 
     def __init__(self, text: str):
-        self.root = xxh3_128_hexdigest(text.encode())
         self.sections: list[tuple[str, list[tuple[str, int]]]] = []
         leaves: list[tuple[str, int]] = []
         for piece in paragraphs(text):
             raw = piece.encode()
-            h = xxh32_intdigest(raw)
+            h = xxh3_128_intdigest(raw)
             if leaves and piece == "\n":
                 self._close(leaves)
                 leaves = []
-            leaves.append((f"{h:08x}", len(piece)))
+            leaves.append((f"{h:032x}", len(piece)))
             if h % FAN_OUT == 0:
                 self._close(leaves)
                 leaves = []
         if leaves:
             self._close(leaves)
+        self.root = xxh3_128_hexdigest(";".join(h for h, _ in self.sections).encode())
 
     def _close(self, leaves: list[tuple[str, int]]) -> None:
         own = ",".join(f"{h}.{n}" for h, n in leaves)
-        self.sections.append((xxh3_64_hexdigest(own.encode()), leaves))
+        self.sections.append((xxh3_128_hexdigest(own.encode()), leaves))
 
     def __str__(self) -> str:
         return self.root + "|" + ";".join(

@@ -229,6 +229,19 @@ def test_ranges_of_ids_do_not_change_fingerprints(odd, monkeypatch):
     assert sorted(tuple(r) for r in merkle.fingerprints(odd.filter("doc_id is not null")).collect()) == want
 
 
+def test_every_hash_is_made_of_those_below_it():
+    def hashed(text):
+        return merkle.xxh3_128_hexdigest(text.encode())
+
+    for text in ("", "one", "".join(f"This is sentence number {i} of the text.\n" for i in range(90)) + "\n\nend"):
+        root, _, rest = str(merkle.Tree(text)).partition("|")
+        sections = [s.split(":") for s in rest.split(";") if s]
+        assert root == hashed(";".join(h for h, _ in sections))
+        assert all(h == hashed(leaves) for h, leaves in sections)
+        assert [leaf for _, leaves in sections for leaf in leaves.split(",")] == [
+            f"{hashed(p)}.{len(p)}" for p in merkle.paragraphs(text)]
+
+
 def test_changes_locate_edits():
     text = "".join(f"This is sentence number {i} of the text.\n" for i in range(200))
     edited = text.replace("number 77 of", "number 77 and a half of")
