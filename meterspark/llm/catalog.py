@@ -12,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterspark.llm import blocks, chat, language_id, lm_score, merkle, mixing, \
-    ngram_join, one_bit, piece_tokenizer, secret_scan, substring_dedup
+    ngram_join, one_bit, piece_tokenizer, secret_scan, source_audit, substring_dedup, walsh_codes
+from meterspark.llm.storage import kept, sized
 from meterspark.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,8 +173,100 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "edited_fingerprint", "near_edited", "near_next")
 
 
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.divergence(_table(spark, sf_dir, "documents"))
+
+
+OP12 = r"""
+WITH d AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+    FROM documents),
+t AS MATERIALIZED (
+    SELECT r, lang, source, term, count(*) AS n FROM (SELECT r, lang, source, unnest(ts) AS term FROM d) GROUP BY ALL),
+k AS MATERIALIZED (SELECT lang, term, CAST(sum(n) AS HUGEINT) AS n FROM t GROUP BY ALL HAVING count(*) >= 3),
+l AS MATERIALIZED (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY ALL),
+g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+c AS MATERIALIZED (
+    SELECT lang, source, term, CAST(sum(t.n) AS HUGEINT) AS n FROM t JOIN k USING (lang, term) GROUP BY ALL),
+gt AS MATERIALIZED (
+    SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS MATERIALIZED (
+    SELECT gt.lang, gt.source, k.term, coalesce(c.n, 0) AS n,
+        1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 1)) // (gt.total + l.v) AS p,
+        1 + (CAST(1000000000 AS HUGEINT) * (k.n + 1)) // (l.total + l.v) AS q
+    FROM gt JOIN k USING (lang) JOIN l USING (lang)
+    LEFT JOIN c ON c.lang = gt.lang AND c.source = gt.source AND c.term = k.term),
+f AS MATERIALIZED (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // q AS BIGINT) AS value
+    FROM p WHERE n > 0 AND p > q)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) QUALIFY part = 'pair' OR rank <= 200"""
+
+
+def op13_walsh_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    books = walsh_codes.train(vectors)
+    coded = kept(walsh_codes.encode(vectors, books, more=(F.col("label"),)))
+    sums = sized(coded.groupBy(F.col("label").alias("_label")).agg(F.least(
+        F.sum(F.col("error").cast("decimal(38,0)")), F.lit(walsh_codes.LARGEST)).cast("long")
+        .alias("label_error")), "label_errors")
+    digest = hashlib.sha256((books.digits() if books else "").encode()).hexdigest()
+    return coded.join(sums, F.col("label").eqNullSafe(F.col("_label"))).select(
+        "vec_id", walsh_codes.hexadecimal(F.col("code")).alias("code"), "error", "label_error",
+        F.lit(digest).alias("codebooks_sha256"))
+
+
+def _op13_sql(rounds: int = 4) -> str:
+    steps = [r"""
+v AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, len(embedding) // 4 AS w,
+        list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+p AS MATERIALIZED (
+    SELECT r, part, e[part * w + 1:(part + 1) * w] AS x, w
+    FROM (SELECT r, e, w, unnest(range(4)) AS part FROM v)),
+c0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x AS c FROM p WHERE r <= 256)"""]
+    for k in range(rounds + 1):
+        steps.append(f"""
+a{k} AS MATERIALIZED (
+    SELECT r, p.part, min(256 * list_sum(list_transform(range(1, w + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))
+        + entry) AS best
+    FROM p JOIN c{k} USING (part) GROUP BY ALL)""")
+        if k < rounds:
+            steps.append(f"""
+m{k} AS MATERIALIZED (
+    SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c
+    FROM (SELECT part, CAST(best % 256 AS BIGINT) AS entry, i, sum(x[i]) AS s, count(*) AS n
+          FROM (SELECT a.part, best, x, unnest(range(1, w + 1)) AS i
+                FROM a{k} a JOIN p ON p.r = a.r AND p.part = a.part) GROUP BY ALL) GROUP BY ALL),
+c{k + 1} AS MATERIALIZED (
+    SELECT c.part, c.entry, coalesce(m.c, c.c) AS c
+    FROM c{k} c LEFT JOIN m{k} m ON m.part = c.part AND m.entry = c.entry)""")
+    return f"""WITH {",".join(steps)},
+coded AS (
+    SELECT r, string_agg(printf('%02x', CAST(best % 256 AS INTEGER)), '' ORDER BY part) AS code,
+        CAST(sum(best // 256) AS BIGINT) AS error
+    FROM a{rounds} GROUP BY r),
+told AS (SELECT vec_id, label, code, error FROM v JOIN coded USING (r))
+SELECT vec_id, code, error,
+    CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+    (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM c{rounds}) AS codebooks_sha256
+FROM told"""
+
+
 _QUERIES = (op1_chat_formatting, op2_one_bit_neighbours, op3_substring_dedup, op4_lm_scoring,
-            op5_secret_scan, op6_sentencepiece, op7_ngram_jaccard, op8_language_id, op9_mixing, op10_fingerprints)
+            op5_secret_scan, op6_sentencepiece, op7_ngram_jaccard, op8_language_id, op9_mixing, op10_fingerprints,
+            op12_source_audit, op13_walsh_codes)
 
 
 def queries() -> dict[str, Query]:
@@ -181,4 +274,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_one_bit_neighbours": OP2, "op3_substring_dedup": OP3, "op7_ngram_jaccard": OP7}
+    return {"op2_one_bit_neighbours": OP2, "op3_substring_dedup": OP3, "op7_ngram_jaccard": OP7,
+            "op12_source_audit": OP12, "op13_walsh_codes": _op13_sql()}
