@@ -11,7 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from meterspark.llm import blocks, chat, language_id, lm_score, merkle, mixing, \
+from meterspark.llm import blocks, chat, language_id, lm_score, merkle, minhash, mixing, \
     ngram_join, one_bit, piece_tokenizer, secret_scan, source_audit, substring_dedup, walsh_codes
 from meterspark.llm.storage import kept, sized
 from meterspark.session import configure
@@ -173,6 +173,31 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "edited_fingerprint", "near_edited", "near_next")
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_copies(_table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+OP11 = r"""
+WITH RECURSIVE w AS MATERIALIZED (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0B\f\r]+') AS ws
+    FROM documents),
+s AS MATERIALIZED (
+    SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS g
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(2, len(ws) - 1))) AS i FROM w WHERE len(ws) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+l AS MATERIALIZED (
+    SELECT x, y
+    FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o
+          FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2)
+    JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+    WHERE 100 * o >= 85 * (p.n + q.n - o)),
+r AS (SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y),
+c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w LEFT JOIN n USING (doc_id) JOIN c ON c.x = w.doc_id"""
+
+
 def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.divergence(_table(spark, sf_dir, "documents"))
 
@@ -266,7 +291,7 @@ FROM told"""
 
 _QUERIES = (op1_chat_formatting, op2_one_bit_neighbours, op3_substring_dedup, op4_lm_scoring,
             op5_secret_scan, op6_sentencepiece, op7_ngram_jaccard, op8_language_id, op9_mixing, op10_fingerprints,
-            op12_source_audit, op13_walsh_codes)
+            op11_minhash, op12_source_audit, op13_walsh_codes)
 
 
 def queries() -> dict[str, Query]:
@@ -275,4 +300,4 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_one_bit_neighbours": OP2, "op3_substring_dedup": OP3, "op7_ngram_jaccard": OP7,
-            "op12_source_audit": OP12, "op13_walsh_codes": _op13_sql()}
+            "op11_minhash": OP11, "op12_source_audit": OP12, "op13_walsh_codes": _op13_sql()}
