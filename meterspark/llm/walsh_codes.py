@@ -26,12 +26,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from meterspark.llm.blocks import batch_of, table_of, texts_of
+from meterspark.llm.blocks import batch_of, texts_of
 
 LARGEST = (1 << 63) - 1
 
-#: Of one task and entry: how many parts chose it and the sum of each component, in decimal digits.
-SUMS = "part int, entry int, n long, sums string"
+#: Of one task: 32-bit digits of the sum of an entry's component; at place -1 how many parts chose it.
+SUMS = "part int, entry int, place int, digit int, value long"
+
+#: Components that one task reads at least, where a table lies in many small files.
+TASK_COMPONENTS = 1 << 23
 
 
 @dataclass(frozen=True)
@@ -135,8 +138,9 @@ def train(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     """Codebooks that start as the parts of the vectors with the smallest ids; each round assigns all
     parts and moves every entry to the floored mean of its own. None if there is no vector.
 
-    The driver holds the codebooks and a row per entry and round, whatever the table's size: a task
-    sums up its own parts first, and sums of all tasks meet per entry in Spark.
+    The driver holds the codebooks and a few rows per component of an entry and round, whatever the
+    table's size: a task sums up its own parts first, and sums of all tasks meet in Spark, by 32-bit
+    digits, so that sums of any size stay exact.
     """
     rows = usable(vectors, vector_col).select(
         F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
@@ -151,19 +155,40 @@ def train(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
              for r in rows.orderBy(*order).limit(entries).collect()]
     books = Codebooks(length, width, scale,
                       [[s[p * width:(p + 1) * width] for s in seeds] for p in range(parts)])
+    parted = _in_tasks(rows.select("vector"), length)
     for _ in range(rounds):
-        sums = (rows.select("vector").mapInArrow(_partial_sums(books), SUMS)
-                .groupBy("part", "entry").applyInArrow(_total, SUMS))
-        moved = [[*part] for part in books.entries]
+        sums = parted.mapInArrow(_partial_sums(books), SUMS).groupBy("part", "entry", "place", "digit").agg(
+            F.sum(F.col("value").cast("decimal(38,0)")).alias("value"))
+        whole: dict[tuple[int, int], list[int]] = {}
         for r in sums.toLocalIterator():
-            moved[r["part"]][r["entry"]] = [int(s) // r["n"] for s in r["sums"].split(",")]
+            places = whole.setdefault((r["part"], r["entry"]), [0] * (width + 1))
+            places[r["place"]] += int(r["value"]) << (32 * r["digit"])
+        moved = [[*part] for part in books.entries]
+        for (part, entry), places in whole.items():
+            moved[part][entry] = [x // places[-1] for x in places[:-1]]
         books = Codebooks(length, width, scale, moved)
     return books
 
 
+def _in_tasks(rows: DataFrame, length: int) -> DataFrame:
+    """`rows` in as many tasks as there are cores, or more if a task had too many components else. Small
+    files are read together; nothing is shuffled."""
+    tasks = -(-rows.count() * length // TASK_COMPONENTS)
+    return rows.coalesce(max(tasks, rows.sparkSession.sparkContext.defaultParallelism))
+
+
+def digits(value: int) -> list[int]:
+    """`value` in base 2**32, lowest first; the last digit has the sign."""
+    out = []
+    while not -(1 << 32) < value < 1 << 32:
+        out.append(value & 0xFFFFFFFF)
+        value >>= 32
+    return [*out, value]
+
+
 def _partial_sums(books: Codebooks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int], list] = {}
+        held: dict[tuple[int, int], list[int]] = {}
         for batch in texts_of(batches, 4096):
             whole = _integers(batch, "vector", books)
             for p, (found, _) in enumerate(_assigned(whole, books)):
@@ -173,23 +198,14 @@ def _partial_sums(books: Codebooks):
                 added = np.add.reduceat(part[order], starts, axis=0) if len(order) else part
                 for entry, n, sums in zip(chosen.tolist(), counts.tolist(), added.tolist()):
                     had = held.get((p, entry))
-                    held[p, entry] = [n, sums] if had is None else [
-                        had[0] + n, [a + b for a, b in zip(had[1], sums)]]
+                    held[p, entry] = [*sums, n] if had is None else [a + b for a, b in zip(had, [*sums, n])]
         if held:
-            yield batch_of([(p, entry, n, ",".join(map(str, sums)))
-                            for (p, entry), (n, sums) in sorted(held.items())], SUMS)
+            yield batch_of([(p, entry, -1 if place == books.width else place, i, digit)
+                            for (p, entry), sums in held.items() for place, value in enumerate(sums)
+                            for i, digit in enumerate(digits(value))], SUMS)
     return run
 
 
-def _total(table: pa.Table) -> pa.Table:
-    """The sums of one entry from all tasks that have any."""
-    n, sums = 0, None
-    for row in table.to_pylist():
-        own = [int(x) for x in row["sums"].split(",")]
-        n, sums = n + row["n"], own if sums is None else [a + b for a, b in zip(sums, own)]
-    return table_of([(table["part"][0].as_py(), table["entry"][0].as_py(), n, ",".join(map(str, sums)))], SUMS)
-
-
 def encode(vectors: DataFrame, books: Codebooks | None, id_col: str = "vec_id", vector_col: str = "embedding",
            more: tuple[Column, ...] = ()) -> DataFrame:
     """Per vector: its id, `code` (an entry per part), `error` (squared distances to these entries, in
@@ -200,8 +216,8 @@ def encode(vectors: DataFrame, books: Codebooks | None, id_col: str = "vec_id",
     rows = usable(vectors, vector_col)
     if books is None:
         return rows.sparkSession.createDataFrame([], layout)
-    rows = rows.filter(F.size(vector_col) == books.length).select(
-        F.col(id_col), *more, F.col(vector_col).cast("array<double>").alias("_vector"))
+    rows = _in_tasks(rows.filter(F.size(vector_col) == books.length).select(
+        F.col(id_col), *more, F.col(vector_col).cast("array<double>").alias("_vector")), books.length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in texts_of(batches, 4096):
