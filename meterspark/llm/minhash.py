@@ -5,12 +5,14 @@
 2. Signatures are cut into bands; nodes that agree in all rows of a band share a bucket. `banding`
    takes the longest bands that miss a pair just at the threshold once in 10^7 at most.
 3. Each bucket has a hub: the member whose buckets hold the most members in all, which is how the text
-   looks that others were made from. Each other member meets its hubs. The signatures must agree as often
-   as those of a linked pair do (but for one pair in 10^9), then the full sets decide.
-4. Alternating large-star and small-star steps give components. Members of a bucket that are still
-   in different components meet each other by their signatures; of a large bucket part by part, each
-   pair of parts in its own task. So no link between components is left out, while a group of many near
-   copies costs one comparison per member.
+   looks that others were made from. The signatures of each other member and its hubs must agree as often
+   as those of a linked pair do (but for one pair in 10^9). Only in buckets with a member unlike the
+   hub, members are compared with each other. What agrees makes families, by alternating large-star and
+   small-star steps.
+4. Full sets are made for members of families alone. They decide on each member and its hubs; parts of a
+   family that this leaves apart are compared with each other, the sizes and the shingles that no
+   other member has ruling out most pairs. A task returns links that connect, not all pairs that link.
+   Large buckets and families go in parts, each pair of parts in its own task.
 
 Documents link when 100 * |A and B| >= percent * |A or B|. A-Z are lower-cased, words are runs of
 anything but space and \\x09-\\x0D. With fewer than `words` words the whole sequence is the set; without
@@ -27,7 +29,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
 from meterspark.llm import blocks
@@ -40,12 +42,12 @@ HASHES = 128
 #: How often a pair just at the threshold shares no band, and how often its signatures agree too seldom.
 MISSED, MISJUDGED = 1e-7, 1e-9
 
-#: Members of a bucket, still in different components, that meet each other in one task.
-PART_ROWS = 1 << 12
+#: Members of a bucket in a part of it, and shingles of all members in a part of a family.
+PART_ROWS, PART_GRAMS = 1 << 10, 1 << 20
 
-SIGNED = "doc_id long, n long, node binary, signature binary"
-WHOLE = "node binary, n long, grams binary"
-PAIRS = "x binary, y binary"
+SIGNED = "doc_id long, n long, digest binary, signature binary"
+WHOLE = "digest binary, grams binary"
+PAIRS = "x long, y long"
 
 
 def banding(percent: int, hashes: int = HASHES) -> tuple[int, int]:
@@ -114,10 +116,10 @@ def _signed(words: int):
 
 
 def _whole(words: int):
-    """The full sets behind each node."""
+    """Full sets by their digest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks.texts_of(batches, 128):
-            yield blocks.batch_of([(xxh3_128_digest(s.tobytes()), len(s), s.tobytes())
+            yield blocks.batch_of([(xxh3_128_digest(s.tobytes()), s.tobytes())
                                    for s in shingle_sets(batch["text"].to_pylist(), words) if len(s)], WHOLE)
     return run
 
@@ -141,36 +143,72 @@ def _linked(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks.texts_of(batches):
             a, b = ([np.frombuffer(g, np.uint64) for g in batch[c].to_pylist()] for c in ("grams_x", "grams_y"))
-            near = []
-            for x, y in zip(a, b):
-                both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                near.append(100 * both >= percent * (len(x) + len(y) - both))
+            near = [links_to(x, y, percent) for x, y in zip(a, b)]
             yield batch.select(["x", "y"]).filter(pa.array(near, pa.bool_()))
     return run
 
 
-def _apart(percent: int, least: int):
-    """Pairs in different components whose signatures agree; of one part, or between two."""
+def links_to(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets link."""
+    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _alike(least: int):
+    """Of the members of one or two parts of a bucket: pairs whose signatures agree, as many as connect
+    all that such pairs connect."""
+    def run(table: pa.Table) -> pa.Table:
+        node, signatures = table["node"].to_numpy(), _stacked(table["signature"].combine_chunks())
+        left, queue, pairs = np.arange(len(node)), [], []
+        while len(left):
+            if not queue:
+                queue, left = [left[0]], left[1:]
+            i = queue.pop()
+            near = (signatures[left] == signatures[i]).sum(axis=1) >= least
+            pairs += [(node[i], node[j]) for j in left[near].tolist()]
+            queue += left[near].tolist()
+            left = left[~near]
+        return blocks.table_of(pairs, PAIRS)
+    return run
+
+
+def _bridges(percent: int, least: int):
+    """Of the members of one or two parts of a family: links between what is not connected yet, as many
+    as connect all that links connect."""
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("n", "ascending"), ("node", "ascending")])
-        n, node = table["n"].to_numpy(), table["node"].to_pylist()
-        label = np.unique(table["label"].to_pylist(), return_inverse=True)[1]
-        part, signatures = table["part"].to_numpy(), _stacked(table["signature"].combine_chunks())
-        alike = table["low"][0].as_py() == table["high"][0].as_py()
-        ends = np.searchsorted(100 * n, 10000 * n // percent, side="right")
-        xs, ys = [], []
-        for i in range(len(node)):
-            j = np.arange(i + 1, int(ends[i]))
-            j = j[(label[j] != label[i]) & (alike | (part[j] != part[i]))]
-            for k in j[(signatures[j] == signatures[i]).sum(axis=1) >= least].tolist():
-                xs.append(node[i])
-                ys.append(node[k])
-        return pa.table([pa.array(xs, pa.binary()), pa.array(ys, pa.binary())], schema=blocks.arrow_schema(PAIRS))
+        node, n = table["node"].to_numpy(), table["n"].to_numpy()
+        sets = [np.frombuffer(g, np.uint64) for g in table["grams"].to_pylist()]
+        signatures = _stacked(table["signature"].combine_chunks())
+        _, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        starts = np.cumsum([0, *map(len, sets[:-1])])
+        held = np.add.reduceat((counts[inverse] > 1).astype(np.int64), starts)
+        _, label = np.unique(table["label"].to_numpy(), return_inverse=True)
+        able = np.flatnonzero(100 * held >= percent * n)
+        members: dict[int, list[int]] = {}
+        for i in able.tolist():
+            members.setdefault(int(label[i]), []).append(i)
+        left, queue, pairs = able, [], []
+        while len(left):
+            if not queue:
+                queue = members[int(label[left[0]])]
+                left = left[label[left] != label[left[0]]]
+            i = queue.pop()
+            may = left[(100 + percent) * np.minimum(held[left], held[i]) >= percent * (n[left] + n[i])]
+            may = may[(signatures[may] == signatures[i]).sum(axis=1) >= least]
+            joined = set()
+            for j in may.tolist():
+                if label[j] not in joined and links_to(sets[i], sets[j], percent):
+                    pairs.append((node[i], node[j]))
+                    joined.add(label[j])
+                    queue = queue + members[int(label[j])]
+            if joined:
+                left = left[~np.isin(label[left], list(joined))]
+        return blocks.table_of(pairs, PAIRS)
     return run
 
 
 def signed(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: set size, `node` (a hash of the whole set) and signature, null for an empty set."""
+    """Per document: set size, digest of the whole set, and signature, which is null for an empty set."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")) \
         .mapInArrow(_signed(words), SIGNED)
 
@@ -182,9 +220,21 @@ def _with(pairs: DataFrame, of: DataFrame, *columns: str) -> DataFrame:
     return pairs
 
 
-def links(docs: DataFrame, nodes: DataFrame, words: int, percent: int, id_col: str = "doc_id",
-          text_col: str = "text") -> DataFrame:
-    """Links (a, b) between `nodes` (node, doc_id, n, signature) that connect them just as all links do."""
+def _in_parts(rows: DataFrame, key: str, parts: DataFrame) -> DataFrame:
+    """Rows of the keys in `parts` (key, parts), once for each pair of parts that they are to be in."""
+    return (rows.join(parts, key).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
+            .drop("part", "other", "parts"))
+
+
+def _parts(size: Column, each: int) -> Column:
+    return F.ceil(size / F.lit(each)).cast("int").alias("parts")
+
+
+def agreeing(nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (x, y) of `nodes` (node, signature) whose signatures agree as those of linked pairs do: each
+    member of a bucket with its hub, and such pairs as connect the others."""
     bands, rows = banding(percent)
     least = least_agreement(percent)
     band = F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band")
@@ -192,45 +242,52 @@ def links(docs: DataFrame, nodes: DataFrame, words: int, percent: int, id_col: s
         "band", F.expr(f"substring(signature, band * {4 * rows} + 1, {4 * rows})")).alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     met = kept(keyed.join(shared, "bucket"))
-    weighed = kept(met.join(met.groupBy("node").agg(F.sum("members").alias("weight")), "node"))
+    weighed = met.join(met.groupBy("node").agg(F.sum("members").alias("weight")), "node")
     hubs = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("h")).select(
         "bucket", F.col("h.node").alias("hub"))
-    to_hub = weighed.join(hubs, "bucket").filter("node <> hub").select(
-        F.col("node").alias("x"), F.col("hub").alias("y")).distinct()
-
-    known = kept(nodes.join(met.select("node").distinct(), "node", "left_semi"))
-    grams = full_sets(docs, known, words, id_col, text_col)
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        return _with(pairs, grams, "grams").select("x", "y", "grams_x", "grams_y").mapInArrow(
-            _linked(percent), PAIRS).select(F.col("x").alias("a"), F.col("y").alias("b"))
-
-    near = _with(to_hub, known, "signature").mapInArrow(_agreeing(least), PAIRS)
-    first = kept(confirmed(near))
-    labels = star_components(first)
-
-    told = kept(met.select("bucket", "node", "members").join(labels, "node", "left").select(
-        "bucket", "node", "members", F.coalesce("label", "node").alias("label")))
-    several = told.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h"),
-                                         F.max("members").alias("members")).filter("l < h")
-    parts = F.ceil(F.col("members") / PART_ROWS).cast("int")
-    parted = (told.drop("members").join(several.select("bucket", parts.alias("parts")), "bucket")
-              .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-              .withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")}))
-    rest = (parted.join(known.select("node", "n", "signature"), "node")
-            .groupBy("bucket", "low", "high").applyInArrow(_apart(percent, least), PAIRS).distinct())
-    return first.unionByName(confirmed(rest))
+    to_hub = kept(met.join(hubs, "bucket").filter("node <> hub").select(
+        "bucket", "members", F.col("node").alias("x"), F.col("hub").alias("y")))
+    signatures = nodes.select("node", "signature")
+    near = kept(_with(to_hub.select("x", "y").distinct(), signatures, "signature")
+                .mapInArrow(_agreeing(least), PAIRS))
+    unlike = to_hub.filter("members > 2").join(near, ["x", "y"], "left_anti").groupBy("bucket").agg(
+        _parts(F.max("members"), PART_ROWS))
+    mixed = _in_parts(met.select("bucket", "node"), "bucket", unlike).join(signatures, "node")
+    return near, mixed.groupBy("bucket", "low", "high").applyInArrow(_alike(least), PAIRS)
+
+
+def links(docs: DataFrame, nodes: DataFrame, words: int, percent: int, id_col: str = "doc_id",
+          text_col: str = "text") -> DataFrame:
+    """Links (a, b) between `nodes` (node, digest, doc_id, n, signature) that connect them as all links do."""
+    near, others = agreeing(nodes, percent)
+    families = kept(star_components(near.unionByName(others).select(
+        F.col("x").alias("a"), F.col("y").alias("b"))).withColumnRenamed("label", "family"))
+    grams = full_sets(docs, nodes.join(families, "node", "left_semi"), words, id_col, text_col)
+    first = kept(_ends(_with(near, grams, "grams").select("x", "y", "grams_x", "grams_y").mapInArrow(
+        _linked(percent), PAIRS)))
+
+    told = kept(families.join(star_components(first), "node", "left").join(nodes.select("node", "n"), "node")
+                .select("family", "node", "n", F.coalesce("label", "node").alias("label")))
+    several = told.groupBy("family").agg(F.min("label").alias("l"), F.max("label").alias("h"), _parts(
+        F.sum("n"), PART_GRAMS)).filter("l < h").select("family", "parts")
+    rest = (_in_parts(told, "family", several).join(grams.select("node", "grams"), "node")
+            .join(nodes.select("node", "signature"), "node")
+            .groupBy("family", "low", "high").applyInArrow(_bridges(percent, least_agreement(percent)), PAIRS))
+    return first.unionByName(_ends(rest))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """(node, n, grams), stored, of the nodes named. Texts are dealt by id at every size (no switch to a
+    """(node, grams), stored, of the nodes named. Texts are dealt by id at every size (no switch to a
     broadcast), and just those that stand for a node are taken apart once more."""
     wanted = nodes.select("doc_id").distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     found = texts.join(wanted.hint("merge"), "doc_id").select("text").mapInArrow(_whole(words), WHOLE)
-    return kept(found.groupBy("node").agg(F.first("n").alias("n"), F.first("grams").alias("grams"))
-                .join(nodes.select("node"), "node", "left_semi"))
+    return kept(found.groupBy("digest").agg(F.first("grams").alias("grams"))
+                .join(nodes.select("node", "digest"), "digest").select("node", "grams"))
 
 
 def near_copies(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -238,15 +295,17 @@ def near_copies(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     """Per document: n_shingles, component_id (the smallest id that links reach, its own included) and
     kept, whether that is its own."""
     rows = kept(signed(docs, words, id_col, text_col))
-    nodes = kept(rows.filter("n > 0 and doc_id is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("signature").alias("signature")))
+    # Numbers are given to stored rows, so they stay the same whenever a row is read again.
+    nodes = kept(rows.filter("n > 0 and doc_id is not null").groupBy("digest").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("signature").alias("signature"))) \
+        .withColumn("node", F.monotonically_increasing_id())
     labels = star_components(links(docs, nodes, words, percent, id_col, text_col))
-    named = labels.join(nodes.select("node", "doc_id"), "node")
+    named = labels.join(nodes.select("node", "digest", "doc_id"), "node")
     least = named.groupBy("label").agg(F.min("doc_id").alias("component"))
-    linked = named.join(least, "label").select("node", "component")
-    owners = nodes.select("node", F.col("doc_id").alias("own")).join(linked, "node", "left").select(
-        "node", F.coalesce("component", "own").alias("component"))
-    found = rows.select("doc_id", "n", "node").join(owners, "node", "left").select(
+    linked = named.join(least, "label").select("digest", "component")
+    owners = nodes.select("digest", F.col("doc_id").alias("own")).join(linked, "digest", "left").select(
+        "digest", F.coalesce("component", "own").alias("component"))
+    found = rows.select("doc_id", "n", "digest").join(owners, "digest", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
