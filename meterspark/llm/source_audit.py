@@ -1,18 +1,19 @@
 """How far the sources of each language part from each other, and by which terms.
 
-1. CountVectorizer with a minimum document count and the largest vocabulary size that an integer
-   holds builds an exact sparse vector per document. A term is led by its document's language, so
-   one model holds a vocabulary per language, however many languages there are. A model's vocabulary
-   passes through the driver; so terms are dealt by hash to as many models as keep each one's
-   below `MODEL_TERMS` (counted first), and each model reads just its own terms.
-2. Vectors are summed per language and source, as integers.
-3. Pairs of sources are evaluated from the stored (nonzero) sums alone: terms that a source lacks
-   all have the same probability there, so they are counted, not visited. Terms that just one of a
-   pair has come from a histogram of its counts.
+1. Documents are count-vectorized per language: a block of documents numbers the terms of each language
+   as they come and holds an exact sparse vector (term, count) per document. Its column counts
+   (documents that hold a term) and its sums per source go on, a row per term. Rows of one term meet in
+   its slice, where terms of fewer than `min_docs` documents are left out. No vocabulary size is set, and
+   no vocabulary passes through the driver: kept terms are a table.
+2. Sums of vectors per language and source are integers from start to end.
+3. Pairs of sources are evaluated from nonzero sums alone: terms that a source lacks all have the same
+   probability there, so they are counted, not visited. Terms that just one of a pair has come from
+   a histogram of its counts.
 
 A kept term's probability in a group is p = 1 + floor(unit * (n + 1) / (N + V)) with its count n, all
 counts N of kept terms, and V kept terms of the language; the divergence of p from q at a term is
-floor((p - q)^2 / q). Products and sums are decimals of up to 38 digits, so all of it is exact.
+floor((p - q)^2 / q). Integers are wide enough at every step (a divergence is below 2**60, and is summed
+in two parts), so all of it is exact.
 
 Null text, language or source is the empty string; a text without terms still makes its group occur.
 Without kept terms (V = 0) all pairs have 0. Repeated rows are documents of their own. An empty table
@@ -21,92 +22,139 @@ gives no rows. Only the three named columns are read, so others may have any nam
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
-from pyspark.ml.feature import CountVectorizer
+import numpy as np
+import pyarrow as pa
+from pyarrow import compute
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from meterspark.llm.blocks import texts_of
+from meterspark.llm.shingles import LOWER, Places
 from meterspark.llm.storage import kept, sized
-from meterspark.session import shared_dir
 
-#: Runs of letters: anything but ASCII characters that are no letters.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: Bytes of a text as a term has them: A-Z become a-z, other ASCII characters that are no letters a space.
+#: Bytes of all other characters stay, so a term is a run of what is left.
+TERM_BYTES = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in LOWER)
 
-#: Distinct terms, of any document count, that one model sees at most (but for the counting error).
-MODEL_TERMS = 1 << 20
-
-#: Vocabularies are not cut: this is the largest size the vectorizer takes.
-ALL_TERMS = (1 << 31) - 1
+#: Terms (with repetitions) after which a block ends, and bytes of text for each slice of the terms.
+BLOCK_TERMS, SLICE_BYTES = 1 << 22, 1 << 25
 
 UNIT = 1_000_000_000
 
-PARTS = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
+SUMMED = "lang string, term string, docs long, sources array<string>, counts array<long>"
+KEPT = "lang string, term string, n long, sources array<string>, counts array<long>"
 
 
-def terms_of(text: Column) -> Column:
+def terms_of(text: str | None) -> list[bytes]:
     """All terms of a text in order, A-Z lower-cased."""
-    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.regexp_extract_all(lower, F.lit(TERM), F.lit(0))
-
-
-def _marked(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
-    """(lang, source, terms): each term is led by its language and a space, which no term holds."""
-    named = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(to) for c, to in (
-        (lang_col, "lang"), (source_col, "source"), (text_col, "text"))])
-    return named.select("lang", "source", F.transform(
-        terms_of(F.col("text")), lambda t: F.concat("lang", F.lit(" "), t)).alias("terms"))
-
-
-def _dealt(marked: DataFrame, model_terms: int) -> tuple[DataFrame, int]:
-    """`marked` stored by model: a row per document and model that has any of its terms."""
-    distinct = marked.select(F.explode("terms").alias("term")).agg(
-        F.approx_count_distinct(F.xxhash64("term"), 0.02)).first()[0]
-    models = max(1, -(-distinct // model_terms))
-    with_model = marked.filter(F.size("terms") > 0).withColumn(
-        "models", F.transform("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(models)).cast("int")))
-    rows = with_model.withColumn("model", F.explode(F.array_distinct("models"))).select(
-        "lang", "source", "model",
-        F.filter("terms", lambda t, i: F.get("models", i) == F.col("model")).alias("terms"))
-    path = shared_dir(marked.sparkSession, "terms")
-    rows.write.partitionBy("model").parquet(path)
-    return marked.sparkSession.read.schema("lang string, source string, terms array<string>, model int") \
-        .parquet(path), models
-
-
-def vectorized(docs: DataFrame, min_docs: int = 3, text_col: str = "text", lang_col: str = "lang",
-               source_col: str = "source", model_terms: int = MODEL_TERMS) -> tuple[DataFrame, DataFrame]:
-    """Vectors of documents (lang, source, model, indices, values) and vocabulary (model, index, lang,
-    term), both stored. A document has a vector in each model that knows one of its terms."""
-    spark = docs.sparkSession
-    rows, models = _dealt(_marked(docs, text_col, lang_col, source_col), model_terms)
-    vectors, words = [], []
-    for model in range(models):
-        own = rows.filter(F.col("model") == model)
-        fitted = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs),
-                                 vocabSize=ALL_TERMS).fit(own)
-        to = shared_dir(spark, "vectors")
-        fitted.transform(own).select("lang", "source", "vector").write.parquet(to)
-        # Read as what a vector is made of, so that Spark can go through its entries.
-        vectors.append(spark.read.schema(f"lang string, source string, vector {PARTS}").parquet(to).select(
-            "lang", "source", F.lit(model).alias("model"), "vector.indices", "vector.values"))
-        to = shared_dir(spark, "vocabulary")
-        fitted.write().save(to)
-        marked = spark.read.schema("vocabulary array<string>").parquet(f"{to}/data").select(
-            F.posexplode("vocabulary").alias("index", "key"))
-        term = F.substring_index("key", " ", -1)
-        words.append(marked.select(F.lit(model).alias("model"), "index", F.expr(
-            "left(key, length(key) - length(substring_index(key, ' ', -1)) - 1)").alias("lang"),
-            term.alias("term")))
-    return reduce(DataFrame.unionByName, vectors), sized(reduce(DataFrame.unionByName, words), "terms")
-
-
-def group_sums(vectors: DataFrame, words: DataFrame) -> DataFrame:
-    """(lang, source, term, n): the sum of the vectors of each language and source, without zeros."""
-    summed = vectors.select("lang", "source", "model", F.explode(F.arrays_zip("indices", "values")).alias("e")) \
-        .groupBy("lang", "source", "model", F.col("e.indices").alias("index")) \
-        .agg(F.sum(F.col("e.values").cast("long")).alias("n"))
-    return summed.join(words.select("model", "index", "term"), ["model", "index"]).select(
-        "lang", "source", "term", "n")
+    return (text or "").encode().translate(TERM_BYTES).split()
+
+
+class _Block:
+    """Documents of one language: a number for each term, and the terms and source of each document."""
+
+    def __init__(self) -> None:
+        self.places, self.sources = Places(), Places()
+        self.documents, self.owners = [], []
+
+    def add(self, source: str, terms: list[bytes]) -> None:
+        self.documents.append(np.fromiter(map(self.places.__getitem__, terms), np.int64, len(terms)))
+        self.owners.append(self.sources[source])
+
+    def vectors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The sparse vectors: document, term and count of each entry that is not 0."""
+        document = np.repeat(np.arange(len(self.documents)), [len(d) for d in self.documents])
+        entry, count = np.unique(document * max(1, len(self.places)) + np.concatenate(self.documents),
+                                 return_counts=True)
+        return *np.divmod(entry, max(1, len(self.places))), count
+
+    def summed(self, lang: str) -> pa.RecordBatch:
+        """Per term: how many documents hold it, and its sum for each source that has it."""
+        document, term, count = self.vectors()
+        docs = np.bincount(term, minlength=len(self.places))
+        key = term * len(self.sources) + np.array(self.owners)[document]
+        terms, sources, sums = _sums(key, count, len(self.sources))
+        return _lists(pa.array([lang] * len(self.places), pa.string()),
+                      pa.array(list(self.places), pa.binary()).cast(pa.string()), docs,
+                      pa.array(list(self.sources), pa.string()), terms, sources, sums, "docs")
+
+
+def _sums(key: np.ndarray, count: np.ndarray, sources: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Term, source and sum of each key (term * sources + source), in that order."""
+    order = np.argsort(key, kind="stable")
+    key, count = key[order], count[order]
+    starts = np.flatnonzero(np.diff(key, prepend=-1))
+    sums = np.add.reduceat(count, starts) if len(starts) else count
+    return *np.divmod(key[starts], sources), sums
+
+
+def _lists(langs: pa.Array, words: pa.Array, per_term: np.ndarray, names: pa.Array, terms: np.ndarray,
+           sources: np.ndarray, sums: np.ndarray, called: str) -> pa.RecordBatch:
+    """A row per term, with its sources and sums as lists. `terms` ascend and miss none of them."""
+    offsets = pa.array(np.searchsorted(terms, np.arange(len(words) + 1)).astype(np.int32))
+    return pa.record_batch(
+        [langs, words, pa.array(per_term, pa.int64()), pa.ListArray.from_arrays(offsets, names.take(pa.array(sources))),
+         pa.ListArray.from_arrays(offsets, pa.array(sums, pa.int64()))],
+        names=["lang", "term", called, "sources", "counts"])
+
+
+def _vectorized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    blocks: dict[str, _Block] = {}
+    held = 0
+    for batch in texts_of(batches):
+        for lang, source, text in zip(*(batch[c].to_pylist() for c in ("lang", "source", "text"))):
+            terms = terms_of(text)
+            blocks.setdefault(lang, _Block()).add(source, terms)
+            held += len(terms) + 1
+        if held >= BLOCK_TERMS:
+            for lang, block in blocks.items():
+                yield from texts_of([block.summed(lang)], 1 << 16)
+            blocks, held = {}, 0
+    for lang, block in blocks.items():
+        yield from texts_of([block.summed(lang)], 1 << 16)
+
+
+def _kept(min_docs: int):
+    """Of one slice: the terms that enough documents hold, with their sums over all blocks."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        # A term holds no space, so what stands before the last one is its language.
+        marked = compute.binary_join_element_wise(table["lang"], table["term"], " ").combine_chunks() \
+            .dictionary_encode()
+        code = marked.indices.to_numpy().astype(np.int64)
+        docs = np.zeros(len(marked.dictionary), np.int64)
+        np.add.at(docs, code, table["docs"].to_numpy())
+        counts = table["counts"].combine_chunks()
+        names = table["sources"].combine_chunks().flatten().dictionary_encode()
+        each = np.repeat(code, counts.value_lengths().to_numpy())
+        enough = docs >= min_docs
+        take = enough[each]
+        number = np.cumsum(enough) - 1
+        terms, sources, sums = _sums(
+            number[each[take]] * max(1, len(names.dictionary)) + names.indices.to_numpy()[take],
+            counts.flatten().to_numpy()[take], max(1, len(names.dictionary)))
+        words = [w.rpartition(" ") for w in marked.dictionary.filter(pa.array(enough)).to_pylist()]
+        n = np.add.reduceat(sums, np.searchsorted(terms, np.arange(len(words)))) if words else sums
+        return pa.Table.from_batches([_lists(
+            pa.array([w[0] for w in words], pa.string()), pa.array([w[2] for w in words], pa.string()), n,
+            names.dictionary, terms, sources, sums, "n")])
+    return run
+
+
+def kept_terms(docs: DataFrame, min_docs: int = 3, text_col: str = "text", lang_col: str = "lang",
+               source_col: str = "source") -> DataFrame:
+    """(lang, term, n, sources, counts), stored: each term that `min_docs` documents of its language hold,
+    how often it occurs in the language, and in which sources how often."""
+    named = _named(docs, (lang_col, "lang"), (source_col, "source"), (text_col, "text"))
+    size = named.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    summed = named.mapInArrow(_vectorized, SUMMED)
+    slices = F.pmod(F.xxhash64("lang", "term"), F.lit(-(-size // SLICE_BYTES) or 1)).alias("slice")
+    return kept(summed.select("*", slices).groupBy("slice").applyInArrow(_kept(min_docs), KEPT))
+
+
+def _named(docs: DataFrame, *columns: tuple[str, str]) -> DataFrame:
+    return docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(to) for c, to in columns])
 
 
 def probability(n: Column, total: Column, terms: Column) -> Column:
@@ -119,32 +167,38 @@ def probability(n: Column, total: Column, terms: Column) -> Column:
 
 
 def distance(p: Column, q: Column) -> Column:
-    """floor((p - q)^2 / q) as a decimal to be summed. Probabilities are below 2**31, so 64 bits do."""
-    return F.call_function("div", (p - q) * (p - q), q).cast("decimal(20,0)")
+    """floor((p - q)^2 / q). Probabilities are 10^9 + 1 at most, so 64 bits do."""
+    return F.call_function("div", (p - q) * (p - q), q)
+
+
+def total(value: Column) -> Column:
+    """The sum of 64-bit values as a decimal: their upper and lower parts are summed as integers."""
+    upper, lower = F.sum(F.shiftright(value, 30)), F.sum(value.bitwiseAND(F.lit((1 << 30) - 1).cast("long")))
+    return upper.cast("decimal(28,0)") * F.lit(1 << 30).cast("decimal(10,0)") + lower.cast("decimal(28,0)")
 
 
 def divergence(docs: DataFrame, min_docs: int = 3, top: int = 200, text_col: str = "text",
-               lang_col: str = "lang", source_col: str = "source",
-               model_terms: int = MODEL_TERMS) -> DataFrame:
+               lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """(lang, source, part, item, value, rank) of every language and source that occurs.
 
     Part `pair`: item is each other source of the language, value its divergence over all kept terms.
     Part `term`: item is each kept term that the source uses more than its language, value its
     divergence from the language; the first `top` of them. Ranked by value, then item.
     """
-    words_by, words = vectorized(docs, min_docs, text_col, lang_col, source_col, model_terms)
-    sums = kept(group_sums(words_by, words))
-    groups = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
-                         F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source")).distinct()
-    terms = words.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
+    terms = kept_terms(docs, min_docs, text_col, lang_col, source_col)
+    sums = terms.select("lang", "term", F.col("n").alias("all"), F.explode(F.arrays_zip("sources", "counts")).alias("e")) \
+        .select("lang", F.col("e.sources").alias("source"), "term", F.col("e.counts").alias("n"), "all")
+    groups = _named(docs, (lang_col, "lang"), (source_col, "source")).distinct()
+    langs = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("lang_total"))
     counted = sums.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("own"))
     zero = F.lit(0).cast("long")
-    stats = sized(groups.join(counted, ["lang", "source"], "left").join(terms, "lang", "left").select(
-        "lang", "source", *[F.coalesce(c, zero).alias(c) for c in ("total", "own", "v")]).withColumn(
+    stats = sized(groups.join(counted, ["lang", "source"], "left").join(langs, "lang", "left").select(
+        "lang", "source", *[F.coalesce(c, zero).alias(c) for c in ("total", "own", "v", "lang_total")]).withColumn(
         "absent", F.when(F.col("v") > 0, probability(zero, F.col("total"), F.col("v")))), "groups")
     chances = sums.join(stats, ["lang", "source"]).select(
-        "lang", "source", "term", "n", "absent", probability(F.col("n"), F.col("total"), F.col("v")).alias("p"))
-    return _pairs(chances, stats).unionByName(_terms(sums, chances, stats, top))
+        "lang", "source", "term", "absent", probability(F.col("n"), F.col("total"), F.col("v")).alias("p"),
+        probability(F.col("all"), F.col("lang_total"), F.col("v")).alias("q"))
+    return _pairs(chances, stats).unionByName(_terms(chances, top))
 
 
 def _pairs(chances: DataFrame, stats: DataFrame) -> DataFrame:
@@ -153,14 +207,18 @@ def _pairs(chances: DataFrame, stats: DataFrame) -> DataFrame:
                      F.col("own").alias("own_x"), "v")
     b = stats.select("lang", F.col("source").alias("y"), F.col("absent").alias("absent_y"),
                      F.col("own").alias("own_y"))
-    zero = F.lit(0).cast("decimal(38,0)")
 
     # All terms of x against their absence in y, and the other way; a count's terms are alike.
-    alike = sized(chances.groupBy("lang", "source", "p").agg(F.count(F.lit(1)).alias("terms")), "alike")
+    alike = sized(chances.groupBy("lang", "source", "p").agg(
+        F.count(F.lit(1)).cast("decimal(19,0)").alias("terms")), "alike")
+
+    def alone(value: Column) -> Column:
+        return F.sum(value.cast("decimal(19,0)") * F.col("terms")).alias("value")
+
     x_only = alike.withColumnRenamed("source", "x").join(b, "lang").filter("x <> y").groupBy("lang", "x", "y").agg(
-        F.sum(distance(F.col("p"), F.col("absent_y")) * F.col("terms")).alias("value"))
+        alone(distance(F.col("p"), F.col("absent_y"))))
     y_only = alike.withColumnRenamed("source", "y").join(a, "lang").filter("x <> y").groupBy("lang", "x", "y").agg(
-        F.sum(distance(F.col("absent_x"), F.col("p")) * F.col("terms")).alias("value"))
+        alone(distance(F.col("absent_x"), F.col("p"))))
 
     # Terms that both have, in place of what was added for them above.
     one, two = ([F.col(c).alias(f"{c}_{to}") for c in ("source", "p", "absent")] for to in ("1", "2"))
@@ -172,7 +230,7 @@ def _pairs(chances: DataFrame, stats: DataFrame) -> DataFrame:
                 - distance(F.col(f"absent_{x}"), F.col(f"p_{y}")))
 
     shared = kept(met.groupBy("lang", "source_1", "source_2").agg(
-        F.sum(instead("1", "2")).alias("there"), F.sum(instead("2", "1")).alias("back"),
+        total(instead("1", "2")).alias("there"), total(instead("2", "1")).alias("back"),
         F.count(F.lit(1)).alias("both")))
     both = shared.select("lang", F.col("source_1").alias("x"), F.col("source_2").alias("y"),
                          F.col("there").alias("value"), "both").unionByName(
@@ -180,23 +238,21 @@ def _pairs(chances: DataFrame, stats: DataFrame) -> DataFrame:
                       F.col("back").alias("value"), "both"))
     added = x_only.unionByName(y_only).withColumn("both", F.lit(0).cast("long")).unionByName(both) \
         .groupBy("lang", "x", "y").agg(F.sum("value").alias("value"), F.sum("both").alias("both"))
-    neither = (F.col("v") - F.col("own_x") - F.col("own_y") + F.coalesce("both", F.lit(0)))
-    value = F.coalesce("value", zero) + F.when(F.col("v") > 0, distance(
-        F.col("absent_x"), F.col("absent_y")) * neither).otherwise(zero)
+    neither = (F.col("v") - F.col("own_x") - F.col("own_y") + F.coalesce("both", F.lit(0))).cast("decimal(19,0)")
+    none = F.lit(0).cast("decimal(38,0)")
+    value = F.coalesce("value", none) + F.when(F.col("v") > 0, distance(
+        F.col("absent_x"), F.col("absent_y")).cast("decimal(19,0)") * neither).otherwise(none)
     told = a.join(b, "lang").filter("x <> y").join(added, ["lang", "x", "y"], "left").select(
         "lang", F.col("x").alias("source"), F.lit("pair").alias("part"), F.col("y").alias("item"),
         value.cast("long").alias("value"))
     return told.withColumn("rank", _rank())
 
 
-def _terms(sums: DataFrame, chances: DataFrame, stats: DataFrame, top: int) -> DataFrame:
+def _terms(chances: DataFrame, top: int) -> DataFrame:
     """The terms that set a source apart from its language."""
-    langs = stats.groupBy("lang").agg(F.sum("total").alias("total"), F.max("v").alias("v"))
-    whole = sums.groupBy("lang", "term").agg(F.sum("n").alias("n")).join(langs, "lang").select(
-        "lang", "term", probability(F.col("n"), F.col("total"), F.col("v")).alias("q"))
-    more = chances.join(whole, ["lang", "term"]).filter("p > q").select(
+    more = chances.filter("p > q").select(
         "lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"),
-        distance(F.col("p"), F.col("q")).cast("long").alias("value"))
+        distance(F.col("p"), F.col("q")).alias("value"))
     # Each task passes on no more than `top` of a group before they meet.
     return more.withColumn("rank", _rank()).filter(F.col("rank") <= top)
 
