@@ -38,7 +38,7 @@ from meterspark.llm.storage import kept, sized
 TERM_BYTES = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in LOWER)
 
 #: Terms (with repetitions) after which a block ends, and bytes of text for each slice of the terms.
-BLOCK_TERMS, SLICE_BYTES = 1 << 22, 1 << 25
+BLOCK_TERMS, SLICE_BYTES = 1 << 21, 1 << 24
 
 UNIT = 1_000_000_000
 
