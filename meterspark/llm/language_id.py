@@ -142,19 +142,23 @@ def fit(words: list[bytes], labels: np.ndarray, langs: int, seed: int = 0) -> We
     return p
 
 
+def first_rows(known: DataFrame, keys: list[Column], by: list[Column]) -> DataFrame:
+    """The DOCS_PER_LANG rows of each key that come first."""
+    nth = F.row_number().over(W.partitionBy(*keys).orderBy(*by))
+    return known.withColumn("_nth", nth).filter(F.col("_nth") <= DOCS_PER_LANG).drop("_nth")
+
+
 def first_docs(known: DataFrame, id_col: str, lang_col: str) -> DataFrame:
     """Ids of the DOCS_PER_LANG documents of each language whose hashed ids come first.
 
     A language may hold most rows, so it is cut in steps that keep the same ids: in each task, in
     each of TASK_GROUPS groups of tasks, then at last among TASK_GROUPS * DOCS_PER_LANG at most.
     """
-    def first(rows: DataFrame, *keys: str) -> DataFrame:
-        nth = F.row_number().over(W.partitionBy(*keys).orderBy(F.xxhash64("_id"), "_id"))
-        return rows.withColumn("_nth", nth).filter(F.col("_nth") <= DOCS_PER_LANG).drop("_nth")
-
+    by = [F.xxhash64("_id"), F.col("_id")]
     rows = known.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"),
                         (F.spark_partition_id() % TASK_GROUPS).alias("_group"))
-    return first(first(rows, "_lang", "_group"), "_lang").select(F.col("_id").alias(id_col)).distinct()
+    groups = first_rows(rows, [F.col("_lang"), F.col("_group")], by)
+    return first_rows(groups, [F.col("_lang")], by).select(F.col("_id").alias(id_col)).distinct()
 
 
 def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -173,10 +177,12 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
                 rows += [(lang, piece) for w in few for piece in pieces(w)]
             yield blocks.batch_of(rows, "lang string, word binary")
 
-    # At most DOCS_PER_LANG ids per language: a bound that does not grow with the documents.
+    # At most DOCS_PER_LANG ids per language: a bound that does not grow with the documents. An id may stand
+    # for any number of rows, so rows are cut to as many once more, each task sending no more than that.
     taken = known.join(F.broadcast(picked), id_col, "left_semi").select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    rows = sorted(tuple(r) for r in taken.mapInArrow(sample, "lang string, word binary").collect())
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("_id"))
+    taken = first_rows(taken, [F.col("lang")], [F.xxhash64("_id"), F.col("_id"), F.xxhash64("text"), F.col("text")])
+    rows = sorted(tuple(r) for r in taken.drop("_id").mapInArrow(sample, "lang string, word binary").collect())
     langs = sorted({lang for lang, _ in rows})
     if not langs:
         return [], None

@@ -306,3 +306,17 @@ def test_rolling_hash_depends_on_the_window_alone():
     hashes, inside = shingles.rolling(codes, 3), shingles.whole_windows(starts, 3)
     assert inside.tolist() == [True] * 4 + [False] * 2 + [True] * 3
     assert hashes[0] == hashes[7] and len(set(hashes[inside].tolist())) == 6
+
+
+def test_language_sample_is_bounded_in_rows(spark, monkeypatch):
+    """One id for 10,000 rows of a language, beside others."""
+    monkeypatch.setattr(language_id, "DOCS_PER_LANG", 40)
+    rows = [(7, f"der hund {i} und die katze", "de") for i in range(10_000)] + [
+        (100 + i, f"the dog {i} and the cat", "en") for i in range(90)]
+    seen = []
+    fit = language_id.fit
+    monkeypatch.setattr(language_id, "fit", lambda words, labels, n: seen.append(np.bincount(labels)) or fit(words, labels, n))
+    langs, weights = language_id.train(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6), F.lit(True))
+    assert langs == ["de", "en"] and weights is not None
+    assert [int(n) for n in seen[0]] == [40 * 5, 40 * 5]
