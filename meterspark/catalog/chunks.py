@@ -108,12 +108,12 @@ def request_plan(spark, sf_dir):
 
 
 RETRY = """
-tried AS (
+tried AS MATERIALIZED (
   SELECT s.*, "values" < total AND retries > 0 AND date_ini > TIMESTAMP '2022-02-01' AS attempted,
          coalesce(observed, 0) AS seen, first_ts, last_ts
   FROM state s LEFT JOIN observed USING (cups, data_type, chunk_key)),
-retried AS (
-  SELECT cups, data_type, chunk_key, date_ini, date_end, total,
+retried AS MATERIALIZED (
+  SELECT chunk_id, cups, data_type, chunk_key, date_ini, date_end, total,
     CASE WHEN attempted THEN seen ELSE "values" END AS "values",
     CASE WHEN attempted AND seen = "values" THEN retries - 1 ELSE retries END AS retries,
     CASE WHEN attempted AND seen > 0 THEN make_timestamp(first_ts * 1000000) ELSE date_min END AS date_min,
@@ -129,8 +129,9 @@ def retry_state(spark, sf_dir):
 
 
 @query(f"""WITH {t.READINGS}, {t.CALENDAR}, {t.OBSERVED}, {t.STATE}, {RETRY},
-fresh AS (SELECT * FROM retried WHERE cups IN (SELECT cups FROM observed)),
-kept AS (SELECT *, NULL FROM stored ANTI JOIN fresh USING (cups, data_type, chunk_key))
+delivered AS MATERIALIZED (SELECT DISTINCT cups FROM observed),
+fresh AS MATERIALIZED (SELECT * FROM retried SEMI JOIN delivered USING (cups)),
+kept AS (SELECT * FROM stored ANTI JOIN fresh USING (chunk_id))
 SELECT {STATE_SQL} FROM fresh
 UNION ALL
 SELECT {STATE_SQL} FROM (

@@ -196,7 +196,8 @@ def _requests(spark, sf_dir):
 OPEN = """"values" < total AND retries > 0 AND date_ini > TIMESTAMP '2022-02-01'"""
 
 REQUESTS = Q.ROUTED + t.CALENDAR.removeprefix(t.SUPPLIES) + "," + t.STATE + """,
-asked AS (SELECT * FROM state WHERE cups IN (SELECT cups FROM routed WHERE db_list <> ''))"""
+taken AS MATERIALIZED (SELECT DISTINCT cups FROM routed WHERE db_list <> ''),
+asked AS MATERIALIZED (SELECT * FROM state SEMI JOIN taken USING (cups))"""
 
 
 @query(f"""WITH {REQUESTS}

@@ -71,7 +71,7 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CALENDAR = SUPPLIES + """,
-months AS (
+months AS MATERIALIZED (
   SELECT CAST(unnest(generate_series(TIMESTAMP '2022-02-01', TIMESTAMP '2024-01-01',
                                      INTERVAL 1 MONTH)) AS DATE) AS m),
 blocks AS (
@@ -82,22 +82,24 @@ blocks AS (
   UNION ALL
   SELECT 'Power_P1M', m, last_day(CAST(m + INTERVAL 5 MONTH AS DATE)), NULL FROM months
   WHERE month(m) IN (2, 8)),
-sized AS (
-  SELECT data_type, strftime(ini, '%Y-%m-%d') || '~' || strftime(fin, '%Y-%m-%d') AS chunk_key,
+sized AS MATERIALIZED (
+  SELECT data_type, ini, strftime(ini, '%Y-%m-%d') || '~' || strftime(fin, '%Y-%m-%d') AS chunk_key,
          CAST(ini AS TIMESTAMP) AS date_ini, fin + TIME '23:59:59' AS date_end,
          CASE WHEN step IS NULL THEN 6
               ELSE CAST(floor((epoch((fin + TIME '23:59:59') AT TIME ZONE 'Europe/Madrid')
                    - epoch(CAST(ini AS TIMESTAMP) AT TIME ZONE 'Europe/Madrid')) / step) AS BIGINT) + 1
               END AS total
   FROM blocks),
-ends AS (
-  SELECT cups, CASE WHEN last_day(TRY_STRPTIME("validDateTo", '%Y/%m/%d')) <= DATE '2024-01-31'
-                    THEN last_day(TRY_STRPTIME("validDateTo", '%Y/%m/%d'))
-                    ELSE DATE '2024-01-31' END + TIME '23:59:59' AS history_end
-  FROM supplies),
-calendar AS (
-  SELECT cups, data_type, chunk_key, date_ini, date_end, total
-  FROM ends JOIN sized ON date_ini < history_end)"""
+tracked AS MATERIALIZED (
+  SELECT cups, CAST(unnest(generate_series(TIMESTAMP '2022-02-01', history_end, INTERVAL 1 MONTH)) AS DATE) AS ini
+  FROM (SELECT cups, CASE WHEN last_day(TRY_STRPTIME("validDateTo", '%Y/%m/%d')) <= DATE '2024-01-31'
+                          THEN last_day(TRY_STRPTIME("validDateTo", '%Y/%m/%d'))
+                          ELSE DATE '2024-01-31' END + TIME '23:59:59' AS history_end
+        FROM supplies)),
+calendar AS MATERIALIZED (
+  SELECT cups || '/' || data_type || '/' || chunk_key AS chunk_id, cups, data_type, chunk_key, date_ini, date_end,
+         total
+  FROM tracked JOIN sized USING (ini))"""
 
 
 def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +118,7 @@ chunked AS (
               WHEN month(m) = 1 THEN make_date(year(m) - 1, 8, 1)
               ELSE make_date(year(m), 8, 1) END AS ini
   FROM local WHERE m >= DATE '2022-02-01'),
-observed AS (
+observed AS MATERIALIZED (
   SELECT cups, data_type,
          strftime(ini, '%Y-%m-%d') || '~' || strftime(last_day(CASE WHEN data_type = 'Power_P1M'
            THEN CAST(ini + INTERVAL 5 MONTH AS DATE) ELSE ini END), '%Y-%m-%d') AS chunk_key,
@@ -137,7 +139,7 @@ def stored_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STORED_STATE = """
-stored AS (
+stored AS MATERIALIZED (
   SELECT c.*, CASE WHEN balance > 5000 THEN total ELSE CAST(floor(abs(balance) / 100) AS BIGINT) END
            AS "values", nation // 4 AS retries
   FROM calendar c JOIN supplies USING (cups)
@@ -153,14 +155,14 @@ def state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STATE = STORED_STATE + """,
-state AS (
-  SELECT c.cups, c.data_type, c.chunk_key, c.date_ini, c.date_end, c.total,
+state AS MATERIALIZED (
+  SELECT c.chunk_id, c.cups, c.data_type, c.chunk_key, c.date_ini, c.date_end, c.total,
          CASE WHEN s.cups IS NULL THEN 0 ELSE s."values" END AS "values",
          CASE WHEN s.cups IS NULL THEN 6 ELSE s.retries END AS retries,
          CASE WHEN s."values" > 0 THEN s.date_ini END AS date_min,
          CASE WHEN s."values" > 0 THEN s.date_end END AS date_max
   FROM calendar c LEFT JOIN stored s
-    ON c.cups = s.cups AND c.data_type = s.data_type AND c.chunk_key = s.chunk_key)"""
+    ON c.chunk_id = s.chunk_id)"""
 
 
 def iso_day(ts: str | Column) -> Column:
