@@ -9,6 +9,7 @@ from meterspark.catalog.registry import AS_OF, query, stamp, table, text
 from meterspark.functions import clock
 from meterspark.operators import chunks
 from meterspark.schemas import SERIES
+from meterspark.session import shared_dir
 from meterspark.sources import landing
 
 STATE_SQL = """cups, data_type, chunk_key, strftime(date_ini, '%Y-%m-%d %H:%M:%S') AS date_ini,
@@ -128,7 +129,7 @@ def retry_state(spark, sf_dir):
         t.state(spark, sf_dir), t.observed(spark, sf_dir), AS_OF))
 
 
-@query(f"""WITH {t.READINGS}, {t.CALENDAR}, {t.OBSERVED}, {t.STATE}, {RETRY},
+UPSERT = f"""WITH {t.READINGS}, {t.CALENDAR}, {t.OBSERVED}, {t.STATE}, {RETRY},
 delivered AS MATERIALIZED (SELECT DISTINCT cups FROM observed),
 fresh AS MATERIALIZED (SELECT * FROM retried SEMI JOIN delivered USING (cups)),
 kept AS (SELECT * FROM stored ANTI JOIN fresh USING (chunk_id))
@@ -137,13 +138,30 @@ UNION ALL
 SELECT {STATE_SQL} FROM (
   SELECT cups, data_type, chunk_key, date_ini, date_end, total, "values", retries,
          CASE WHEN "values" > 0 THEN date_ini END AS date_min,
-         CASE WHEN "values" > 0 THEN date_end END AS date_max FROM kept)""")
-def chunk_state_upsert(spark, sf_dir):
-    """Chunks of the meters that delivered replace those on record."""
+         CASE WHEN "values" > 0 THEN date_end END AS date_max FROM kept)"""
+
+
+def _delivered(spark, sf_dir):
+    """New state of the meters that delivered."""
     seen = t.observed(spark, sf_dir)
     new = chunks.retry_state(t.state(spark, sf_dir), seen, AS_OF)
-    delivered = new.join(seen.select("cups").distinct(), "cups", "left_semi")
-    return state_columns(chunks.chunk_state_upsert(t.stored_state(spark, sf_dir), delivered))
+    return new.join(seen.select("cups").distinct(), "cups", "left_semi")
+
+
+@query(UPSERT)
+def chunk_state_upsert(spark, sf_dir):
+    """Chunks of the meters that delivered replace those on record."""
+    return state_columns(chunks.chunk_state_upsert(t.stored_state(spark, sf_dir), _delivered(spark, sf_dir)))
+
+
+@query(UPSERT)
+def chunk_state_update(spark, sf_dir):
+    """The same in a stored table, of which just the slots of those meters are written again."""
+    path, new = shared_dir(spark, "chunk-state"), shared_dir(spark, "chunk-state-new")
+    landing.write_chunk_state(t.stored_state(spark, sf_dir), path)
+    _delivered(spark, sf_dir).write.parquet(new)
+    landing.update_chunk_state(spark, path, landing.read_chunk_state(spark, new))
+    return state_columns(landing.read_chunk_state(spark, path))
 
 
 @query(f"""WITH {t.CALENDAR}, {t.STATE}

@@ -201,10 +201,11 @@ def stream_sensor_triples(spark, sf_dir):
 SELECT cups, prop, freq, min("timestamp") AS first_ts, max("timestamp") AS last_ts
 FROM readings WHERE {HARMONIZED_SQL} GROUP BY cups, prop, freq""")
 def stream_sensor_coverage(spark, sf_dir):
-    """The range of every sensor, grown batch by batch over the table read as a stream."""
+    """The range of every sensor, grown over four batches of the table read as a stream."""
     schema = table(spark, sf_dir, "events").schema
-    events = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-              .parquet(sf_dir))
+    landed = shared_dir(spark, "coverage-in")
+    table(spark, sf_dir, "events").repartition(4, "event_id").write.parquet(landed)
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landed)
     kind = F.col("event_type")
     stream = events.filter(kind != "error").select(
         F.col("user_id").cast("string").alias("cups"), F.lit(t.CONSUMPTION).alias("prop"),
@@ -212,7 +213,38 @@ def stream_sensor_coverage(spark, sf_dir):
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("timestamp"))
     out, state = shared_dir(spark, "coverage-out"), shared_dir(spark, "coverage-state")
     jobs.start_coverage(stream, out, state, trigger=NOW).awaitTermination()
-    return jobs.read_coverage(spark, out)
+    return jobs.read_ranges(spark, out)
+
+
+LATE = f"""WITH {t.READINGS},
+days AS (SELECT *, strftime(make_timestamp("timestamp" * 1000000), '%d') AS day FROM readings),
+first AS (SELECT * FROM days WHERE day < '20' AND seq % 5 <> 0),
+mark AS (SELECT max("timestamp") - 5 * 86400 AS w FROM first),
+again AS (SELECT * FROM days WHERE day < '20')"""
+
+
+@query(f"""{LATE}
+SELECT 'kept' AS kind, seq, CAST(1 AS BIGINT) AS n FROM first
+UNION ALL SELECT 'kept', seq, 1 FROM again, mark WHERE "timestamp" > w AND seq % 5 = 0
+UNION ALL SELECT 'kept', seq, 1 FROM days WHERE day >= '20'
+UNION ALL SELECT 'late', -1, count(*) FROM again, mark WHERE "timestamp" <= w""")
+def stream_late(spark, sf_dir):
+    """Readings in three deliveries on one checkpoint. The second brings the first again with what that
+    left out: rows within the watermark are kept once, older ones are left out and counted."""
+    rows = t.readings(spark, sf_dir).select("seq", "cups", "prop", "freq", "timestamp", "consumptionKWh")
+    day = F.date_format(F.timestamp_seconds("timestamp"), "dd")
+    landed, out, state = (shared_dir(spark, f"late-{part}") for part in ("in", "out", "state"))
+    late = 0
+    for delivered in (rows.filter((day < "20") & (F.col("seq") % 5 != 0)), rows.filter(day < "20"),
+                      rows.filter(day >= "20")):
+        delivered.write.mode("append").parquet(landed)
+        job = jobs.start_unique(spark.readStream.schema(rows.schema).parquet(landed), out, state, "5 days", trigger=NOW)
+        job.awaitTermination()
+        late += jobs.late_rows(job)
+    kept = spark.read.schema(rows.schema).parquet(out).select(
+        F.lit("kept").alias("kind"), "seq", F.lit(1).cast("long").alias("n"))
+    return kept.unionByName(spark.range(1).select(
+        F.lit("late").alias("kind"), F.lit(-1).cast("long").alias("seq"), F.lit(late).cast("long").alias("n")))
 
 
 @query("""SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS run_id, CAST(1 AS BIGINT) AS times

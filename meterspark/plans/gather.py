@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
@@ -45,6 +46,16 @@ class Delivery:
     static: DataFrame
 
 
+def send(delivery: Delivery, run_id: str, static_topic: str, write: Callable[[DataFrame], None],
+         partitions: int = 1) -> None:
+    """Write a delivery's messages, and when they are written the end of the run: a marker for each
+    partition of the static topic. `write` sends messages (`topic, key, value`)."""
+    write(delivery.timeseries)
+    write(delivery.static)
+    runs = delivery.static.sparkSession.createDataFrame([(run_id,)], "run_id string")
+    write(E.final_markers(runs, static_topic, partitions))
+
+
 def deliver(requests: Requests, delivered: DataFrame, contracts: DataFrame,
             specs: list[SourceSpec], as_of: date, static_topic: str, run_id: str = "",
             order: tuple[str, ...] = ("seq",)) -> Delivery:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from meterspark import schemas as S
-from meterspark.functions import clock
+from meterspark.functions import clock, keyed
 from meterspark.streaming.envelopes import fits
 
 
@@ -46,11 +46,18 @@ def _items(column: str) -> Column:
 
 
 def read_chunk_state(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, S.CHUNK_STATE)
+    return read_table(spark, path, S.CHUNK_STATE).select(S.CHUNK_STATE.fieldNames())
 
 
-def read_gazetteer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return read_table(spark, path, S.GAZETTEER_TRIPLE, fmt)
+def write_chunk_state(state: DataFrame, path: str, slots: int = keyed.SLOTS) -> None:
+    """Write a chunk state as a new table, dealt by meter."""
+    keyed.write_keyed(state.select(S.CHUNK_STATE.fieldNames()), path, ["cups"], slots)
+
+
+def update_chunk_state(spark: SparkSession, path: str, new: DataFrame, slots: int = keyed.SLOTS) -> None:
+    """Put chunks into the stored table, in place of those with the same key. Files of meters' slots that
+    `new` does not touch stay as they are."""
+    keyed.update_keyed(spark, path, new.select(S.CHUNK_STATE.fieldNames()), S.CHUNK_KEY, ["cups"], slots)
 
 
 def local_month(epoch: Column) -> Column:

@@ -143,12 +143,6 @@ def quarantine(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("kind") == "malformed").select(*_RAW)
 
 
-def final_runs(decoded: DataFrame) -> DataFrame:
-    """Runs that ended; every marker of a run counts once."""
-    return (decoded.filter(F.col("kind") == "final")
-            .select(F.coalesce("kwargs.run_id", F.lit("")).alias("run_id")).distinct())
-
-
 def markers(decoded: DataFrame) -> DataFrame:
     """End markers, `(run_id, partition, partitions)`; one without partitions stands for all."""
     return (decoded.filter(F.col("kind") == "final")
@@ -157,13 +151,6 @@ def markers(decoded: DataFrame) -> DataFrame:
                     F.coalesce("kwargs.partitions", F.lit(1)).alias("partitions")).distinct())
 
 
-def ended_runs(seen: DataFrame) -> DataFrame:
-    """Runs of which a marker of every partition has been seen."""
-    return (seen.groupBy("run_id").agg(F.countDistinct("partition").alias("n"),
-                                       F.max("partitions").alias("partitions"))
-            .filter("n >= partitions").select("run_id"))
-
-
 def static_records(decoded: DataFrame) -> DataFrame:
     """Supply records of all static messages; they are not filtered by source."""
     return (decoded.filter(F.col("kind") == "static")

@@ -10,20 +10,28 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from meterspark.functions import keyed
 from meterspark.functions.skew import last_by
 from meterspark.operators import graph, timeseries
 from meterspark.streaming import envelopes as E
 
 
+SENSOR = ["cups", "prop", "freq"]
+SENSOR_RANGE = T.StructType([*[T.StructField(c, T.StringType()) for c in SENSOR],
+                             T.StructField("first_ts", T.LongType()), T.StructField("last_ts", T.LongType())])
+RANGE_SLOTS = 64
+
+
 def _write(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def _start(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
-           trigger: dict | None) -> StreamingQuery:
-    return (stream.writeStream.foreachBatch(handle)
+           trigger: dict | None, mode: str = "append") -> StreamingQuery:
+    return (stream.writeStream.foreachBatch(handle).outputMode(mode)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
 
@@ -35,17 +43,11 @@ def start_harmonizer(messages: DataFrame, out: str, checkpoint: str, source: str
                      trigger: dict | None = None) -> StreamingQuery:
     """Decode messages and harmonize them.
 
-    Writes `points`, `coverage`, `quarantine`, `markers` and `runs` below `out`, and `triples` when
-    `on_supplies` turns supply records into triples. `on_final` is called with the runs that
-    ended, on every partition, and were not finalized before: once per run, however many markers and
-    batches it takes.
-    A run is recorded after `on_final` returned, so a failure in it leads to a second call.
+    Writes `points`, `coverage`, `quarantine` and `markers` below `out`, and `triples` when
+    `on_supplies` turns supply records into triples. After a batch with end markers is written, the
+    stream of `start_finalizer` takes them up, so a run is settled after all that came before its end;
+    its state lies beside `checkpoint`. A failure in `on_final` fails the batch, which is then repeated.
     """
-    runs = "run_id string, batch_id long"
-    markers = "run_id string, partition int, partitions int, batch_id long"
-    (messages.sparkSession.createDataFrame([], "run_id string")
-     .write.mode("ignore").parquet(f"{out}/runs/batch_id=-1"))
-
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         decoded = E.decode_envelopes(batch, static_topic).persist(StorageLevel.MEMORY_AND_DISK)
@@ -56,30 +58,96 @@ def start_harmonizer(messages: DataFrame, out: str, checkpoint: str, source: str
         _write(E.quarantine(decoded), f"{out}/quarantine", batch_id)
         if on_supplies:
             _write(on_supplies(E.static_records(decoded)), f"{out}/triples", batch_id)
-        done = spark.read.schema(runs).parquet(f"{out}/runs").filter(
-            F.col("batch_id") != batch_id)
-        _write(E.markers(decoded), f"{out}/markers", batch_id)
-        seen = spark.read.schema(markers).parquet(f"{out}/markers").filter(F.col("batch_id") <= batch_id)
-        new_runs = E.ended_runs(seen).join(done, "run_id", "left_anti")
-        if on_final and not new_runs.isEmpty():
-            on_final(spark, new_runs)
-        _write(new_runs, f"{out}/runs", batch_id)
+        ends = E.markers(decoded)
+        _write(ends, f"{out}/markers", batch_id)
+        if on_final and not ends.isEmpty():
+            start_finalizer(spark, out, f"{checkpoint}-runs", on_final, {"availableNow": True}).awaitTermination()
         decoded.unpersist()
 
     return _start(messages, handle, checkpoint, trigger)
 
 
+def start_finalizer(spark: SparkSession, out: str, checkpoint: str,
+                    on_final: Callable[[SparkSession, DataFrame], None],
+                    trigger: dict | None = None) -> StreamingQuery:
+    """Call `on_final` with the runs that ended: once per run, with the marker of its last partition.
+
+    Reads the markers that a harmonizer has written below `out`, each file once. What was seen of a run
+    is the state of this stream: a marker that came before is dropped, so the count of a run's markers
+    reaches the number of its partitions just once, however late or often markers come. The runs that
+    ended go to `runs`, for the record; nothing reads them here. A failure in `on_final` leads to a
+    second call with the same runs.
+    """
+    markers = (spark.readStream.schema("run_id string, partition int, partitions int")
+               .option("ignoreMissingFiles", True).parquet(f"{out}/markers"))
+    seen = (markers.select("run_id", "partition", "partitions").dropDuplicates(["run_id", "partition"])
+            .groupBy("run_id").agg(F.count(F.lit(1)).alias("n"), F.max("partitions").alias("partitions")))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        ended = batch.filter("n = partitions").select("run_id").persist(StorageLevel.MEMORY_AND_DISK)
+        if ended.count():
+            on_final(batch.sparkSession, ended)
+            _write(ended, f"{out}/runs", batch_id)
+        ended.unpersist()
+
+    return _start(seen, handle, checkpoint, trigger, mode="update")
+
+
 def start_coverage(readings: DataFrame, out: str, checkpoint: str,
                    trigger: dict | None = None) -> StreamingQuery:
-    """Log the range each batch adds to a sensor; `read_coverage` folds the log.
+    """Keep the range of every sensor as a table; see `start_ranges`."""
+    return start_ranges(readings.withColumns({"first_ts": F.col("timestamp"), "last_ts": F.col("timestamp")}),
+                        out, checkpoint, trigger)
+
+
+def start_ranges(ranges: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Fold a stream of ranges (cups, prop, freq, first_ts, last_ts), such as those that a harmonizer
+    logs below `coverage`, into a table of one row per sensor.
 
-    Ranges only grow, so the minimum and maximum over all logged ranges is the state, with
-    nothing to rewrite per batch.
+    The ranges so far are the state of the stream. A batch gives the whole range of each sensor that
+    it widens or repeats, which replaces that sensor's row: just the slots of those sensors are rewritten,
+    and no batch reads what earlier ones have logged. A repeated batch leaves the same rows.
     """
+    spark = ranges.sparkSession
+    spark.createDataFrame([], SENSOR_RANGE).withColumn(keyed.SLOT, F.lit(0)).write.mode("ignore").partitionBy(
+        keyed.SLOT).parquet(out)
+    folded = ranges.groupBy(*SENSOR).agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        _write(timeseries.batch_coverage(batch), out, batch_id)
+        changed = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        keyed.update_keyed(batch.sparkSession, out, changed, SENSOR, slots=RANGE_SLOTS)
+        changed.unpersist()
+
+    return _start(folded, handle, checkpoint, trigger, mode="update")
+
+
+def read_ranges(spark: SparkSession, out: str) -> DataFrame:
+    """The table that `start_ranges` keeps."""
+    return keyed.read_keyed(spark, out, SENSOR_RANGE).drop(keyed.SLOT)
+
+
+def unique_readings(readings: DataFrame, delay: str) -> DataFrame:
+    """A stream of readings without those delivered before.
+
+    A reading is known by all its columns, so one that comes with another value is a new one, and stays (see
+    `read_points`). What was delivered is remembered for `delay` of event time, the readings' instants,
+    which bounds the state; readings older than the newest instant less `delay` are late, and left out.
+    """
+    return (readings.withColumn("_at", F.timestamp_seconds("timestamp")).withWatermark("_at", delay)
+            .dropDuplicatesWithinWatermark(readings.columns).drop("_at"))
+
+
+def start_unique(readings: DataFrame, out: str, checkpoint: str, delay: str,
+                 trigger: dict | None = None) -> StreamingQuery:
+    """Write a stream's readings to `out`, a folder per batch, without repeated and late ones."""
+    return _start(unique_readings(readings, delay), lambda batch, batch_id: _write(batch, out, batch_id),
+                  checkpoint, trigger)
+
 
-    return _start(readings, handle, checkpoint, trigger)
+def late_rows(job: StreamingQuery) -> int:
+    """How many rows a job has left out as late, over the batches whose progress Spark keeps
+    (`spark.sql.streaming.numRecentProgressUpdates`)."""
+    return sum(op["numRowsDroppedByWatermark"] for progress in job.recentProgress for op in progress["stateOperators"])
 
 
 POINTS = ("hash string, start bigint, end bigint, value double, isReal boolean, batch_id bigint, "
