@@ -10,11 +10,12 @@ from pyspark.sql import types as T
 from meterspark import vocabulary as V
 from meterspark.functions import clock
 from meterspark.functions.skew import last_by, salted_join
-from meterspark.functions.text import plain_name, similarity
+from meterspark.functions.text import fewest_edits, lacking, letter_sketch, pair_sketch, plain_name, similarity
 from meterspark.schemas import SUPPLY
 
 SUPPLY_NAME_LENGTH = 20
-GAZETTEER_BLOCK = 1000
+#: How far the length of a guess may be from that of the name.
+GUESS_LENGTHS = 3
 
 
 def conform_schema(df: DataFrame, schema: T.StructType = SUPPLY) -> DataFrame:
@@ -62,16 +63,15 @@ def building_lookup(supplies: DataFrame, by_supply: DataFrame, by_nif: DataFrame
             .drop("ens_supply", "ens_nif"))
 
 
-def fuzzy_place_match(names: DataFrame, gazetteer: DataFrame, column: str,
-                      block: int = GAZETTEER_BLOCK,
+def fuzzy_place_match(names: DataFrame, gazetteer: DataFrame, column: str, guess_lengths: int = GUESS_LENGTHS,
                       score: Callable[[Column, Column], Column] = similarity) -> DataFrame:
     """The most similar gazetteer entry for each distinct name; there is always one.
 
-    Names equal to an entry once case and punctuation are set aside are settled by an equi-join.
-    Each other name visits the gazetteer in blocks of about `block` names and keeps one best
-    entry per block, so no pair of names ever becomes a row. Names are dealt over so many salts that
-    about `block` of them meet a block in one task. Ties go to the smallest id. `score`
-    is 1 for equal names and less for others.
+    Names equal to an entry once case and punctuation are set aside are settled by an equi-join. Each
+    other name first gets a guess, the entry of about its length (two thirds, or `guess_lengths` letters, more or less) whose
+    pairs of letters are nearest; how similar that is bounds how far the best may be. Then just the entries within that bound, by length and by
+    letters, are compared with the name. So the result is exact. Ties go to the smallest id. `score` is 1
+    for equal names and at most 1 - `fewest_edits` / longer length for others.
     """
     entries = (gazetteer.withColumn("plain", plain_name(F.col("name")))
                .groupBy("plain").agg(F.min("geo_id").alias("geo_id")))
@@ -80,27 +80,45 @@ def fuzzy_place_match(names: DataFrame, gazetteer: DataFrame, column: str,
     tried = probes.join(entries, "plain", "left")
     exact = tried.filter(F.col("geo_id").isNotNull()).select(
         "probe", "geo_id", F.lit(1.0).alias("score"))
-    open_names = tried.filter(F.col("geo_id").isNull()).select("probe", "plain")
-
-    n_blocks = entries.agg(F.greatest(
-        F.ceil(F.count(F.lit(1)) / block), F.lit(1)).cast("int")).scalar()
-    blocks = (entries
-              .withColumn("block", F.pmod(F.xxhash64("plain"), n_blocks).cast("int"))
-              .groupBy("block").agg(F.collect_list(F.struct("plain", "geo_id")).alias("places")))
-    scored = F.transform("places", lambda p: F.struct(
-        (-score(F.col("plain"), p["plain"])).alias("cost"), p["geo_id"].alias("geo_id")))
-    n_salts = open_names.agg(F.greatest(
-        F.ceil(F.count(F.lit(1)) / block), F.lit(1)).cast("int")).scalar()
-    dealt = open_names.withColumn("salt", F.pmod(F.xxhash64("probe"), n_salts).cast("int"))
-    best = (dealt.withColumn("block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-            .join(blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), n_salts - 1))),
-                  ["block", "salt"])
-            .select("probe", F.array_min(scored).alias("b"))
-            .groupBy("probe").agg(F.min("b").alias("b"))
+    best = (place_candidates(tried.filter(F.col("geo_id").isNull()).select("probe", "plain"), entries, guess_lengths, score)
+            .groupBy("probe").agg(F.min(F.struct((-score(F.col("plain"), F.col("entry"))).alias("cost"), "geo_id")).alias("b"))
             .select("probe", "b.geo_id", (-F.col("b.cost")).alias("score")))
     return exact.unionByName(best)
 
 
+def place_candidates(open_names: DataFrame, entries: DataFrame, guess_lengths: int = GUESS_LENGTHS,
+                     score: Callable[[Column, Column], Column] = similarity) -> DataFrame:
+    """(probe, plain, entry, geo_id): of each name (probe, plain), the entries (plain, geo_id) that may be the
+    most similar, the best one and all that are as good among them.
+
+    Joins are by length, on which names visit just the lengths in reach. Pairs out of reach are told by a few
+    bit operations in the join itself and never become rows.
+    """
+    known = entries.select(F.col("plain").alias("entry"), "geo_id", F.length("plain").alias("length"),
+                           letter_sketch(F.col("plain")).alias("entry_letters"), pair_sketch(F.col("plain")).alias("entry_pairs"))
+    named = open_names.select("probe", "plain", F.length("plain").alias("own"), letter_sketch(F.col("plain")).alias("letters"),
+                              pair_sketch(F.col("plain")).alias("pairs"))
+    longest = entries.agg(F.max(F.length("plain"))).scalar()
+    apart = fewest_edits(F.col("letters"), F.col("entry_letters"), F.col("own"), F.col("length"))
+    unlike = lacking(F.col("pairs"), F.col("entry_pairs")) + lacking(F.col("entry_pairs"), F.col("pairs"))
+    longer = F.greatest("own", "length", F.lit(1))
+
+    def of_lengths(least: Column, most: Column) -> Column:
+        return F.explode(F.sequence(least.cast("int"), F.greatest(least, most).cast("int"))).alias("length")
+
+    window = F.greatest(F.lit(guess_lengths), F.floor(F.col("own") * 2 / 3))
+    near = named.select("*", of_lengths(F.greatest(F.col("own") - window, F.lit(0)), F.col("own") + window)).join(known, "length")
+    guess = near.groupBy("probe").agg(F.min(F.struct((unlike / longer).alias("far"), "entry")).alias("guess"))
+    reach = named.join(guess, "probe", "left").withColumn("reach", F.coalesce(
+        F.lit(1.0) - score(F.col("plain"), F.col("guess.entry")), F.lit(1.0)) + 1e-9)
+    # A length further off than `reach` of the longer name takes too many edits by itself.
+    least = F.floor(F.col("own") * (1 - F.least("reach", F.lit(1.0))))
+    most = F.least(F.ceil(F.col("own") / F.greatest(1 - F.col("reach"), F.lit(1e-9))), longest)
+    return (reach.select("probe", "plain", "own", "letters", "reach", of_lengths(least, most))
+            .join(known, "length").filter(apart <= F.col("reach") * longer)
+            .select("probe", "plain", "entry", "geo_id"))
+
+
 def replace_place(supplies: DataFrame, matches: DataFrame, column: str,
                   counted: DataFrame | None = None) -> DataFrame:
     """Put the matched id in place of the name; a big city's supplies are split over tasks."""

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from meterspark.functions.text import any_order_similarity
+from meterspark.functions.text import any_order_similarity, fewest_edits, letter_sketch, plain_name
 from meterspark.operators import supplies as S
 from meterspark.schemas import CONTRACT, SUPPLY
 from meterspark.sources import landing
@@ -147,6 +147,36 @@ def test_place_match_equals_brute_force(spark, block):
     assert {r.probe: r.geo_id for r in got.collect()} == want
 
 
+def test_few_places_are_compared(spark):
+    """Of all pairs of an open name and one of 64 places, about one in sixteen is compared."""
+    from meterspark.catalog import queries
+    from meterspark.catalog.supplies import gazetteer, places_of_level
+    path = "/root/testdata/sf0.01"
+    places = places_of_level(gazetteer(spark, path), V.MUNICIPALITY_LEVEL)
+    entries = places.select(F.lower("name").alias("plain"), "geo_id")
+    matched = queries()["fuzzy_place_match"](spark, path).filter("score < 1")
+    names = matched.select("probe", plain_name(F.col("probe")).alias("plain"))
+    pairs = S.place_candidates(names, entries)
+    found, every = pairs.count(), names.count() * entries.count()
+    assert names.count() <= found < 0.07 * every
+    best = {r.probe: r.geo_id for r in matched.collect()}
+    assert {(r.probe, r.geo_id) for r in pairs.collect()} >= set(best.items())
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_fewest_edits_never_exceeds_the_distance(spark):
+    rng = random.Random(4)
+    letters = "aab cé1日𠀀"
+    rows = [tuple("".join(rng.choice(letters) for _ in range(rng.randrange(0, 14))) for _ in "ab") for _ in range(800)]
+    rows += [("", ""), ("a" * 300, "a" * 290), ("𠀀𠀀", "𠀀"), ("abc", "cab")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = df.select("a", "b", F.levenshtein("a", "b").alias("edits"), fewest_edits(
+        letter_sketch(F.col("a")), letter_sketch(F.col("b")), F.length("a"), F.length("b")).alias("least")).collect()
+    assert all(r.least <= r.edits for r in got)
+    assert sum(r.least for r in got) > 0.4 * sum(r.edits for r in got)
+
+
 def test_replace_place(spark):
     df = spark.createDataFrame([("c1", "BARCELONA"), ("c2", "Barcelone"), ("c3", None)],
                                "cups string, municipality string")
