@@ -329,9 +329,15 @@ winners AS (
   WHERE rn = 1 AND n >= 2)"""
 
 
+def _owner_maps(spark, sf_dir):
+    """Owners as devices hold them, one map per device."""
+    entry = F.struct(F.concat(F.lit(V.NIF_KEY_PREFIX), "nif"), "value")
+    return _owners(spark, sf_dir).groupBy("dev").agg(F.map_from_entries(F.collect_list(entry)).alias("nifs"))
+
+
 @query(f"WITH {OWNERS} SELECT dev, winner, until, owners FROM winners")
 def owner_argmax(spark, sf_dir):
-    return graph.owner_argmax(_owners(spark, sf_dir))
+    return graph.owner_winner(_owner_maps(spark, sf_dir)).drop("nifs")
 
 
 def _ownership_edges(spark, sf_dir):
@@ -352,7 +358,7 @@ def _ended(spark, sf_dir):
     names = orders.select(F.col("o_orderpriority").alias("username")).distinct().unionByName(
         orders.select(F.lit("OTHER").alias("username")).distinct())
     logins = names.select(F.concat(F.lit("S"), "username").alias("uri"), "username")
-    return graph.ended_links(_ownership_edges(spark, sf_dir), _owners(spark, sf_dir), logins)
+    return graph.ended_links(_ownership_edges(spark, sf_dir), _owner_maps(spark, sf_dir), logins)
 
 
 LINKS = """

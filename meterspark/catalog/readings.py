@@ -8,6 +8,7 @@ from meterspark import vocabulary as V
 from meterspark.catalog import tables as t
 from meterspark.catalog.registry import query, table
 from meterspark.operators import graph, readings as R, timeseries as TS
+from meterspark.session import shared_dir
 
 HARMONIZED_SQL = "prop = 'EnergyConsumptionGridElectricity' AND freq IN ('PT1H', 'PT15M')"
 URI_SQL = f"printf('{V.SENSOR_URI}', cups, prop, freq)"
@@ -74,6 +75,16 @@ def ingest_audit(spark, sf_dir):
     return R.ingest_audit(t.readings(spark, sf_dir), ["cups", "prop", "freq"])
 
 
+@query(f"""WITH {t.READINGS}
+SELECT count(*) AS rows, count(*) FILTER ("consumptionKWh" IS NULL) AS without_value, min("timestamp") AS first_ts,
+  max("timestamp") AS last_ts FROM readings""")
+def ingest_observed(spark, sf_dir):
+    """All readings written, and counted on the same pass."""
+    path = shared_dir(spark, "audited")
+    seen = R.write_audited(t.readings(spark, sf_dir), lambda df: df.write.parquet(path))
+    return spark.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in seen.items()])
+
+
 @query(f"""WITH {t.READINGS}
 SELECT seq, cups, freq, "timestamp" AS "start",
   "timestamp" + CASE freq WHEN 'PT1H' THEN 3600 WHEN 'PT15M' THEN 900 END AS "end",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from meterspark.catalog import tables as t
 from meterspark.catalog.registry import query, table
 from meterspark.operators import routing
+from meterspark.session import shared_dir
 from meterspark.sources import subscriptions as sub
 
 # Projects by balance of the supplier that subscribes: name, from, below.
@@ -171,8 +172,10 @@ SELECT seq, cups, username, authorized_nif, self_wish, route, position,
   SELECT *, row_number() OVER (PARTITION BY username, authorized_nif, self_wish, route
                                ORDER BY seq) AS position FROM routed)""")
 def work_batches(spark, sf_dir):
-    routed = routing.route_supplies(_logins(spark, sf_dir), _supplies(spark, sf_dir))
-    return routing.work_batches(routed.drop("db_list"))
+    """Routed supplies, stored first, since they are counted and then numbered."""
+    path = shared_dir(spark, "routed")
+    routing.route_supplies(_logins(spark, sf_dir), _supplies(spark, sf_dir)).drop("db_list").write.parquet(path)
+    return routing.work_batches(spark.read.parquet(path))
 
 
 @query(f"""WITH {t.SUPPLIES}, known AS (SELECT DISTINCT 'U' || s_nationkey AS username FROM supplier),

@@ -55,7 +55,8 @@ def publish_points(spark, sf_dir):
 
 
 @query("""SELECT 'static' AS topic, CAST(c_custkey AS VARCHAR) AS key, c_name AS address,
-  CASE WHEN c_acctbal > 0 THEN 'alpha,beta' ELSE 'beta' END AS dblist, 'supplies' AS collection_type
+  CASE WHEN c_acctbal > 0 THEN 'alpha,beta' ELSE 'beta' END AS dblist, 'supplies' AS collection_type,
+  CASE WHEN c_acctbal > 0 THEN '{"alpha":[["cups","timestamp"]]}' ELSE '{}' END AS row_keys
 FROM customer""")
 def publish_static(spark, sf_dir):
     """Supply records as messages for several sources at once, taken apart again."""
@@ -63,10 +64,10 @@ def publish_static(spark, sf_dir):
         F.col("c_custkey").cast("string").alias("cups"), F.col("c_name").alias("address"),
         F.when(F.col("c_acctbal") > 0, F.array(F.lit("alpha"), F.lit("beta")))
         .otherwise(F.array(F.lit("beta"))).alias("db_list"))
-    decoded = E.decode_envelopes(E.publish_static(records, STATIC), STATIC)
+    decoded = E.decode_envelopes(E.publish_static(records, STATIC, specs=[SPEC]), STATIC)
     return decoded.select("topic", "key", F.get_json_object("data", "$.address").alias("address"),
                           F.array_join("kwargs.dblist", ",").alias("dblist"),
-                          F.col("kwargs.collection_type").alias("collection_type"))
+                          F.col("kwargs.collection_type").alias("collection_type"), "row_keys")
 
 
 def _messages(spark, sf_dir):

@@ -288,25 +288,35 @@ def owner_argmax(owners: DataFrame) -> DataFrame:
             .filter(F.col("owners") >= 2))
 
 
-def ended_links(edges: DataFrame, owners: DataFrame, logins: DataFrame) -> DataFrame:
+def owner_winner(nifs: DataFrame) -> DataFrame:
+    """The same of devices as `nif_props_map` gives them, decided within the row: no owner is moved."""
+    entries = F.filter(F.transform(F.map_entries("nifs"), lambda e: F.struct(
+        e["value"].alias("value"), F.substr(e["key"], F.lit(len(V.NIF_KEY_PREFIX) + 1)).alias("nif"))),
+        lambda e: e["value"].isNotNull())
+    last = F.array_max(F.transform("_entries", lambda e: e["value"]))
+    return (nifs.filter(F.size("nifs") >= 2).withColumn("_entries", entries).withColumn("until", last)
+            .select("dev", F.array_min(F.transform(
+                F.filter("_entries", lambda e: e["value"] == F.col("until")), lambda e: e["nif"])).alias("winner"),
+                "until", F.size("nifs").cast("long").alias("owners"), "nifs"))
+
+
+def ended_links(edges: DataFrame, nifs: DataFrame, logins: DataFrame) -> DataFrame:
     """Import links that end, `(src, dst, until)`; only for devices a point of delivery has.
 
     An active winner ends the links to the device's other owners; otherwise all its links end.
-    `logins` is `(uri, username)`.
+    `nifs` is `(dev, nifs)`, a row per device with its owner entries; they stay one map, in which a link's
+    owner is looked up. `logins` is `(uri, username)`.
     """
-    decided = owner_argmax(owners)
+    decided = owner_winner(nifs).withColumnRenamed("dev", "src")
     supplied = edges_of(edges, V.HAS_DEVICE, "upod", "src").select("src").distinct()
     links = edges_of(edges, V.IMPORTED_FROM, "src", "dst")
     named = salted_join(links.join(supplied, "src", "left_semi"),
                         logins.select(F.col("uri").alias("dst"), "username"), ["dst"], ["src"],
                         how="inner", counted=links)
-    entry = owners.select(F.col("dev").alias("src"), F.col("nif").alias("username"),
-                          F.lit(True).alias("listed")).distinct()
     active = F.col("until") == V.ACTIVE
-    return (named.join(decided.withColumnRenamed("dev", "src"), "src")
-            .join(entry, ["src", "username"], "left")
-            .filter(~active | (F.coalesce("listed", F.lit(False))
-                               & (F.col("username") != F.col("winner"))))
+    listed = F.map_contains_key("nifs", F.concat(F.lit(V.NIF_KEY_PREFIX), F.coalesce("username", F.lit(""))))
+    return (named.join(decided, "src")
+            .filter(~active | (listed & (F.col("username") != F.col("winner"))))
             .select("src", "dst", "until").distinct())
 
 

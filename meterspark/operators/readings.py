@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from meterspark.functions.skew import last_by
 
@@ -62,6 +63,19 @@ def latest_readings(readings: DataFrame, order: list[str]) -> DataFrame:
     return last_by(readings, ["cups", "prop", "freq", "timestamp"], order)
 
 
+def audit_counters(time: str = "timestamp") -> list[Column]:
+    """What is counted of readings while they are written: rows, those without value, first and last."""
+    return [F.count(F.lit(1)).alias("rows"), F.count_if(F.col("consumptionKWh").isNull()).alias("without_value"),
+            F.min(time).alias("first_ts"), F.max(time).alias("last_ts")]
+
+
+def write_audited(readings: DataFrame, write: Callable[[DataFrame], None]) -> dict:
+    """Write readings, and count them on the same pass. Returns the counters (`audit_counters`)."""
+    seen = Observation("ingest")
+    write(readings.observe(seen, *audit_counters()))
+    return seen.get
+
+
 def ingest_audit(readings: DataFrame, by: list[str]) -> DataFrame:
     """Rows and meters' spans per audit key, e.g. login, meter, type and chunk."""
     return readings.groupBy(*by).agg(

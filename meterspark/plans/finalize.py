@@ -17,6 +17,11 @@ class Settled:
     edges: DataFrame
 
 
+def start_run(devices: DataFrame) -> DataFrame:
+    """Devices as a run finds them: none of the provider's is enrolled until the run has seen it."""
+    return graph.enrolment_reset(devices)
+
+
 def end_run(devices: DataFrame, upods: DataFrame, edges: DataFrame,
             logins: DataFrame,
             keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> Settled:
@@ -27,8 +32,7 @@ def end_run(devices: DataFrame, upods: DataFrame, edges: DataFrame,
     All three results build on the links that end; `keep` may store those, for instance by
     `lambda df: df.checkpoint()`, so that they are found once.
     """
-    owners = graph.device_nifs(graph.nif_props_map(devices))
-    ended = keep(graph.ended_links(edges, owners, logins))
+    ended = keep(graph.ended_links(edges, graph.nif_props_map(devices), logins))
     settled = graph.strip_nif_props(
         graph.resolve_enddates(graph.finalize_enrolment(devices), ended, edges))
     return Settled(settled,

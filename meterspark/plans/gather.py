@@ -75,4 +75,4 @@ def deliver(requests: Requests, delivered: DataFrame, contracts: DataFrame,
     records = (S.supply_contract_merge(requests.routed.withColumn("nif", F.col("username")),
                                        S.latest_contract(contracts))
                .join(chunks.supply_measurements(requests.state, as_of), "cups", "left"))
-    return Delivery(state, timeseries, E.publish_static(records, static_topic, run_id))
+    return Delivery(state, timeseries, E.publish_static(records, static_topic, run_id, specs))

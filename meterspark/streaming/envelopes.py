@@ -29,6 +29,10 @@ def _by_source(specs: list[SourceSpec], value: Callable[[SourceSpec], Column]) -
     return out
 
 
+def _row_keys(spec: SourceSpec) -> Column:
+    return F.array(*[F.array(*map(F.lit, k)) for k in spec.row_keys])
+
+
 def _tables(spec: SourceSpec) -> Column:
     """A source's table names, with the row's series put in."""
     return F.array(*[
@@ -66,8 +70,7 @@ def _publish(prepared: DataFrame, specs: list[SourceSpec], run_id: str) -> DataF
             .select(*_message(
                 _by_source(specs, lambda s: F.lit(s.topic)), F.col("cups"),
                 data=F.col("rows.r"), tables=_by_source(specs, _tables),
-                row_keys=_by_source(specs, lambda s: F.array(
-                    *[F.array(*map(F.lit, k)) for k in s.row_keys])),
+                row_keys=_by_source(specs, _row_keys),
                 kwargs=F.struct(
                     F.lit("timeseries").alias("collection_type"), F.col("prop").alias("property"),
                     "freq", F.array("source").alias("dblist"), F.lit(run_id).alias("run_id")))))
@@ -86,11 +89,14 @@ def publish_points(points: DataFrame, topic: str) -> DataFrame:
         **{c: F.col(c) for c in ("start", "end", "value", "isReal", "hash")}))
 
 
-def publish_static(supplies: DataFrame, topic: str, run_id: str = "") -> DataFrame:
-    """One message per supply record, for all its sources (`db_list`) at once."""
+def publish_static(supplies: DataFrame, topic: str, run_id: str = "", specs: list[SourceSpec] = ()) -> DataFrame:
+    """One message per supply record, for all its sources (`db_list`) at once; with the row keys of each,
+    by source, of those that `specs` knows."""
     record = F.struct(*[f.name for f in SUPPLY if f.name in supplies.columns])
     return supplies.select(*_message(
         F.lit(topic), F.col("cups"), data=record, tables=F.array(F.lit("")),
+        **({"row_keys": F.map_filter(F.create_map(*[c for s in specs for c in (F.lit(s.source), _row_keys(s))]),
+                                     lambda source, _: F.array_contains("db_list", source))} if specs else {}),
         kwargs=F.struct(F.lit("supplies").alias("collection_type"),
                         F.col("db_list").alias("dblist"), F.lit(run_id).alias("run_id"))))
 

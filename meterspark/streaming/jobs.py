@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from meterspark.functions import keyed
 from meterspark.functions.skew import last_by
 from meterspark.operators import graph, timeseries
+from meterspark.operators.readings import audit_counters
 from meterspark.streaming import envelopes as E
 
 
@@ -139,9 +140,16 @@ def unique_readings(readings: DataFrame, delay: str) -> DataFrame:
 
 def start_unique(readings: DataFrame, out: str, checkpoint: str, delay: str,
                  trigger: dict | None = None) -> StreamingQuery:
-    """Write a stream's readings to `out`, a folder per batch, without repeated and late ones."""
-    return _start(unique_readings(readings, delay), lambda batch, batch_id: _write(batch, out, batch_id),
-                  checkpoint, trigger)
+    """Write a stream's readings to `out`, a folder per batch, without repeated and late ones. What is
+    written is counted on the same pass; see `audits`."""
+    kept = unique_readings(readings, delay).observe("ingest", *audit_counters())
+    return _start(kept, lambda batch, batch_id: _write(batch, out, batch_id), checkpoint, trigger)
+
+
+def audits(job: StreamingQuery) -> dict[int, dict]:
+    """The counters of each batch with rows, by batch, over the batches whose progress Spark keeps."""
+    return {p["batchId"]: p["observedMetrics"]["ingest"].asDict() for p in job.recentProgress
+            if "ingest" in p["observedMetrics"] and p["observedMetrics"]["ingest"]["rows"]}
 
 
 def late_rows(job: StreamingQuery) -> int:

@@ -180,3 +180,35 @@ def test_owner_entries_of_devices(spark):
     rows = graph.device_nifs(graph.nif_props_map(df)).collect()
     assert [tuple(r) for r in rows] == [("a", "X1", "Alta")]
     assert graph.strip_nif_props(df).filter("uri = 'a'").first().props == {"bigg__nif": "no", "z": "1"}
+
+
+def test_winner_in_the_row_is_that_of_grouped_owners(spark):
+    maps = [("d1", {"n2": "Alta", "n1": "Alta", "n3": "2024"}), ("d2", {"n1": "2024"}), ("d3", {"b": "2023", "a": "2024"}),
+            ("d4", {"b": None, "a": None}), ("d5", {"b": None, "a": "2020"}), ("d6", {})]
+    nifs = spark.createDataFrame([(d, {V.NIF_KEY_PREFIX + k: v for k, v in m.items()}) for d, m in maps],
+                                 "dev string, nifs map<string,string>")
+    rows = graph.device_nifs(nifs)
+    grouped = {r.dev: (r.winner, r.until, r.owners) for r in graph.owner_argmax(rows).collect()}
+    own = graph.owner_winner(nifs)
+    assert {r.dev: (r.winner, r.until, r.owners) for r in own.collect()} == grouped
+    assert "Exchange" not in own._jdf.queryExecution().executedPlan().toString()
+
+
+def test_links_are_settled_without_moving_owners(spark):
+    """One join brings links to the owners of their device, which stay a map."""
+    nifs = spark.createDataFrame([("d", {"bigg__nif_a": "Alta"})], "dev string, nifs map<string,string>")
+    edges = spark.createDataFrame([], "src string, type string, dst string")
+    logins = spark.createDataFrame([], "uri string, username string")
+    plan = graph.ended_links(edges, nifs, logins)._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(nifs" not in plan and "map_contains_key(nifs" in plan
+
+
+def test_a_run_from_start_to_end(spark):
+    from meterspark.plans.finalize import start_run
+    devices = spark.createDataFrame(
+        [("a", V.PROVIDER, True, None), ("b", V.PROVIDER, True, None), ("c", "else", True, "kept")],
+        "uri string, source string, enrolled boolean, stateCancelled string")
+    started = start_run(devices)
+    seen = started.withColumn("enrolled", (F.col("uri") == "a") | F.col("enrolled"))
+    got = {r.uri: r.stateCancelled for r in graph.finalize_enrolment(seen).collect()}
+    assert got == {"a": None, "b": V.CANCELLED, "c": "kept"}

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterspark.functions import keyed
+from meterspark.plans import gather
 from meterspark.sources import landing
 from meterspark.streaming import envelopes as E, jobs
 
@@ -103,8 +104,8 @@ def test_logged_ranges_fold_to_the_same_table(spark, tmp_path):
 
 def test_repeated_readings_are_dropped_within_the_watermark(spark, tmp_path):
     at = lambda name: str(tmp_path / name)
-    schema = "cups string, timestamp long, value double"
-    late = []
+    schema = "cups string, timestamp long, consumptionKWh double"
+    late, counted = [], []
     for rows in ([("a", 1000, 1.0), ("a", 2000, 1.0), ("a", 2000, 1.0)],
                  [("a", 2000, 1.0), ("a", 2000, 2.0), ("a", 1950, 1.0), ("a", 1000, 1.0), ("b", 3, None)],
                  [("a", 5000, 1.0), ("a", 2000, 2.0)], [("a", 2000, 2.0)]):
@@ -112,10 +113,21 @@ def test_repeated_readings_are_dropped_within_the_watermark(spark, tmp_path):
         job = jobs.start_unique(spark.readStream.schema(schema).parquet(at("in")), at("out"), at("state"), "100 seconds", NOW)
         job.awaitTermination()
         late.append(jobs.late_rows(job))
+        counted += [(a["rows"], a["without_value"], a["last_ts"]) for a in jobs.audits(job).values()]
     got = spark.read.schema(schema).parquet(at("out")).collect()
-    assert sorted((r.cups, r.timestamp, r.value) for r in got) == [
+    assert sorted((r.cups, r.timestamp, r.consumptionKWh) for r in got) == [
         ("a", 1000, 1.0), ("a", 1950, 1.0), ("a", 2000, 1.0), ("a", 2000, 2.0), ("a", 5000, 1.0)]
     assert late == [0, 2, 0, 1]
+    assert counted == [(2, 0, 2000), (2, 0, 2000), (1, 0, 5000)]
+
+
+def test_a_run_sends_its_end_last(spark, tmp_path):
+    sent = []
+    frame = lambda *keys: spark.createDataFrame([("t", k, "{}") for k in keys], "topic string, key string, value string")
+    gather.send(gather.Delivery(None, frame("a", "b"), frame("c")), "r1", STATIC, lambda df: sent.append(df.collect()), 2)
+    assert [sorted(r.key for r in part) for part in sent] == [["a", "b"], ["c"], ["0", "1"]]
+    last = E.markers(E.decode_envelopes(spark.createDataFrame(sent[-1]), STATIC)).collect()
+    assert sorted((r.run_id, r.partition, r.partitions) for r in last) == [("r1", 0, 2), ("r1", 1, 2)]
 
 
 def test_an_update_leaves_untouched_files(spark, tmp_path):
