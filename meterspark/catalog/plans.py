@@ -33,16 +33,20 @@ def _saved(spark, name, df):
     return spark.read.parquet(path)
 
 
-def _updated(spark, sf_dir):
-    """All customers' records, and a later batch in which some meters went to an owner that left."""
+def _batches(spark, sf_dir):
+    """Triples of all customers' records, and of a later batch in which some meters went to an owner that left."""
     records = G._records(spark, sf_dir)
     gone = F.lit("2023-01-01T00:00:00")
     later = records.filter("balance > 5000").withColumns({
         "seq": F.lit(2), "nif": F.col("authorized_nif"), "nif_ab": gone, "endDate": gone,
         "enrolled": F.lit(False)})
-    triples = graph.supply_triples(records.withColumn("seq", F.lit(1)), ("seq",)).unionByName(
-        graph.supply_triples(later, ("seq",)))
-    return harmonize.graph_update(_saved(spark, "triples", triples), _sources(spark, sf_dir))
+    return graph.supply_triples(records.withColumn("seq", F.lit(1)), ("seq",)), graph.supply_triples(later, ("seq",))
+
+
+def _updated(spark, sf_dir):
+    """Both batches at once."""
+    first, later = _batches(spark, sf_dir)
+    return harmonize.graph_update(_saved(spark, "triples", first.unionByName(later)), _sources(spark, sf_dir))
 
 
 def _dash(*columns):
@@ -74,16 +78,31 @@ def _edges(edges):
                         *_dash("type", "dst", "selected", "source"))
 
 
-@query(f"""WITH {UPDATED}
+def _nodes_and_edges(after):
+    return _edges(after.edges).unionByName(after.devices.select(
+        F.lit("device").alias("kind"), F.col("uri").alias("a"), *_dash("source", "nif", "enrolled", "endDate")))
+
+
+UPDATED_ROWS = f"""WITH {UPDATED}
 {_EDGES_SQL}
 UNION ALL
 SELECT 'device', device, '{V.PROVIDER}', CASE WHEN linked THEN '-' ELSE nif END,
-  CASE WHEN NOT gone AND b >= 1000 THEN 'true' ELSE 'false' END, coalesce(until, '-') FROM of""")
+  CASE WHEN NOT gone AND b >= 1000 THEN 'true' ELSE 'false' END, coalesce(until, '-') FROM of"""
+
+
+@query(UPDATED_ROWS)
 def graph_update(spark, sf_dir):
     """Records to triples to nodes and edges, and all updates that follow a save."""
-    after = _updated(spark, sf_dir)
-    return _edges(after.edges).unionByName(after.devices.select(
-        F.lit("device").alias("kind"), F.col("uri").alias("a"), *_dash("source", "nif", "enrolled", "endDate")))
+    return _nodes_and_edges(_updated(spark, sf_dir))
+
+
+@query(UPDATED_ROWS)
+def graph_saved(spark, sf_dir):
+    """The same with the later batch merged into the graph that the first one left on record."""
+    path, staging = shared_dir(spark, "graph"), shared_dir(spark, "staging")
+    for batch in _batches(spark, sf_dir):
+        harmonize.save_graph(spark, batch, path, staging, slots=32)
+    return _nodes_and_edges(harmonize.update_graph(harmonize.read_graph(spark, path), _sources(spark, sf_dir)))
 
 
 @query(f"""WITH {UPDATED}

@@ -8,6 +8,7 @@ from meterspark import vocabulary as V
 from meterspark.catalog import tables as t
 from meterspark.catalog.registry import query, table
 from meterspark.operators import graph, readings as R, timeseries as TS
+from meterspark.plans import harmonize
 from meterspark.session import shared_dir
 
 HARMONIZED_SQL = "prop = 'EnergyConsumptionGridElectricity' AND freq IN ('PT1H', 'PT15M')"
@@ -159,6 +160,22 @@ def sensor_coverage(spark, sf_dir):
     return _coverage(spark, sf_dir).select("cups", "prop", "freq", "hash", "first_ts", "last_ts")
 
 
+@query(f"""WITH {t.READINGS}, {COVERAGE}
+SELECT 'point' AS kind, hash AS a, CAST("start" AS BIGINT) AS b, CAST("end" AS BIGINT) AS c, value AS v FROM ({POINTS})
+UNION ALL SELECT 'sensor', hash, first_ts, last_ts, 0 FROM coverage
+UNION ALL SELECT 'Start', sensor_uri, first_ts, 0, 0 FROM coverage
+UNION ALL SELECT 'End', sensor_uri, last_ts, 0, 0 FROM coverage""")
+def harmonize_series(spark, sf_dir):
+    """Points of all readings, the sensors behind them with their ranges on record widened, and those as triples."""
+    made = harmonize.harmonize_series(t.readings(spark, sf_dir), _stored_sensors(spark, sf_dir))
+    none = F.lit(0).cast("long")
+    which = F.regexp_extract("predicate", "#timeSeries(Start|End)$", 1)
+    return made.points.select(F.lit("point").alias("kind"), F.col("hash").alias("a"), F.col("start").alias("b"),
+                              F.col("end").alias("c"), F.col("value").alias("v")).union(
+        made.sensors.select(F.lit("sensor"), "hash", "first_ts", "last_ts", F.lit(0.0))).union(
+        made.triples.filter(which != "").select(which, "subject", F.unix_timestamp(F.to_timestamp("object")), none, F.lit(0.0)))
+
+
 BIGG = "http://bigg-project.eu/ontology#"
 XSD = "http://www.w3.org/2001/XMLSchema#"
 TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"

@@ -21,14 +21,20 @@ def write_keyed(rows: DataFrame, path: str, by: list[str], slots: int = SLOTS) -
     _write(rows.withColumn(SLOT, slot(by, slots)), path, "errorifexists", slots)
 
 
+def create_keyed(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """An empty table, where there is none yet."""
+    (spark.createDataFrame([], schema).withColumn(SLOT, F.lit(0)).write.mode("ignore").partitionBy(SLOT).parquet(path))
+
+
 def read_keyed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table's rows, with the slot of each, so that a filter on it reads just its files."""
     return spark.read.schema(T.StructType([*schema.fields, T.StructField(SLOT, T.IntegerType())])).parquet(path)
 
 
 def update_keyed(spark: SparkSession, path: str, new: DataFrame, keys: list[str], by: list[str] | None = None,
-                 slots: int = SLOTS) -> None:
-    """Put the rows of `new` into the table, in place of those with the same `keys`.
+                 slots: int = SLOTS, replace: bool = True) -> None:
+    """Put the rows of `new` into the table, in place of those with the same `keys`; without `replace`,
+    just the rows whose keys it does not have yet.
 
     Just the slots that `new` touches are read and written: their folders are replaced when the job
     commits, and those of all others keep their files. `by` are the keys that rows are dealt by, all of
@@ -41,7 +47,8 @@ def update_keyed(spark: SparkSession, path: str, new: DataFrame, keys: list[str]
     if not touched:
         return
     rows = read_keyed(spark, path, new.schema).filter(F.col(SLOT).isin(touched))
-    _write(upsert(rows, placed.select(rows.columns), [SLOT, *keys]), path, "overwrite", slots)
+    sides = (rows, placed.select(rows.columns))
+    _write(upsert(*(sides if replace else sides[::-1]), [SLOT, *keys]), path, "overwrite", slots)
 
 
 def _write(placed: DataFrame, path: str, mode: str, slots: int) -> None:

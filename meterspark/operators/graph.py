@@ -110,6 +110,12 @@ def triple_edges(triples: DataFrame) -> DataFrame:
                     F.col("object").alias("dst")).distinct())
 
 
+def triple_kind() -> Column:
+    """Which of the graph's tables a triple goes to."""
+    return (F.when(F.col("predicate") == RDF_TYPE, "labels").when(F.col("object_kind") == "literal", "properties")
+            .otherwise("edges"))
+
+
 def triples_to_graph(triples: DataFrame, seq: str = "seq") -> dict[str, DataFrame]:
     """Labels, properties and edges of a batch of triples."""
     return {"labels": node_labels(triples), "properties": node_properties(triples, seq),

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from meterspark import vocabulary as V
+from meterspark.functions import keyed
 from meterspark.functions.text import similarity
 from meterspark.operators import graph, supplies as S, timeseries
 from meterspark.sources.gazetteer import gazetteer_pattern
@@ -79,7 +81,41 @@ def graph_update(triples: DataFrame, sources: DataFrame, seq: str = "seq") -> Gr
     """The tables that a run's triples make, after the updates that follow a save: the provider's
     mark moves, its locations' places are marked, devices are tied to the source (`uri, username`)
     their owner logs in as, and the owner is forgotten where that was done."""
-    parts = graph.triples_to_graph(triples, seq)
+    return update_graph(graph.triples_to_graph(triples, seq), sources)
+
+
+#: Tables of the stored graph: their keys, and whether a row that comes again replaces the one on record.
+TABLES = {"labels": (["uri", "label"], False), "properties": (["uri", "property"], True),
+          "edges": (["src", "type", "dst"], False)}
+LAYOUTS = {name: T.StructType([T.StructField(c, T.StringType()) for c in [*keys, *more]]) for name, (keys, _), more in zip(
+    TABLES, TABLES.values(), ([], ["value", "datatype"], []))}
+
+
+def save_graph(spark: SparkSession, triples: DataFrame, path: str, staging: str, seq: str = "seq",
+               slots: int = keyed.SLOTS) -> None:
+    """Merge a batch of triples into the graph stored below `path`.
+
+    The rules behind `triples` are expanded once: they are written to `staging` by the table they go to,
+    and each table reads its part of that. Just the slots of nodes that the batch names are rewritten. A
+    save that is repeated leaves the same graph.
+    """
+    triples.withColumn("kind", graph.triple_kind()).write.mode("overwrite").partitionBy("kind").parquet(staging)
+    staged = spark.read.schema(T.StructType([*triples.schema, T.StructField("kind", T.StringType())])).parquet(staging)
+    parts = {name: graph.triples_to_graph(staged.filter(F.col("kind") == name), seq)[name] for name in TABLES}
+    for name, (keys, replace) in TABLES.items():
+        keyed.create_keyed(spark, f"{path}/{name}", LAYOUTS[name])
+        keyed.update_keyed(spark, f"{path}/{name}", parts[name].select(LAYOUTS[name].fieldNames()), keys, keys[:1],
+                           slots, replace)
+
+
+def read_graph(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """Labels, properties and edges of the stored graph."""
+    return {name: keyed.read_keyed(spark, f"{path}/{name}", layout).drop(keyed.SLOT) for name, layout in LAYOUTS.items()}
+
+
+def update_graph(parts: dict[str, DataFrame], sources: DataFrame) -> Graph:
+    """The updates that follow a save, over the labels, properties and edges of a batch (`triples_to_graph`)
+    or of the stored graph (`read_graph`)."""
     devices = graph.rename_source(graph.devices_of(parts["properties"]))
     edges = parts["edges"].withColumns({"selected": F.lit(None).cast("boolean"),
                                         "source": F.lit(None).cast("string")})

@@ -109,9 +109,7 @@ def start_ranges(ranges: DataFrame, out: str, checkpoint: str, trigger: dict | N
     it widens or repeats, which replaces that sensor's row: just the slots of those sensors are rewritten,
     and no batch reads what earlier ones have logged. A repeated batch leaves the same rows.
     """
-    spark = ranges.sparkSession
-    spark.createDataFrame([], SENSOR_RANGE).withColumn(keyed.SLOT, F.lit(0)).write.mode("ignore").partitionBy(
-        keyed.SLOT).parquet(out)
+    keyed.create_keyed(ranges.sparkSession, out, SENSOR_RANGE)
     folded = ranges.groupBy(*SENSOR).agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:

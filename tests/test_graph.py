@@ -200,7 +200,7 @@ def test_links_are_settled_without_moving_owners(spark):
     edges = spark.createDataFrame([], "src string, type string, dst string")
     logins = spark.createDataFrame([], "uri string, username string")
     plan = graph.ended_links(edges, nifs, logins)._jdf.queryExecution().optimizedPlan().toString()
-    assert "explode(nifs" not in plan and "map_contains_key(nifs" in plan
+    assert "explode(nifs" not in plan and "map_keys(nifs" in plan
 
 
 def test_a_run_from_start_to_end(spark):
@@ -212,3 +212,30 @@ def test_a_run_from_start_to_end(spark):
     seen = started.withColumn("enrolled", (F.col("uri") == "a") | F.col("enrolled"))
     got = {r.uri: r.stateCancelled for r in graph.finalize_enrolment(seen).collect()}
     assert got == {"a": None, "b": V.CANCELLED, "c": "kept"}
+
+
+def triple(subject, predicate, obj, kind, seq=1):
+    return (subject, predicate, obj, None, kind, seq)
+
+
+def test_a_batch_is_merged_into_the_stored_graph(spark, tmp_path):
+    from meterspark.plans import harmonize
+    schema = "subject string, predicate string, object string, datatype string, object_kind string, seq long"
+    ns = next(iter(V.PREFIXES.values()))
+    prefix = next(iter(V.PREFIXES))
+    first = [triple("a", graph.RDF_TYPE, ns + "Device", "iri"), triple("a", ns + "p", "1", "literal"),
+             triple("a", ns + "q", "old", "literal"), triple("a", ns + "has", "b", "iri"), triple("z", ns + "p", "9", "literal")]
+    later = [triple("a", graph.RDF_TYPE, ns + "Device", "iri", 2), triple("a", ns + "q", "new", "literal", 2),
+             triple("a", ns + "q", "newest", "literal", 3), triple("a", ns + "has", "b", "iri", 2),
+             triple("c", ns + "has", "b", "iri", 2)]
+    path, staging = str(tmp_path / "graph"), str(tmp_path / "staging")
+    for batch in (first, later, later):
+        harmonize.save_graph(spark, spark.createDataFrame(batch, schema), path, staging, slots=4)
+    stored = {name: sorted(tuple(r) for r in df.drop("datatype").collect())
+              for name, df in harmonize.read_graph(spark, path).items()}
+    assert stored == {
+        "labels": [("a", f"{prefix}__Device")],
+        "properties": [("a", f"{prefix}__p", "1"), ("a", f"{prefix}__q", "newest"), ("z", f"{prefix}__p", "9")],
+        "edges": [("a", "has", "b"), ("c", "has", "b")]}
+    harmonize.save_graph(spark, spark.createDataFrame([], schema), path, staging, slots=4)
+    assert harmonize.read_graph(spark, path)["edges"].count() == 2
