@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime, time
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from meterspark.schemas import HISTORY_MONTHS, ZONE
 
@@ -20,6 +20,14 @@ def shift_month(first: date, months: int) -> date:
     return date(at // 12, at % 12 + 1, 1)
 
 
+def in_utc(df: DataFrame) -> DataFrame:
+    """`df`, if its session's wall-clock arithmetic goes through UTC, which chunks of local months need."""
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"the session's time zone is {zone}; see session.configure")
+    return df
+
+
 def end_of_day(day: Column) -> Column:
     """Last second of a day as local wall-clock time."""
     return day.cast("timestamp_ntz") + F.expr("INTERVAL '23:59:59' HOUR TO SECOND")

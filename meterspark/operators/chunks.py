@@ -57,7 +57,7 @@ def chunk_calendar(supplies: DataFrame, as_of: date, strict_valid_to: bool = Fal
     """
     end = history_end(F.col("validDateTo"), as_of, strict_valid_to)
     # The end of the history is computed before, not along with, the explosion into chunks.
-    return (supplies
+    return (clock.in_utc(supplies)
             .select("cups", *keep, end.alias("history_end"))
             .withColumn("c", F.explode(calendar_blocks(as_of, series)))
             .filter(F.col("c.date_ini") < F.col("history_end"))
@@ -94,7 +94,7 @@ def chunk_observed(readings: DataFrame, as_of: date,
     since = F.months_between("month", first).cast("int")
     ini = F.when(months == 1, F.col("month")).otherwise(
         F.add_months(first, since - since % months))
-    return (readings
+    return (clock.in_utc(readings)
             .filter(tracked)
             .select("cups", "prop", "freq", "timestamp",
                     F.trunc(clock.local_date(F.col("timestamp")), "month").alias("month"))

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from meterspark import schemas as S
 from meterspark.functions import clock, keyed
-from meterspark.streaming.envelopes import fits
+from meterspark.streaming.envelopes import fits, is_good, parsed
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType,
@@ -26,9 +26,10 @@ def read_contracts(spark: SparkSession, path: str, fmt: str = "json") -> DataFra
 def supplies_in(documents: DataFrame, column: str = "value") -> DataFrame:
     """Supply records inside JSON documents `{"supplies": [...]}`; items that are not what a supply
     record holds are left to `rejected_documents`."""
-    return (documents.select(F.explode(_items(column)).alias("item"))
-            .filter(fits(F.col("item"), S.SUPPLY))
-            .select(F.from_json("item", S.SUPPLY).alias("r")).select("r.*"))
+    # Parsed before the items become rows, so that the check and the fields share one parse.
+    read = F.transform(_items(column), lambda item: F.struct(item.alias("item"), parsed(item, S.SUPPLY).alias("r")))
+    return (documents.select(F.explode(read).alias("i")).filter(is_good(F.col("i.item"), F.col("i.r")))
+            .select("i.r.*").drop("_bad"))
 
 
 def rejected_documents(documents: DataFrame, column: str = "value") -> DataFrame:

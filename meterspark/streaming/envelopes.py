@@ -111,11 +111,20 @@ def final_markers(runs: DataFrame, topic: str, partitions: int = 1) -> DataFrame
                         F.lit(partitions).alias("partitions"))))
 
 
+def parsed(data: Column, layout: T.StructType) -> Column:
+    """`data` as the fields of `layout`, with `_bad` set where it is no JSON object or a field has another
+    type (see `is_good`)."""
+    marked = T.StructType([*layout.fields, T.StructField("_bad", T.StringType())])
+    return F.from_json(data, marked, {"columnNameOfCorruptRecord": "_bad"})
+
+
+def is_good(data: Column, fields: Column) -> Column:
+    return F.coalesce(F.startswith(F.ltrim(data), F.lit("{")) & fields["_bad"].isNull(), F.lit(False))
+
+
 def fits(data: Column, layout: T.StructType) -> Column:
     """Whether `data` is a JSON object whose fields have the types that `layout` gives them."""
-    marked = T.StructType([*layout.fields, T.StructField("_bad", T.StringType())])
-    parsed = F.from_json(data, marked, {"columnNameOfCorruptRecord": "_bad"})
-    return F.coalesce(F.startswith(F.ltrim(data), F.lit("{")) & parsed["_bad"].isNull(), F.lit(False))
+    return is_good(data, parsed(data, layout))
 
 
 def _readings_fit(data: Column) -> Column:

@@ -201,3 +201,14 @@ def test_month_request_window(spark):
     start, end = chunks.month_request_window(F.lit("2024-05-17").cast("date"))
     row = spark.range(1).select(start.alias("a"), end.alias("b")).first()
     assert (str(row.a), str(row.b)) == ("2024-05-01", "2024-05-31")
+
+
+def test_chunks_need_a_session_in_utc(spark):
+    import pytest
+    supplies = spark.createDataFrame([("c", None)], "cups string, validDateTo string")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Madrid")
+    try:
+        with pytest.raises(ValueError, match="Europe/Madrid"):
+            chunks.chunk_calendar(supplies, AS_OF)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
