@@ -17,9 +17,9 @@ from meterspark.sources.gazetteer import gazetteer_pattern
 HOURLY = next(s.name for s in SERIES if s.name.endswith("_PT1H"))
 CUTOFF = "2023-06-01~2023-06-30"
 
-STRICT_CALENDAR = t.CALENDAR.replace("  FROM supplies),\ncalendar", """  FROM (
+STRICT_CALENDAR = t.CALENDAR.replace("        FROM supplies)),\ncalendar", """        FROM (
     SELECT cups, CASE WHEN regexp_full_match("validDateTo", '[0-9]{4}/[0-9]{1,2}/[0-9]')
-                      THEN "validDateTo" END AS "validDateTo" FROM supplies)),
+                      THEN "validDateTo" END AS "validDateTo" FROM supplies))),
 calendar""")
 
 
