@@ -158,9 +158,9 @@ def chunk_state_upsert(spark, sf_dir):
 def chunk_state_update(spark, sf_dir):
     """The same in a stored table, of which just the slots of those meters are written again."""
     path, new = shared_dir(spark, "chunk-state"), shared_dir(spark, "chunk-state-new")
-    landing.write_chunk_state(t.stored_state(spark, sf_dir), path)
+    landing.write_chunk_state(t.stored_state(spark, sf_dir), path, slots=32)
     _delivered(spark, sf_dir).write.parquet(new)
-    landing.update_chunk_state(spark, path, landing.read_chunk_state(spark, new))
+    landing.update_chunk_state(spark, path, landing.read_chunk_state(spark, new), slots=32)
     return state_columns(landing.read_chunk_state(spark, path))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -36,11 +37,13 @@ def update_keyed(spark: SparkSession, path: str, new: DataFrame, keys: list[str]
     """Put the rows of `new` into the table, in place of those with the same `keys`; without `replace`,
     just the rows whose keys it does not have yet.
 
-    Just the slots that `new` touches are read and written: their folders are replaced when the job
-    commits, and those of all others keep their files. `by` are the keys that rows are dealt by, all of
-    them unless said otherwise. An update that is repeated leaves the same rows. `new` is read twice
-    (the slots first), so a costly one is better stored before.
+    Just the slots that `new` touches are read and written; the files of all others stay. Their new
+    contents are first written beside the table, so that an update whose driver is lost while folders are
+    replaced is carried on by the next one (or by `recover`) before it reads anything. `by` are the keys that
+    rows are dealt by, all of them unless said otherwise. An update that is repeated leaves the same rows.
+    `new` is read twice (the slots first), so a costly one is better stored before.
     """
+    recover(spark, path, new.schema, slots)
     by = by or keys
     placed = new.withColumn(SLOT, slot(by, slots))
     touched = [r[0] for r in placed.select(SLOT).distinct().collect()]  # at most `slots` numbers
@@ -48,10 +51,30 @@ def update_keyed(spark: SparkSession, path: str, new: DataFrame, keys: list[str]
         return
     rows = read_keyed(spark, path, new.schema).filter(F.col(SLOT).isin(touched))
     sides = (rows, placed.select(rows.columns))
-    _write(upsert(*(sides if replace else sides[::-1]), [SLOT, *keys]), path, "overwrite", slots)
+    _write(upsert(*(sides if replace else sides[::-1]), [SLOT, *keys]), _beside(path), "overwrite", slots, "static")
+    recover(spark, path, new.schema, slots)
+
+
+def recover(spark: SparkSession, path: str, schema: T.StructType, slots: int = SLOTS) -> None:
+    """Put what an update has left beside the table into it, if there is any. Each slot there is whole, so
+    doing so again, or for some of an update's slots alone, does no harm."""
+    try:
+        left = read_keyed(spark, _beside(path), schema)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return
+    if not left.isEmpty():
+        _write(left, path, "overwrite", slots)
+        empty = spark.createDataFrame([], left.schema)
+        _write(empty, _beside(path), "overwrite", 1, "static")
+
+
+def _beside(path: str) -> str:
+    return f"{path.rstrip('/')}_pending"
 
 
-def _write(placed: DataFrame, path: str, mode: str, slots: int) -> None:
+def _write(placed: DataFrame, path: str, mode: str, slots: int, overwrite: str = "dynamic") -> None:
     """A slot's rows meet in one task, which writes its one file; slots are even, as keys are hashed."""
-    (placed.repartition(slots, SLOT).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    (placed.repartition(slots, SLOT).write.mode(mode).option("partitionOverwriteMode", overwrite)
      .partitionBy(SLOT).parquet(path))

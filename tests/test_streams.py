@@ -171,3 +171,30 @@ def test_chunk_state_table(spark, tmp_path):
     assert got.columns == landing.S.CHUNK_STATE.fieldNames()
     assert sorted((r.cups, r.chunk_key, r["values"], r.retries) for r in got.collect()) == [
         ("m", "c1", 4, 5), ("m", "c2", 0, 6), ("n", "c1", 1, 6)]
+
+
+def test_an_update_cut_off_is_carried_on(spark, tmp_path, monkeypatch):
+    """The driver is lost after the new contents were written, when a slot's folder has gone already."""
+    path = str(tmp_path / "table")
+    schema = "k long, v long"
+    keyed.write_keyed(spark.createDataFrame([(i, i) for i in range(200)], schema), path, ["k"], 4)
+    real, calls = keyed._write, []
+
+    def cut_off(placed, to, *rest):
+        calls.append(to)
+        if to == path:
+            raise RuntimeError("lost")
+        real(placed, to, *rest)
+
+    monkeypatch.setattr(keyed, "_write", cut_off)
+    with pytest.raises(RuntimeError, match="lost"):
+        keyed.update_keyed(spark, path, spark.createDataFrame([(3, -3)], schema), ["k"], slots=4)
+    monkeypatch.setattr(keyed, "_write", real)
+    slot = spark.createDataFrame([(3, 0)], schema).select(keyed.slot(["k"], 4)).first()[0]
+    gone = glob.glob(f"{path}/slot={slot}/*.parquet")
+    assert calls[-1] == path and gone
+    for f in gone:
+        os.unlink(f)
+    keyed.update_keyed(spark, path, spark.createDataFrame([(500, 1)], schema), ["k"], slots=4)
+    got = {r.k: r.v for r in spark.read.schema(schema).parquet(path).collect()}
+    assert got == {i: i for i in range(200)} | {3: -3, 500: 1}
