@@ -99,7 +99,7 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
     found = lm_score.score(docs, ~held_out)
     return found.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
-                        "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
+                        "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte", "others_score")
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
