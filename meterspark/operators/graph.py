@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meterspark import vocabulary as V
-from meterspark.functions.skew import last_by, salted_join, upsert
+from meterspark.functions.skew import last_by, salted_join, spread, upsert
 
 RDF_TYPE = V.PREFIXES["rdf"] + "type"
 EDGE = ["src", "type", "dst"]
@@ -62,7 +62,8 @@ def apply_rules(records: DataFrame, rules: tuple, keep: tuple[str, ...] = ()) ->
 
 
 def supply_triples(supplies: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    return apply_rules(supplies, V.SUPPLY_RULES, keep)
+    """Triples of supply records. A record makes some 40 of them, so records are spread before."""
+    return apply_rules(spread(supplies, "cups"), V.SUPPLY_RULES, keep)
 
 
 def sensor_triples(sensors: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

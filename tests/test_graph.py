@@ -239,3 +239,8 @@ def test_a_batch_is_merged_into_the_stored_graph(spark, tmp_path):
         "edges": [("a", "has", "b"), ("c", "has", "b")]}
     harmonize.save_graph(spark, spark.createDataFrame([], schema), path, staging, slots=4)
     assert harmonize.read_graph(spark, path)["edges"].count() == 2
+
+
+def test_records_of_one_task_are_spread_before_they_make_triples(spark):
+    records = record(spark, cups="ES1").coalesce(1)
+    assert graph.supply_triples(records).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
