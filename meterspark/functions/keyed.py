@@ -11,6 +11,8 @@ from meterspark.functions.skew import upsert
 #: Slots of a table; the number is part of its layout. A slot should hold some 100 MB at most.
 SLOTS = 256
 SLOT = "slot"
+#: A task of an update writes about so many rows; a larger slot is written by several.
+WRITE_ROWS = 1 << 18
 
 
 def slot(keys: list[str], slots: int = SLOTS) -> Column:
@@ -41,17 +43,21 @@ def update_keyed(spark: SparkSession, path: str, new: DataFrame, keys: list[str]
     contents are first written beside the table, so that an update whose driver is lost while folders are
     replaced is carried on by the next one (or by `recover`) before it reads anything. `by` are the keys that
     rows are dealt by, all of them unless said otherwise. An update that is repeated leaves the same rows.
-    `new` is read twice (the slots first), so a costly one is better stored before.
+    `new` is read twice (the slots first), so a costly one is better stored before. Rows of both sides are
+    counted by slot, so that a large slot is written by several tasks.
     """
     recover(spark, path, new.schema, slots)
     by = by or keys
     placed = new.withColumn(SLOT, slot(by, slots))
-    touched = [r[0] for r in placed.select(SLOT).distinct().collect()]  # at most `slots` numbers
-    if not touched:
+    added = _sizes(placed)
+    if not added:
         return
-    rows = read_keyed(spark, path, new.schema).filter(F.col(SLOT).isin(touched))
+    rows = read_keyed(spark, path, new.schema).filter(F.col(SLOT).isin(list(added)))
     sides = (rows, placed.select(rows.columns))
-    _write(upsert(*(sides if replace else sides[::-1]), [SLOT, *keys]), _beside(path), "overwrite", slots, "static")
+    held = _sizes(rows)
+    largest = max(n + held.get(s, 0) for s, n in added.items())
+    _write(upsert(*(sides if replace else sides[::-1]), [SLOT, *keys]), _beside(path), "overwrite", slots, "static",
+           _parts(largest))
     recover(spark, path, new.schema, slots)
 
 
@@ -64,8 +70,9 @@ def recover(spark: SparkSession, path: str, schema: T.StructType, slots: int = S
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return
-    if not left.isEmpty():
-        _write(left, path, "overwrite", slots)
+    held = _sizes(left)
+    if held:
+        _write(left, path, "overwrite", slots, "dynamic", _parts(max(held.values())))
         empty = spark.createDataFrame([], left.schema)
         _write(empty, _beside(path), "overwrite", 1, "static")
 
@@ -74,7 +81,18 @@ def _beside(path: str) -> str:
     return f"{path.rstrip('/')}_pending"
 
 
-def _write(placed: DataFrame, path: str, mode: str, slots: int, overwrite: str = "dynamic") -> None:
-    """A slot's rows meet in one task, which writes its one file; slots are even, as keys are hashed."""
-    (placed.repartition(slots, SLOT).write.mode(mode).option("partitionOverwriteMode", overwrite)
+def _sizes(placed: DataFrame) -> dict[int, int]:
+    """Rows by slot: at most as many numbers as there are slots."""
+    return dict(placed.groupBy(SLOT).count().collect())
+
+
+def _parts(rows: int) -> int:
+    return -(-rows // WRITE_ROWS)
+
+
+def _write(placed: DataFrame, path: str, mode: str, slots: int, overwrite: str = "dynamic", parts: int = 1) -> None:
+    """A slot's rows meet in one task, which writes its one file, or in `parts` tasks by a hash of the whole
+    row; slots are even, as keys are hashed."""
+    part = [] if parts == 1 else [F.pmod(F.xxhash64(*placed.columns), F.lit(parts))]
+    (placed.repartition(slots * parts, SLOT, *part).write.mode(mode).option("partitionOverwriteMode", overwrite)
      .partitionBy(SLOT).parquet(path))
