@@ -230,3 +230,12 @@ def test_folded_ranges_are_those_of_all_batches(spark, tmp_path):
         got = jobs.read_coverage(spark, log, folded, upto).collect()
         assert [(r.first_ts, r.last_ts) for r in got] == [want]
     assert spark.read.parquet(f"{folded}/upto=1").first().asDict()["first_ts"] == 3
+
+
+def test_tracked_chunks_keep_their_number_of_tasks(spark):
+    """Adaptive execution does not fold them by the size of the supplies they are made of."""
+    subs = spark.createDataFrame([(1, "A", "u", None, None, None, ["t"], [["cups", "timestamp"]])], SUBSCRIPTION)
+    supplies = spark.createDataFrame([(1, "u", "", "c1", *(None,) * (len(LANDED_SUPPLY) - 4))], LANDED_SUPPLY)
+    state = gather.plan_requests(subs, supplies, spark.createDataFrame([], CHUNK_STATE), AS_OF).state
+    assert "REPARTITION_BY_NUM" in state._jdf.queryExecution().executedPlan().toString()
+    assert state.count() == 52
