@@ -28,7 +28,7 @@ SELECT cups, data_type, chunk_key, strftime(date_end, '%Y-%m-%d %H:%M:%S') AS da
   CAST(total AS BIGINT) AS total FROM calendar""")
 def chunk_calendar_strict(spark, sf_dir):
     """Only ends whose day has one digit are read, so other supplies that ended stay active."""
-    return chunks.chunk_calendar(t.supplies(spark, sf_dir), AS_OF, strict_valid_to=True).select(
+    return chunks.chunk_calendar(chunks.by_meter(t.supplies(spark, sf_dir)), AS_OF, strict_valid_to=True).select(
         "cups", "data_type", "chunk_key", stamp("date_end").alias("date_end"), "total")
 
 

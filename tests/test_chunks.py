@@ -3,6 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from meterspark.catalog import tables
 from meterspark.functions import clock
 from meterspark.operators import chunks
 from meterspark.schemas import CHUNK_STATE, SERIES
@@ -212,3 +213,12 @@ def test_chunks_need_a_session_in_utc(spark):
             chunks.chunk_calendar(supplies, AS_OF)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_supplies_of_one_row_group_make_chunks_in_several_tasks(spark, tmp_path):
+    spark.createDataFrame([(i, f"c{i}", 1, 100.0 * i, "BUILDING") for i in range(20)],
+                          "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+                          ).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    several = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for made in (tables.calendar, tables.stored_state):
+        assert made(spark, str(tmp_path)).rdd.getNumPartitions() == several
