@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from meterspark.functions import keyed
-from meterspark.functions.skew import last_by
+from meterspark.functions.skew import last_by, spread
 from meterspark.operators import graph, timeseries
 from meterspark.operators.readings import audit_counters
 from meterspark.streaming import envelopes as E
@@ -51,7 +51,9 @@ def start_harmonizer(messages: DataFrame, out: str, checkpoint: str, source: str
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        decoded = E.decode_envelopes(batch, static_topic).persist(StorageLevel.MEMORY_AND_DISK)
+        # A landed file may be one row group, which one task would take apart.
+        messages = spread(batch, "topic", "key", "value")
+        decoded = E.decode_envelopes(messages, static_topic).persist(StorageLevel.MEMORY_AND_DISK)
         readings = E.message_readings(E.timeseries_select(decoded, source))
         timeseries.write_points(timeseries.harmonize_timeseries(readings),
                                 f"{out}/points/batch_id={batch_id}", mode="overwrite")

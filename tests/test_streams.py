@@ -198,3 +198,29 @@ def test_an_update_cut_off_is_carried_on(spark, tmp_path, monkeypatch):
     keyed.update_keyed(spark, path, spark.createDataFrame([(500, 1)], schema), ["k"], slots=4)
     got = {r.k: r.v for r in spark.read.schema(schema).parquet(path).collect()}
     assert got == {i: i for i in range(200)} | {3: -3, 500: 1}
+
+
+def test_a_large_slot_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "table"), "k long, v long"
+    keyed.write_keyed(spark.createDataFrame([(i, i) for i in range(400)], schema), path, ["k"], 2)
+    monkeypatch.setattr(keyed, "WRITE_ROWS", 20)
+    keyed.update_keyed(spark, path, spark.createDataFrame([(i, -i) for i in range(200, 600)], schema), ["k"], slots=2)
+    assert len(files(path)) > 6
+    got = spark.read.schema(schema).parquet(path).collect()
+    assert sorted((r.k, r.v) for r in got) == [(i, i if i < 200 else -i) for i in range(600)]
+
+
+def test_messages_of_one_file_are_taken_apart_by_several_tasks(spark, tmp_path):
+    sent = spark.createDataFrame([(STATIC, f"{i}", '{"data": {"cups": "%d"}, "kwargs": {}}' % i) for i in range(50)],
+                                 "topic string, key string, value string")
+    sent.coalesce(1).write.parquet(str(tmp_path / "in"))
+    seen = []
+
+    def on_supplies(records):
+        seen.append(records.rdd.getNumPartitions())
+        return records.select("cups")
+
+    jobs.start_harmonizer(jobs.file_messages(spark, str(tmp_path / "in")), str(tmp_path / "out"),
+                          str(tmp_path / "state"), "alpha", STATIC, on_supplies=on_supplies, trigger=NOW).awaitTermination()
+    assert seen == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
+    assert spark.read.parquet(str(tmp_path / "out/triples")).distinct().count() == 50
