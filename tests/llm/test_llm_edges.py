@@ -320,3 +320,20 @@ def test_language_sample_is_bounded_in_rows(spark, monkeypatch):
         spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6), F.lit(True))
     assert langs == ["de", "en"] and weights is not None
     assert [int(n) for n in seen[0]] == [40 * 5, 40 * 5]
+
+
+def test_mixer_learns_from_every_training_unit(spark):
+    """Also from units of any length, and alike however ranges lie in tasks."""
+    units = [b"\x00" + b"ab" * 200 + b" "] + [b"\x03w%d " % i for i in range(300)]
+    tables = np.zeros((context_mixing.ORDERS, 2 * context_mixing.SLOTS))
+    often = np.arange(1, len(units) + 1).astype(np.uint64)
+    context_mixing.count(units, often, tables)
+    row = (0, b"".join(units), blocks.pack(often))
+    one = spark.createDataFrame([row], "_range int, units binary, trained binary")
+    got = lm_score._mixer(one, tables)
+    want = context_mixing.learn(units, often.astype(float), tables)
+    for name in ("by_place", "by_seen", "cells"):
+        assert np.allclose(getattr(got, name), getattr(want, name), atol=1e-3)
+    several = spark.createDataFrame([(i, *row[1:]) for i in range(5)], one.schema)
+    folded, spread = (lm_score._mixer(several.repartition(n), tables) for n in (1, 4))
+    assert (folded.by_place == spread.by_place).all() and (folded.cells == spread.cells).all()
