@@ -9,6 +9,9 @@ others; a stage's docstring says what it makes of them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -26,6 +29,17 @@ LEAST_MARGIN = 0.05
 FILTER_BITS = 1 << 27
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def configured(stage: Stage) -> Stage:
+    """`stage` under the settings that operators rely on, whoever calls it."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(configure(spark), docs, sf_dir)
+    return run_stage
+
+
 def aside(docs: DataFrame) -> DataFrame:
     """`docs` with the columns that no stage knows under numbered names."""
     return docs.toDF(*[c if c in READ else f"along_{i}" for i, c in enumerate(docs.columns)])
@@ -36,6 +50,7 @@ def as_before(found: DataFrame, docs: DataFrame) -> DataFrame:
     return found.select(*aside(docs).columns).toDF(*docs.columns)
 
 
+@configured
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters (or text) go, and those whose likeliest language is hardly likelier
     than chance. Where no document has a language there is nothing to tell by, and all stay."""
@@ -50,6 +65,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return as_before(found, docs)
 
 
+@configured
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of the rows that links join, one stays: that with the smallest id (none comes last), then the
     least text, then the least of its other columns; rows alike in all columns are interchangeable.
@@ -92,6 +108,7 @@ def _is_set(bits: Column, position: Column) -> Column:
     return F.getbit(byte, (position % 8).cast("int")) == 1
 
 
+@configured
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Live-looking credentials are masked; n_chars follows the text."""
     found = secret_scan.masked(aside(docs))
@@ -100,11 +117,13 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return as_before(found, docs)
 
 
+@configured
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Small sources come up to twice; every document stays at least once."""
     return as_before(mixing.mixture(aside(docs), mixing.Target(repeats=2.0)), docs)
 
 
+@configured
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, and whether they decode to it. Columns that came along stay, but for those named
     like what is made here."""

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from meterspark import session
 from test_llm_edges import empty, odd  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
@@ -58,3 +59,19 @@ def test_the_filter_never_misses_a_row(spark):
         corpus_pipeline._is_set(F.col("_bits"), F.bitmap_bit_position("_bit")))
     found = {r.id for r in hit.collect()}
     assert found >= set(range(5000)) and len(found) < 5020
+
+
+def test_stages_bound_what_goes_to_python(spark):
+    """Whoever calls a stage: without the settings a batch was up to 64 MB, held several times by each task."""
+    bounded = session.DEFAULTS
+    before = {key: spark.conf.get(key, None) for key in bounded}
+    docs = spark.createDataFrame([(1, "one two", "en", "a")], "doc_id long, text string, lang string, source string")
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            for key in bounded:
+                spark.conf.unset(key)
+            stage(spark, docs, SF)
+            assert {key: spark.conf.get(key, None) for key in bounded} == bounded
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
