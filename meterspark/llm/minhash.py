@@ -35,7 +35,7 @@ from xxhash import xxh3_64_intdigest, xxh3_128_digest
 from meterspark.llm import blocks
 from meterspark.llm.shingles import rolling, whole_windows, word_codes, words_of
 from meterspark.llm.stars import star_components
-from meterspark.llm.storage import kept
+from meterspark.llm.storage import kept, sized
 
 HASHES = 128
 
@@ -232,9 +232,10 @@ def _parts(size: Column, each: int) -> Column:
     return F.ceil(size / F.lit(each)).cast("int").alias("parts")
 
 
-def agreeing(nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def agreeing(nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pairs (x, y) of `nodes` (node, signature) whose signatures agree as those of linked pairs do: each
-    member of a bucket with its hub, and such pairs as connect the others."""
+    member of a bucket with its hub, and such pairs as connect the others. The signatures of all nodes that
+    share a bucket: most share none, so what follows is read from these."""
     bands, rows = banding(percent)
     least = least_agreement(percent)
     band = F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band")
@@ -247,33 +248,36 @@ def agreeing(nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         "bucket", F.col("h.node").alias("hub"))
     to_hub = kept(met.join(hubs, "bucket").filter("node <> hub").select(
         "bucket", "members", F.col("node").alias("x"), F.col("hub").alias("y")))
-    signatures = nodes.select("node", "signature")
+    signatures = sized(nodes.select("node", "signature").join(met.select("node").distinct(), "node", "left_semi"),
+                       "signatures")
     near = kept(_with(to_hub.select("x", "y").distinct(), signatures, "signature")
                 .mapInArrow(_agreeing(least), PAIRS))
     unlike = to_hub.filter("members > 2").join(near, ["x", "y"], "left_anti").groupBy("bucket").agg(
         _parts(F.max("members"), PART_ROWS))
     mixed = _in_parts(met.select("bucket", "node"), "bucket", unlike).join(signatures, "node")
-    return near, mixed.groupBy("bucket", "low", "high").applyInArrow(_alike(least), PAIRS)
+    return near, mixed.groupBy("bucket", "low", "high").applyInArrow(_alike(least), PAIRS), signatures
 
 
 def links(docs: DataFrame, nodes: DataFrame, words: int, percent: int, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """Links (a, b) between `nodes` (node, digest, doc_id, n, signature) that connect them as all links do."""
-    near, others = agreeing(nodes, percent)
+    near, others, signatures = agreeing(nodes, percent)
     families = kept(star_components(near.unionByName(others).select(
         F.col("x").alias("a"), F.col("y").alias("b"))).withColumnRenamed("label", "family"))
     grams = full_sets(docs, nodes.join(families, "node", "left_semi"), words, id_col, text_col)
     first = kept(_ends(_with(near, grams, "grams").select("x", "y", "grams_x", "grams_y").mapInArrow(
         _linked(percent), PAIRS)))
 
-    told = kept(families.join(star_components(first), "node", "left").join(nodes.select("node", "n"), "node")
+    joined = star_components(first)
+    told = kept(families.join(joined, "node", "left").join(nodes.select("node", "n"), "node")
                 .select("family", "node", "n", F.coalesce("label", "node").alias("label")))
     several = told.groupBy("family").agg(F.min("label").alias("l"), F.max("label").alias("h"), _parts(
         F.sum("n"), PART_GRAMS)).filter("l < h").select("family", "parts")
     rest = (_in_parts(told, "family", several).join(grams.select("node", "grams"), "node")
-            .join(nodes.select("node", "signature"), "node")
+            .join(signatures, "node")
             .groupBy("family", "low", "high").applyInArrow(_bridges(percent, least_agreement(percent)), PAIRS))
-    return first.unionByName(_ends(rest))
+    # The stars of the first links connect what those do, so labels start from them and not from the links.
+    return joined.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(_ends(rest))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:

@@ -102,3 +102,25 @@ def test_stars(spark, links):
             low[max(a, b)] = min(a, b)
     got = stars.star_components(spark.createDataFrame(links, "a long, b long")).collect()
     assert sorted(tuple(r) for r in got) == sorted((x, find(x)) for x in low)
+
+
+def test_signatures_of_lone_nodes_go_no_further(spark):
+    rng = np.random.default_rng(5)
+    rows = [rng.integers(0, 1 << 32, minhash.HASHES).astype("<u4") for _ in range(30)]
+    rows += [rows[7].copy(), rows[8].copy()]
+    nodes = spark.createDataFrame([(i, r.tobytes()) for i, r in enumerate(rows)], "node long, signature binary")
+    near, others, signatures = minhash.agreeing(nodes, 85)
+    assert sorted(r.node for r in signatures.collect()) == [7, 8, 30, 31]
+    assert sorted(tuple(sorted(r)) for r in near.unionByName(others).collect()) == [(7, 30), (8, 31)]
+
+
+def test_links_of_a_group_are_its_star(spark):
+    """Labels start from stars that are already found, and not from all pairs of members and hubs."""
+    rows = [(i, f"some words that all of these texts have in common but one w{i % 3} and more of them " * 3)
+            for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    signed = minhash.signed(docs, 3).filter("n > 0").dropDuplicates(["digest"])
+    nodes = signed.withColumn("node", signed["doc_id"])
+    got = {tuple(r) for r in minhash.links(docs, nodes, 3, 50).filter("a <> b").collect()}
+    members = sorted({x for e in got for x in e})
+    assert got == {(x, members[0]) for x in members[1:]} and len(members) == 3
