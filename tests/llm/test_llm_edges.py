@@ -337,3 +337,23 @@ def test_mixer_learns_from_every_training_unit(spark):
     several = spark.createDataFrame([(i, *row[1:]) for i in range(5)], one.schema)
     folded, spread = (lm_score._mixer(several.repartition(n), tables) for n in (1, 4))
     assert (folded.by_place == spread.by_place).all() and (folded.cells == spread.cells).all()
+
+
+def test_left_out_looks_up_both_answers_of_a_slot():
+    rng = np.random.default_rng(3)
+    tables = rng.integers(0, 4, (context_mixing.ORDERS, 64)).astype(np.float32)
+    got = context_mixing.left_out(tables)
+    for order in range(context_mixing.ORDERS):
+        for slot in range(32):
+            zeros, ones = tables[order, 2 * slot:2 * slot + 2]
+            want = [context_mixing.stretch(np.maximum(zeros - 1, 0), ones),
+                    context_mixing.stretch(zeros, np.maximum(ones - 1, 0))]
+            assert got[order, 2 * slot:2 * slot + 2].tolist() == [float(w) for w in want]
+
+
+def test_leads_of_chunks():
+    chunks = [b"a ", b"b.\n", b"c. ", b"\r", b"?", b"! ", b"d\xff", b".\t"]
+    whole, lengths = b"".join(chunks), np.array([len(c) for c in chunks])
+    got = lm_score._leads(whole, np.cumsum(lengths), lengths)
+    line, stop, word = context_mixing.LINE, context_mixing.STOP, context_mixing.WORD
+    assert got.tolist() == [word, line, stop, line, word, stop, word, stop]
