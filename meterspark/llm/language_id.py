@@ -3,8 +3,8 @@
 The network reads a word's bytes between two spaces in both directions and labels every position
 with a distribution over languages; a document's distribution is the mean over its letter positions.
 State starts anew at white space, so a word's labels depend on the word alone and each task runs the
-network once per distinct word of its batches (words longer than `PIECE` bytes in pieces). Texts are
-read whole and never shuffled.
+network once per distinct word of its batches (words longer than `PIECE` bytes in pieces), and each way
+once for what words of a batch begin or end with alike. Texts are read whole and never shuffled.
 
 Training is numpy backpropagation through time on a bounded sample: at most `DOCS_PER_LANG`
 documents per language, those with the smallest hash of their id, and at most `WORDS_PER_DOC` words
@@ -18,6 +18,8 @@ part.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,10 @@ PIECE = 30
 BATCH = 512
 EPOCHS = 3
 RATE = 0.01
-TABLE_WORDS = 1 << 17
+#: A task keeps so many words' sums, or so many numbers if that is more words.
+TABLE_WORDS, TABLE_CELLS = 1 << 17, 1 << 21
+#: So many words are labelled at once.
+LABELLED = 1 << 14
 
 _LETTER = regex.compile(r"\p{L}")
 _LETTER_BYTES = np.zeros(256, bool)
@@ -43,29 +48,69 @@ _LETTER_BYTES[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 Weights = dict[str, np.ndarray]
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
-
-
-def _run(x: np.ndarray, p: Weights, way: str, keep: bool):
+def _cell(p: Weights, way: str):
+    """One step of one direction: from rows' bytes and states, the gates, what is proposed, and new states."""
+    # Each gate has arrays of its own, which lie in one piece. Its sigmoid is 0.5 * tanh(0.5 * x) + 0.5, whose
+    # inner half is taken of the weights: halves are exact.
+    half, parts = np.float32(0.5), (slice(0, HIDDEN), slice(HIDDEN, 2 * HIDDEN), slice(2 * HIDDEN, None))
+    *of_gates, of_new = (np.ascontiguousarray(p["x" + way][:, own]) for own in parts)
+    gates = [(t * half, np.ascontiguousarray(p["g" + way][:, own]) * half) for t, own in zip(of_gates, parts)]
+    inner = p["c" + way]
+
+    def step(at: np.ndarray, h: np.ndarray, out: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        z, r = ((h @ weights) + table.take(at, 0) for table, weights in gates)
+        for gate in (z, r):
+            np.tanh(gate, gate)
+            gate *= half
+            gate += half
+        c = (r * h) @ inner
+        c += of_new.take(at, 0)
+        np.tanh(c, c)
+        np.subtract(c, h, out)
+        out *= z
+        out += h
+        return z, r, c
+    return step
+
+
+def _run(x: np.ndarray, p: Weights, way: str):
     """States (time, row, hidden) of one direction over the byte rows `x`; what backward needs."""
     n, steps = x.shape
     h = np.zeros((n, HIDDEN), np.float32)
-    states, saved = np.empty((steps, n, HIDDEN), np.float32), []
-    order = range(steps) if way == "f" else range(steps - 1, -1, -1)
-    table, gates, inner = p["x" + way], p["g" + way], p["c" + way]
-    for t in order:
-        given = table[x[:, t]]
-        zr = _sigmoid(given[:, :2 * HIDDEN] + h @ gates)
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        c = np.tanh(given[:, 2 * HIDDEN:] + (r * h) @ inner)
-        if keep:
-            saved.append((t, h, z, r, c))
-        h = h + z * (c - h)
-        states[t] = h
+    states, saved, step = np.empty((steps, n, HIDDEN), np.float32), [], _cell(p, way)
+    for t in range(steps) if way == "f" else range(steps - 1, -1, -1):
+        saved.append((t, h, *step(x[:, t], h, states[t])))
+        h = states[t]
     return states, saved
 
 
+def _shared(raw: np.ndarray, lengths: np.ndarray, p: Weights, way: str) -> tuple[np.ndarray, np.ndarray]:
+    """States of one direction over strings laid end to end, read from the first byte on, and which of them
+    each byte has. What strings begin with alike, as neighbours in order, is run once."""
+    n, steps = len(lengths), max(9, int(lengths.max()))
+    inside = np.arange(steps) < lengths[:, None]
+    x = np.zeros((n, steps), np.uint8)
+    x[inside] = raw
+    # The first byte is a space nearly always.
+    order = np.argsort(np.ascontiguousarray(x[:, 1:9]).view(">u8").ravel())
+    x, held = x[order], inside[order]
+    new = np.ones((n, steps), bool)
+    new[1:] = np.logical_or.accumulate((x[1:] != x[:-1]) | ~held[:-1], axis=1)
+    new &= held
+    new = np.ascontiguousarray(new.T)
+    place = np.cumsum(new, dtype=np.int32).reshape(steps, n) - 1
+    states, step = np.empty((int(place[-1, -1]) + 1, HIDDEN), np.float32), _cell(p, way)
+    done = 0
+    for t, starts in enumerate(new):
+        rows = np.flatnonzero(starts)
+        h = states.take(place[t - 1].take(rows), 0) if t else np.zeros((len(rows), HIDDEN), np.float32)
+        step(x[:, t].take(rows), h, states[done:done + len(rows)])
+        done += len(rows)
+    of_string = np.empty((n, steps), np.int32)
+    of_string[order] = place.T
+    return states, of_string[inside]
+
+
 def _back(d_states: np.ndarray, x: np.ndarray, p: Weights, way: str, saved: list, g: Weights) -> None:
     """Backpropagation through time of one direction."""
     gates, inner = p["g" + way], p["c" + way]
@@ -83,13 +128,33 @@ def _back(d_states: np.ndarray, x: np.ndarray, p: Weights, way: str, saved: list
         dh = dh * (1 - z) + drh * r + dzr @ gates.T
 
 
-def label(x: np.ndarray, p: Weights, keep: bool = False):
-    """Probabilities (time, row, language) of every position."""
-    forward, saved_f = _run(x, p, "f", keep)
-    backward, saved_b = _run(x, p, "b", keep)
-    both = np.concatenate([forward, backward], 2)
+def _probabilities(both: np.ndarray, p: Weights) -> np.ndarray:
     e = np.exp(np.clip(both @ p["out"] + p["bias"], -40, 40))
-    return e / e.sum(2, keepdims=True), both, saved_f, saved_b
+    return e / e.sum(-1, keepdims=True)
+
+
+def label(x: np.ndarray, p: Weights):
+    """Probabilities (time, row, language) of every position, and what backward needs."""
+    forward, saved_f = _run(x, p, "f")
+    backward, saved_b = _run(x, p, "b")
+    both = np.concatenate([forward, backward], 2)
+    return _probabilities(both, p), both, saved_f, saved_b
+
+
+def letter_sums(strings: list[bytes], p: Weights) -> np.ndarray:
+    """Per string, the sum over its letter positions of the probabilities of each language."""
+    raw = np.frombuffer(b"".join(strings), np.uint8)
+    lengths = np.fromiter(map(len, strings), np.int64, len(strings))
+    forward, at = _shared(raw, lengths, p, "f")
+    backward, back = _shared(raw[::-1], lengths[::-1], p, "b")
+    both = np.concatenate([forward.take(at, 0), backward.take(back[::-1], 0)], 1)
+    probs = _probabilities(both, p) * _LETTER_BYTES[raw][:, None]
+    sums, first = np.zeros((len(strings), probs.shape[1]), np.float32), np.cumsum(lengths) - lengths
+    live = np.arange(len(strings))
+    for t in range(int(lengths.max())):
+        live = live[lengths[live] > t]
+        sums[live] += probs.take(first[live] + t, 0)
+    return sums
 
 
 def pieces(word: bytes) -> list[bytes]:
@@ -122,7 +187,7 @@ def fit(words: list[bytes], labels: np.ndarray, langs: int, seed: int = 0) -> We
         for b in rng.permutation(len(batches)).tolist():
             rows = batches[b]
             x = np.frombuffer(b"".join(words[i] for i in rows), np.uint8).reshape(len(rows), -1)
-            probs, both, saved_f, saved_b = label(x, p, keep=True)
+            probs, both, saved_f, saved_b = label(x, p)
             d = probs
             d[:, np.arange(len(rows)), labels[rows]] -= 1
             d /= x.size
@@ -202,39 +267,32 @@ class WordTable:
         self.sums = np.zeros((0, self.langs + 1))
 
     def add(self, words: dict[bytes, None]) -> None:
-        if len(self.place) > TABLE_WORDS:
+        if len(self.place) > max(TABLE_WORDS, TABLE_CELLS // (self.langs + 1)):
             self.clear()
         new = [w for w in words if w not in self.place]
         known = len(self.place)
         self.place.update(zip(new, range(known, known + len(new))))
         sums = np.zeros((len(new), self.langs + 1))
-        by_length: dict[int, list[tuple[int, bytes]]] = {}
-        for i, w in enumerate(new):
-            for piece in pieces(w):
-                by_length.setdefault(len(piece), []).append((i, piece))
-        for rows in by_length.values():
-            for a in range(0, len(rows), 4096):
-                part = rows[a:a + 4096]
-                x = np.frombuffer(b"".join(piece for _, piece in part), np.uint8).reshape(len(part), -1)
-                letters = _LETTER_BYTES[x]
-                probs = label(x, self.weights)[0]
-                at = [i for i, _ in part]
-                np.add.at(sums[:, :-1], at, np.einsum("tnl,nt->nl", probs, letters.astype(np.float32)))
-                np.add.at(sums[:, -1], at, letters.sum(1))
+        cut = [pieces(w) for w in new]
+        strings = [piece for own in cut for piece in own]
+        at = np.repeat(np.arange(len(new)), np.fromiter(map(len, cut), np.int64, len(cut)))
+        for a in range(0, len(strings), LABELLED):
+            part = strings[a:a + LABELLED]
+            np.add.at(sums[:, :-1], at[a:a + LABELLED], letter_sums(part, self.weights))
+        letters = _LETTER_BYTES[np.frombuffer(b"".join(new), np.uint8)]
+        if new:
+            sums[:, -1] = np.add.reduceat(letters, np.append(0, np.cumsum([*map(len, new)])[:-1]), dtype=np.int64)
         self.sums = np.concatenate([self.sums, sums])
 
 
 def _predicted(texts: list[str | None], table: WordTable) -> np.ndarray:
     """Probabilities per text; zeros where there is no letter."""
     split = [t.encode().split() if t and _LETTER.search(t) else [] for t in texts]
-    distinct: dict[bytes, None] = {}
-    for words in split:
-        distinct.update(dict.fromkeys(words))
-    table.add(distinct)
+    table.add(dict.fromkeys(chain.from_iterable(split)))
     place, out = table.place, np.zeros((len(texts), table.langs))
     for i, words in enumerate(split):
         if words:
-            total = table.sums[[place[w] for w in words]].sum(0)
+            total = table.sums.take(itemgetter(*words, words[0])(place)[:-1], 0).sum(0)
             # A text whose only letters are beyond the letter bytes has none counted.
             out[i] = total[:-1] / total[-1] if total[-1] else 1 / table.langs
     return out

@@ -185,6 +185,32 @@ def test_language_sample_is_that_of_one_sort(spark, monkeypatch):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_language_id_shares_beginnings_and_ends():
+    words = [b"reading", b"reader", b"readers", b"lead", b"x", b"a\0b", b"a", b"\0", b"w" * 95, "z\u00e4hler".encode()]
+    cut = [piece for w in words for piece in language_id.pieces(w)]
+    weights = language_id.fit(cut, np.arange(len(cut)) % 3, 3)
+    alone = []
+    for piece in cut:
+        x = np.frombuffer(piece, np.uint8)[None]
+        alone.append((language_id.label(x, weights)[0][:, 0] * language_id._LETTER_BYTES[x[0]][:, None]).sum(0))
+    np.testing.assert_allclose(language_id.letter_sums(cut, weights), alone, rtol=1e-5, atol=1e-6)
+    raw = np.frombuffer(b"".join(cut[:3]), np.uint8)
+    states, of = language_id._shared(raw, np.array([*map(len, cut[:3])]), weights, "f")
+    # " read" thrice, "er" twice; "ing ", " " and "s " once.
+    assert len(raw) == 26 and len(states) == 5 + 2 + 4 + 1 + 2 and len(of) == 26
+
+
+def test_language_id_labels_words_once(monkeypatch):
+    weights = language_id.fit([b" a ", b" b "], np.array([0, 1]), 2)
+    labelled, real = [], language_id.letter_sums
+    monkeypatch.setattr(language_id, "letter_sums", lambda strings, p: labelled.extend(strings) or real(strings, p))
+    table = language_id.WordTable(weights, 2)
+    texts = [" ".join(f"w{i}" for i in range(150_000)), "w1 w2 w1"]
+    language_id._predicted(texts[:1], table)
+    language_id._predicted(texts[1:], table)
+    assert len(labelled) == 150_000
+
+
 def test_language_id(odd, empty):
     langs, weights = language_id.train(odd, F.lit(True))
     assert langs == ["de", "en", "fr"]
