@@ -82,6 +82,38 @@ def test_components_of_a_long_chain(spark):
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
 
 
+def test_units_share_equal_beginnings():
+    cm, rng = context_mixing, np.random.default_rng(0)
+    words = [b"read ", b"reads ", b"reader ", b"reader\xff", b"a\0 ", b"a ", b"a\0\0 ", b" ", b"x" * 60 + b" ", b"x" * 59 + b"y "]
+    units = [bytes((lead,)) + w for lead in (cm.START, cm.WORD) for w in words] + [b"\3read "]
+    often = rng.integers(1, 9, len(units)).astype(np.float64)
+    tables, alone = (np.zeros((cm.ORDERS, 2 * cm.SLOTS)) for _ in range(2))
+    cm.count(units, often, tables)
+    for unit, n in zip(units, often):
+        cm.count([unit], np.array([n]), alone)
+    assert np.array_equal(tables, alone)
+    without = cm.left_out(tables.astype(np.float32))
+    mixer = cm.learn(units, often, tables)
+    assert np.array_equal(cm.happenings(mixer, units, often, without), sum(
+        cm.happenings(mixer, [u], np.array([n]), without) for u, n in zip(units, often)))
+    table = cm.stretch(tables[:, ::2], tables[:, 1::2])
+    assert np.array_equal(cm.log10_of(units, table, mixer), np.concatenate([cm.log10_of([u], table, mixer) for u in units]))
+    shared = cm.Shared.among([b"\3reads ", b"\3x ", b"\3reader ", b"\3read "])
+    # "read" once, then "s ", "er " and " "; "x ".
+    assert len(shared.of) == 6 + 2 + 7 + 5 and len(shared.own) == 4 + 2 + 3 + 1 + 2
+    assert bytes(shared.own[shared.of]) == b"reads x reader read "
+
+
+def test_order_of():
+    rng = np.random.default_rng(0)
+    top = np.uint64(0xABC) << np.uint64(52)
+    for keys in ([], [5], [7, 7, 7], rng.integers(0, 9, 1000), rng.integers(0, 1 << 63, 1000), top + np.uint64(1 << 51)
+                 * rng.integers(0, 2, 999).astype(np.uint64) + rng.integers(0, 3, 999).astype(np.uint64)):
+        keys = np.array(keys, np.uint64)
+        order = blocks.order_of(keys)
+        assert np.array_equal(keys[order], np.sort(keys)) and np.array_equal(np.sort(order), np.arange(len(keys)))
+
+
 def test_lm_score(odd, empty):
     got = lm_score.score(odd, F.col("doc_id") % 2 == 0).collect()
     assert len(got) == odd.count()
