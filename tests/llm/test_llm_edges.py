@@ -3,6 +3,7 @@
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,6 +115,53 @@ def test_order_of():
         assert np.array_equal(keys[order], np.sort(keys)) and np.array_equal(np.sort(order), np.arange(len(keys)))
 
 
+def test_ranked_keys():
+    rng = np.random.default_rng(1)
+    low = np.uint64((1 << 25) - 1)
+    for keys in ([], [5], [7, 7, 7], [0, 1 << 63], rng.integers(0, 1 << 63, 1000), rng.integers(0, 50, 999) << 58,
+                 rng.integers(0, 1 << 63, 5000).astype(np.uint64) & ~low,
+                 (np.uint64(0xABC) << np.uint64(52)) + (rng.integers(0, 9, 999).astype(np.uint64) << np.uint64(30))):
+        keys = np.array(keys, np.uint64)
+        order, ranked = blocks.ranked(keys)
+        assert np.array_equal(order, np.argsort(keys, kind="stable")) and np.array_equal(ranked, keys[order])
+
+
+def test_units_in_one_piece():
+    cm, rng = context_mixing, np.random.default_rng(2)
+    words = [b"a\0", b"a", b"a\0\0", b"", b"\0", b"Ab", b"aB", b"x" * 70, b"x" * 70 + b"y", b"four-score", b"four-scorf"]
+    listed = [bytes((lead,)) + w + end for lead in range(4) for w in words for end in (b" ", b"\n", b"\xff")]
+    eights = rng.integers(0, 3, (2000, 2)).astype(np.uint64) << rng.integers(0, 63, (2000, 2)).astype(np.uint64)
+    assert np.array_equal(cm._order(eights), np.lexsort((eights[:, 1], eights[:, 0])))
+    # A range as it was: units in the order they are met, counted one by one.
+    sent = {block: [listed[i] for i in rng.permutation(len(listed))[:n]] for block, n in ((3, 60), (0, 90), (2, 1))}
+    trained = {block: rng.integers(0, 3, len(units)).astype(np.uint64) for block, units in sent.items()}
+    got = lm_score._range(blocks.table_of(
+        [(5, block, len(units), b"".join(units), blocks.pack(trained[block]), None, None)
+         for block, units in sent.items()], lm_score.wc.ENTRIES)).to_pylist()[0]
+    counts, by_word = {}, {}
+    for block in sorted(sent):
+        for unit, n in zip(sent[block], trained[block].tolist()):
+            counts[unit] = counts.get(unit, 0) + n
+    for unit, n in counts.items():
+        by_word[unit[1:-1].lower()] = by_word.get(unit[1:-1].lower(), 0) + n
+    place = {unit: i for i, unit in enumerate(counts)}
+    assert got["units"] == b"".join(counts) and got["members"] == sorted(sent)
+    assert blocks.unpack(got["trained"], len(counts)).tolist() == list(counts.values())
+    assert blocks.unpack(got["words"], len(counts)).tolist() == [by_word[unit[1:-1].lower()] for unit in counts]
+    assert got["known"] == sum(n > 0 for word, n in by_word.items() if word)
+    for block, n, places in zip(got["members"], got["sizes"], got["places"]):
+        assert blocks.unpack(places, n).tolist() == [place[unit] for unit in sent[block]]
+    # What is read of it, a part of it, and what a block sends.
+    [(_, units, _)] = lm_score._rows([pa.record_batch({"units": [got["units"]], "trained": [got["trained"]]})])
+    some = np.arange(0, len(units), 3)
+    assert bytes(units.some(some).raw) == b"".join(list(counts)[i] for i in some)
+    assert bytes(units.run(2, 9).raw) == b"".join(list(counts)[2:9])
+    block = lm_score._Units(pa.table({"text": ["Ab aB\nx! a\0 a", None, "  é\t"]}), 0)
+    whole, at = block.units()
+    assert [whole[a:b] for a, b in zip(at[:-1], at[1:])] == [
+        bytes((p & 3,)) + block.chunks[p >> 2] for p in block.pairs.tolist()]
+
+
 def test_lm_score(odd, empty):
     got = lm_score.score(odd, F.col("doc_id") % 2 == 0).collect()
     assert len(got) == odd.count()
