@@ -127,7 +127,7 @@ def test_ranked_keys():
 
 
 def test_units_in_one_piece():
-    cm, rng = context_mixing, np.random.default_rng(2)
+    cm, wc, rng = context_mixing, lm_score.wc, np.random.default_rng(2)
     words = [b"a\0", b"a", b"a\0\0", b"", b"\0", b"Ab", b"aB", b"x" * 70, b"x" * 70 + b"y", b"four-score", b"four-scorf"]
     listed = [bytes((lead,)) + w + end for lead in range(4) for w in words for end in (b" ", b"\n", b"\xff")]
     eights = rng.integers(0, 3, (2000, 2)).astype(np.uint64) << rng.integers(0, 63, (2000, 2)).astype(np.uint64)
@@ -136,8 +136,8 @@ def test_units_in_one_piece():
     sent = {block: [listed[i] for i in rng.permutation(len(listed))[:n]] for block, n in ((3, 60), (0, 90), (2, 1))}
     trained = {block: rng.integers(0, 3, len(units)).astype(np.uint64) for block, units in sent.items()}
     got = lm_score._range(blocks.table_of(
-        [(5, block, len(units), b"".join(units), blocks.pack(trained[block]), None, None)
-         for block, units in sent.items()], lm_score.wc.ENTRIES)).to_pylist()[0]
+        [(5, block, len(units), lm_score._pressed(b"".join(units)), blocks.pack(trained[block]), None, None)
+         for block, units in sent.items()], wc.ENTRIES)).to_pylist()[0]
     counts, by_word = {}, {}
     for block in sorted(sent):
         for unit, n in zip(sent[block], trained[block].tolist()):
@@ -145,12 +145,14 @@ def test_units_in_one_piece():
     for unit, n in counts.items():
         by_word[unit[1:-1].lower()] = by_word.get(unit[1:-1].lower(), 0) + n
     place = {unit: i for i, unit in enumerate(counts)}
-    assert got["units"] == b"".join(counts) and got["members"] == sorted(sent)
+    assert lm_score._unpressed(got["units"]) == b"".join(counts) and got["members"] == sorted(sent)
     assert blocks.unpack(got["trained"], len(counts)).tolist() == list(counts.values())
-    assert blocks.unpack(got["words"], len(counts)).tolist() == [by_word[unit[1:-1].lower()] for unit in counts]
+    assert wc.loosened(got["words"], len(counts)).tolist() == [by_word[unit[1:-1].lower()] for unit in counts]
     assert got["known"] == sum(n > 0 for word, n in by_word.items() if word)
-    for block, n, places in zip(got["members"], got["sizes"], got["places"]):
-        assert blocks.unpack(places, n).tolist() == [place[unit] for unit in sent[block]]
+    assert got["sizes"] == [len(sent[block]) for block in sorted(sent)]
+    places = wc.loosened(got["places"][0], sum(got["sizes"]))
+    for block, own in zip(got["members"], lm_score._cut(places, got["sizes"])):
+        assert own.tolist() == [place[unit] for unit in sent[block]]
     # What is read of it, a part of it, and what a block sends.
     [(_, units, _)] = lm_score._rows([pa.record_batch({"units": [got["units"]], "trained": [got["trained"]]})])
     some = np.arange(0, len(units), 3)
@@ -158,6 +160,8 @@ def test_units_in_one_piece():
     assert bytes(units.run(2, 9).raw) == b"".join(list(counts)[2:9])
     block = lm_score._Units(pa.table({"text": ["Ab aB\nx! a\0 a", None, "  é\t"]}), 0)
     whole, at = block.units()
+    for units in (whole, 999 * whole):
+        assert lm_score._unpressed(lm_score._pressed(units)) == units == lm_score._unpressed(units)
     assert [whole[a:b] for a, b in zip(at[:-1], at[1:])] == [
         bytes((p & 3,)) + block.chunks[p >> 2] for p in block.pairs.tolist()]
 
