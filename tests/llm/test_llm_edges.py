@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterspark.llm import blocks, chat, components, context_mixing, language_id, lm_score, merkle, \
-    mixing, ngram_join, one_bit, piece_tokenizer, secret_scan, shingles, substring_dedup
+    mixing, ngram_join, one_bit, piece_tokenizer, secret_scan, shingles, storage, substring_dedup
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, `_x` long, score double, "
           "label string, node long, pass long, ids string, spans string")
@@ -166,6 +166,22 @@ def test_units_in_one_piece():
         bytes((p & 3,)) + block.chunks[p >> 2] for p in block.pairs.tolist()]
 
 
+def test_texts_in_blocks_are_compressed():
+    texts = ["", None, "a b", "é" * 5000, "\0", LONG]
+    batch = pa.record_batch({"doc_id": [1, 2, 3, 4, None, 6], "text": texts})
+    [small] = lm_score._smaller([batch])
+    assert small["doc_id"].equals(batch["doc_id"]) and small.nbytes < batch.nbytes / 3
+    whole, plain = (lm_score._texts(pa.chunked_array([b["text"]])) for b in (small, batch))
+    assert whole == plain == [(t or "").encode() for t in texts]
+
+
+def test_released_keeps_rows_and_setting(spark):
+    frame = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    got = storage.released(frame)
+    assert sorted(got.collect()) == sorted(frame.collect()) and got.groupBy("count").count().count() == 2
+    assert spark.conf.get(storage.CLEANUP, None) is None
+
+
 def test_lm_score(odd, empty):
     got = lm_score.score(odd, F.col("doc_id") % 2 == 0).collect()
     assert len(got) == odd.count()
